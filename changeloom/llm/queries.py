@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from changeloom.llm import mixing, url_filters
+from changeloom.llm import mixing, secrets, url_filters
 
 QUERIES = {
     "op2_mixing": mixing.op2_mixing,
+    "op7_secret_scans": secrets.op7_secret_scans,
     "op8_url_filters": url_filters.op8_url_filters,
 }
 
 ORACLES = {
     "op2_mixing": mixing.ORACLE,
+    "op7_secret_scans": secrets.ORACLE,
     "op8_url_filters": url_filters.ORACLE,
 }

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from changeloom.llm import mixing, secrets, url_filters
+from changeloom.llm import mixing, pieces, secrets, tokens, url_filters
 
 QUERIES = {
     "op2_mixing": mixing.op2_mixing,
+    "op3_token_counts": tokens.op3_token_counts,
     "op7_secret_scans": secrets.op7_secret_scans,
     "op8_url_filters": url_filters.op8_url_filters,
+    "op10_sentencepiece": pieces.op10_sentencepiece,
 }
 
 ORACLES = {

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from changeloom.llm import mixing, pieces, secrets, tokens, url_filters
+from changeloom.llm import mixing, pieces, quality, secrets, tokens, url_filters
 
 QUERIES = {
+    "op1_quality": quality.op1_quality,
     "op2_mixing": mixing.op2_mixing,
     "op3_token_counts": tokens.op3_token_counts,
     "op7_secret_scans": secrets.op7_secret_scans,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from changeloom.llm import mixing, pieces, quality, secrets, tokens, url_filters, webp
+from changeloom.llm import jaccard_join, mixing, pieces, quality, secrets, tokens, url_filters, webp
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
@@ -11,6 +11,7 @@ QUERIES = {
     "op6_media_columns": webp.op6_media_columns,
     "op7_secret_scans": secrets.op7_secret_scans,
     "op8_url_filters": url_filters.op8_url_filters,
+    "op9_ngram_jaccard": jaccard_join.op9_ngram_jaccard,
     "op10_sentencepiece": pieces.op10_sentencepiece,
 }
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from changeloom.llm import graph_search, jaccard_join, mixing, pieces, quality, secrets, tokens, url_filters, webp
+from changeloom.llm import graph_search, jaccard_join, mixing, pieces, quality, secrets, tokens, tool_calls, url_filters, webp
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
     "op2_mixing": mixing.op2_mixing,
     "op3_token_counts": tokens.op3_token_counts,
+    "op4_tool_calls": tool_calls.op4_tool_calls,
     "op5_graph_search": graph_search.op5_graph_search,
     "op6_media_columns": webp.op6_media_columns,
     "op7_secret_scans": secrets.op7_secret_scans,
@@ -18,6 +19,7 @@ QUERIES = {
 
 ORACLES = {
     "op2_mixing": mixing.ORACLE,
+    "op4_tool_calls": tool_calls.ORACLE,
     "op7_secret_scans": secrets.ORACLE,
     "op8_url_filters": url_filters.ORACLE,
 }

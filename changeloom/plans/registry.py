@@ -1,4 +1,6 @@
 """Queries by name, and the SQL that gives the same rows."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from changeloom.plans import stream_queries
+
+QUERIES: dict = dict(stream_queries.QUERIES)
+ORACLES: dict = dict(stream_queries.ORACLES)

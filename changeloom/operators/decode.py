@@ -12,9 +12,11 @@ import struct
 from collections.abc import Iterator
 from decimal import Decimal
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from changeloom.functions import values as V
 from changeloom.operators.transactions import segment_membership
@@ -26,9 +28,6 @@ MESSAGE = (
     f"origin_lsn long, commit_micros long, origin_name string, relation_id long, relation {RELATION}, type struct<type_oid:long,namespace:string,name:string>, old_kind string, old array<{CELL}>, new array<{CELL}>, "
     "truncate struct<cascade:boolean,restart_identity:boolean,relation_ids:array<long>>"
 )
-FIELDS = [x.strip().split(" ")[0] for x in (
-    "source_id, seq, recv_lsn, kind, in_stream, stream_xid, xid, sub_xid, first_segment, final_lsn, commit_lsn, end_lsn, origin_lsn, commit_micros, origin_name, relation_id, relation, type, old_kind, old, new, truncate"
-).split(",")]
 TRANSACTIONAL = set("RYIUDT")
 IDENTITIES = {"d": "default", "n": "nothing", "f": "full", "i": "index"}
 
@@ -155,18 +154,24 @@ def decode(raw: DataFrame, streaming: bool = False) -> DataFrame:
     else:
         marked = raw.withColumn("in_stream", F.lit(False))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    shape = arrow_schema(MESSAGE)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for source, seq, lsn, data, in_stream in batch.itertuples(index=False):
+            for row in batch.to_pylist():
+                data, in_stream = row.pop("data"), row.pop("in_stream")
                 try:
-                    fields = decode_message(data, bool(in_stream))
+                    rows.append(row | decode_message(data, in_stream))
                 except ValueError as e:
-                    raise ProtocolError(f"{source}, message {seq}: {e}") from e
-                rows.append({"source_id": source, "seq": seq, "recv_lsn": lsn} | fields)
-            yield pd.DataFrame(rows, columns=FIELDS, dtype=object)
+                    raise ProtocolError(f"{row['source_id']}, message {row['seq']}: {e}") from e
+            yield pa.RecordBatch.from_pylist(rows, schema=shape)
+
+    return marked.select("source_id", "seq", "recv_lsn", "data", "in_stream").mapInArrow(run, MESSAGE)
 
-    return marked.select("source_id", "seq", "recv_lsn", "data", "in_stream").mapInPandas(run, MESSAGE)
+
+def arrow_schema(ddl: str) -> pa.Schema:
+    return to_arrow_schema(StructType.fromDDL(ddl))
 
 
 def message_kind(data: Column) -> Column:
@@ -307,20 +312,21 @@ def _clock(micros: int) -> str:
 def cells_as_text(messages: DataFrame, column: str = "new") -> DataFrame:
     """messages (with relation) whose binary cells have become text cells; an unmapped type as hex, an unsupported value as kind n with ``bin`` kept."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    shape = to_arrow_schema(messages.schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fixed = []
-            for cells, relation in zip(batch[column], batch["relation"], strict=True):
-                if cells is None:
-                    fixed.append(None)
-                    continue
-                out = []
-                for cell, of in zip(cells, relation["columns"], strict=True):
-                    if cell["kind"] == "b":
-                        text = binary_text(cell["bin"], of["type_oid"])
-                        cell = {"kind": "n" if text is None else "t", "text": text, "bin": cell["bin"] if text is None else None}
-                    out.append(cell)
-                fixed.append(out)
-            yield batch.assign(**{column: fixed})
-
-    return messages.mapInPandas(run, messages.schema)
+            rows = batch.to_pylist()
+            for row in rows:
+                if row[column] is not None:
+                    row[column] = [_as_text(cell, of["type_oid"]) for cell, of in zip(row[column], row["relation"]["columns"], strict=True)]
+            yield pa.RecordBatch.from_pylist(rows, schema=shape)
+
+    return messages.mapInArrow(run, messages.schema)
+
+
+def _as_text(cell: dict, oid: int) -> dict:
+    if cell["kind"] != "b":
+        return cell
+    text = binary_text(cell["bin"], oid)
+    return {"kind": "n" if text is None else "t", "text": text, "bin": cell["bin"] if text is None else None}

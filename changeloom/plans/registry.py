@@ -1,6 +1,6 @@
 """Queries by name, and the SQL that gives the same rows."""
 
-from changeloom.plans import stream_queries
+from changeloom.plans import stream_queries, value_queries
 
-QUERIES: dict = dict(stream_queries.QUERIES)
-ORACLES: dict = dict(stream_queries.ORACLES)
+QUERIES: dict = stream_queries.QUERIES | value_queries.QUERIES
+ORACLES: dict = stream_queries.ORACLES | value_queries.ORACLES

@@ -87,7 +87,7 @@ def _relation(r: Reader) -> dict:
     if identity not in IDENTITIES:
         raise ProtocolError(f"unknown replica identity {identity!r}")
     columns = [{"key": bool(r.number(1) & 1), "name": r.string(), "type_oid": r.number(4), "typmod": r.number(4, signed=True)} for _ in range(r.number(2))]
-    return {"relation_id": oid, "relation": {"relation_id": oid, "namespace": namespace, "name": name, "replica_identity": identity, "columns": columns}}
+    return {"relation_id": oid, "relation": {"relation_id": oid, "namespace": namespace, "name": name, "replica_identity": IDENTITIES[identity], "columns": columns}}
 
 
 def _truncate(r: Reader) -> dict:

@@ -6,7 +6,9 @@ import tempfile
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path.insert(0, HERE)
+os.environ["PYTHONPATH"] = os.pathsep.join([HERE, os.path.join(HERE, "tests"), os.environ.get("PYTHONPATH", "")])  # for Spark's Python processes
 
 
 @pytest.fixture(scope="session")

@@ -55,15 +55,20 @@ def valid_arguments(calls: DataFrame, schemas: DataFrame) -> DataFrame:
 
 
 def levels(nodes: DataFrame) -> DataFrame:
-    """nodes (node, before: the node it follows or null; node unique and not null) -> node, level."""
+    """nodes (node, before: the node it follows or null; node unique and not null) -> node, level.
+
+    A round looks up, for nodes that aren't at their chain's beginning yet, the place they have come to, and so doubles their step. Those that get there are set aside.
+    """
     known = nodes.select(F.col("node").alias("k"))
     state = stored(nodes.join(known, F.col("before") == F.col("k"), "left").select("node", F.col("k").alias("before"), F.when(F.col("k").isNull(), 0).otherwise(1).cast("long").alias("level")), "levels")
     most, reach = state.count(), 1
-    while reach <= 2 * most and not state.where("before IS NOT NULL").isEmpty():
-        up = state.select(F.col("node").alias("u"), F.col("before").alias("further"), F.col("level").alias("more"))
-        state = stored(state.join(up, F.col("before") == F.col("u"), "left").select("node", F.col("further").alias("before"), (F.col("level") + F.coalesce("more", F.lit(0))).alias("level")), "levels")
+    done, left = state.where("before IS NULL"), state.where("before IS NOT NULL")
+    while reach <= 2 * most and not left.isEmpty():
+        up = done.unionByName(left).select(F.col("node").alias("u"), F.col("before").alias("further"), F.col("level").alias("more"))
+        moved = stored(left.join(up, F.col("before") == F.col("u")).select("node", F.col("further").alias("before"), (F.col("level") + F.col("more")).alias("level")), "levels")
+        done, left = done.unionByName(moved.where("before IS NULL")), moved.where("before IS NOT NULL")
         reach *= 2
-    return state.select("node", F.when(F.col("before").isNull(), F.col("level")).alias("level"))
+    return done.unionByName(left.withColumn("level", F.lit(None).cast("long"))).select("node", "level")
 
 
 def link(calls: DataFrame, results: DataFrame) -> DataFrame:

@@ -57,7 +57,8 @@ def change_events(changes: DataFrame, schema_pattern: str | None = None, table_p
 
 
 def typed_rows(table_events: DataFrame, columns: list[dict], unconstrained: str = "string") -> DataFrame:
-    """Events of one table and version with before and after as structs of the table's types."""
+    """Events of one table and version, in order, with before and after as structs of the table's types."""
+    table_events = table_events.orderBy("source_id", "seq", "ord")
     fields = lambda side: F.struct(*[V.typed(F.col(side)[c["name"]], c["type_oid"], c["typmod"], unconstrained).alias(c["name"]) for c in columns])
     side = lambda name: F.when(F.col(name).isNotNull(), fields(name)).alias(name)
     return table_events.select("operation", "schema", "table", "lsn", "xid", "commit_timestamp", side("before"), side("after"))
@@ -72,13 +73,14 @@ def warnings_of(table_events: DataFrame, columns: list[dict]) -> DataFrame:
 class BatchWriter:
     """foreachBatch function: one folder per table and schema version under path/batch=<id>, then one row per file in path/manifest.
 
-    A batch that is run again overwrites its own folders and manifest, so what a reader finds through the manifest is there once. Definitions are kept in path/relations.
+    With ``typed`` before and after have the table's types instead of maps of text. A batch that is run again overwrites its own folders and manifest, so what a reader finds through the manifest is there once. Definitions are kept in path/relations.
     """
 
     MIME = {"json": "application/json", "csv": "text/csv", "parquet": "application/vnd.apache.parquet", "orc": "application/vnd.apache.orc", "avro": "application/avro-binary"}
 
-    def __init__(self, path: str, fmt: str = "json", **event_options):
+    def __init__(self, path: str, fmt: str = "json", typed: bool = False, unconstrained: str = "string", **event_options):
         self.path, self.format, self.options = path.rstrip("/"), fmt, event_options
+        self.typed, self.unconstrained = typed, unconstrained
 
     def __call__(self, raw: DataFrame, batch_id: int) -> None:
         spark = raw.sparkSession
@@ -92,7 +94,10 @@ class BatchWriter:
             listed = files.collect()  # a row per table and version
             for f in listed:
                 one = found.where((F.col("schema") == f["schema"]) & (F.col("table") == f["table"]) & (F.col("schema_version") == f["schema_version"]))
-                self._write(one.orderBy("source_id", "seq", "ord"), f"{self.path}/batch={batch_id}/{f['schema']}.{f['table']}/v{f['schema_version']}")
+                if self.typed:  # a table's version has one definition, so one row tells its columns
+                    columns = [c.asDict() for c in one.select("relation.columns").first()["columns"]]
+                    one = typed_rows(one, columns, self.unconstrained)
+                self._write(one if self.typed else one.orderBy("source_id", "seq", "ord"), f"{self.path}/batch={batch_id}/{f['schema']}.{f['table']}/v{f['schema_version']}")
             defined = decode(raw).where("kind = 'R'").select("source_id", "relation_id", "seq", "relation")
             defined.write.mode("overwrite").json(f"{self.path}/relations/batch={batch_id}")
             files.write.mode("overwrite").parquet(f"{self.path}/manifest/batch={batch_id}")  # last: what isn't listed isn't there

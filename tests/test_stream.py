@@ -142,6 +142,13 @@ def test_streaming_to_files(spark, tmp_path):
     assert len(lines) == 1 and lines[0]["after"] == {"id": "2", "note": "y", "day": None} and lines[0]["before"] is None
 
 
+def test_typed_files(spark, tmp_path):
+    BatchWriter(str(tmp_path / "out"), "parquet", typed=True)(raw(spark), 0)
+    a = spark.read.parquet(str(tmp_path / "out/batch=0/lab.a/v1"))
+    assert dict(a.select("after.*").dtypes) == {"id": "int", "note": "string", "day": "date"} and a.count() == 3
+    assert spark.read.parquet(str(tmp_path / "out/batch=0/lab.a/v2")).count() == 2
+
+
 def test_capture_files(spark, tmp_path):
     (tmp_path / "x.hex").write_text("\n".join([begin(1).hex(), "", insert(9, "1", "a").hex() + "  ", commit().hex()]) + "\n")
     rows = capture.read_capture(spark, str(tmp_path / "x.hex")).orderBy("seq").collect()

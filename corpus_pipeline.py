@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeloom.llm import jaccard_join, mixing, pieces, quality, secrets
-from changeloom.llm.common import stored, table, text_or_empty
+from changeloom.llm.common import discard, stored, table, text_or_empty
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 WIDTH, THRESHOLD = 5, (80, 100)
@@ -66,7 +66,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for number, (_, stage) in enumerate(STAGES, 1):
-        docs = stage(spark, docs, sf_dir)
+        before, docs = docs, stage(spark, docs, sf_dir)
         if number < len(STAGES):
             docs = stored(docs, f"stage-{number}")
+            if number > 1:
+                discard(spark, before)  # the stage before last has been read
     return docs

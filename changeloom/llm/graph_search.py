@@ -22,10 +22,11 @@ from pyspark.sql import functions as F
 from changeloom.llm.common import stored, table
 
 SHARD, QUERY_BLOCK = 4096, 4096
-DEGREE, BEAM, ALPHA = 32, 64, 1.2
-SEARCH_BEAM, K = 64, 20
+DEGREE, BEAM, ALPHA = 32, 64, 1.4
+SEARCH_BEAM, K = 128, 20
 #: Nodes that a step of the lock-step search expands, and vectors that are inserted together.
 AT_ONCE, BATCH = 4, 256
+STARTS = 16
 
 
 class Graph:
@@ -36,7 +37,9 @@ class Graph:
         norms = (x.astype(np.float64) ** 2).sum(1)
         self.x = np.hstack([x, np.sqrt(np.maximum(norms.max(initial=0) - norms, 0))[:, None]]).astype(np.float32)
         self.square = (self.x**2).sum(1)
-        self.start = int(((self.x - self.x.mean(0)) ** 2).sum(1).argmin())
+        # walks start at the middle and at the longest vectors, where large inner products lie
+        middle = ((self.x - self.x.mean(0)) ** 2).sum(1).argmin()
+        self.starts = np.unique(np.append(np.argsort(-norms, kind="stable")[: STARTS - 1], middle))
         if neighbours is not None:
             self.out = neighbours
             return
@@ -58,9 +61,10 @@ class Graph:
         done = np.ones((b, beam), bool)
         seen = np.zeros((b, n + 1), bool)  # the last column stands for no node
         seen[:, -1] = True
-        ids[:, 0], done[:, 0] = self.start, False
-        dist[:, 0] = self.square[self.start] - 2 * q @ self.x[self.start]
-        seen[:, self.start] = True
+        first = self.starts[:beam]
+        ids[:, : len(first)], done[:, : len(first)] = first, False
+        dist[:, : len(first)] = self.square[first] - 2 * q @ self.x[first].T
+        seen[:, first] = True
         while True:
             order = np.argsort(np.where(done, np.inf, dist), axis=1)[:, :AT_ONCE]
             chosen = np.where(done[rows, order], -1, ids[rows, order])

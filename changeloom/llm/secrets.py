@@ -103,7 +103,8 @@ def per_blob(findings: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
 
 def annotate(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
-    """docs with blob, n_<kind>, found and spans: the findings joined back to every document with that content."""
+    """docs with blob, n_<kind>, found and spans: the findings joined back to every document with that content. Columns of these names are replaced."""
+    docs = docs.drop(*{"blob", "found", "spans", *(f"n_{r.kind}" for r in rules)} - {text})
     found = per_blob(scan(docs, rules, text=text), rules)
     counts = {f"n_{r.kind}": F.coalesce(F.col(f"n_{r.kind}"), F.lit(0)).cast("long") for r in rules}
     return docs.withColumn("blob", blob_of(text_or_empty(text))).join(found, "blob", "left").withColumns(counts | {"spans": F.coalesce("spans", F.lit(""))})

@@ -38,7 +38,7 @@ class PrefixTable:
     token ends with is a token of its own, with number -1.
     """
 
-    def __init__(self, tokens, rank, memo: int = 1_000_000):
+    def __init__(self, tokens, rank, memo: int = 400_000):
         self.rank, self.limit = rank, memo
         # a token that merging doesn't give for its own string is in no encoding
         self.names = [t for t in dict.fromkeys(tokens) if len(t) == 1 or merged(list(t), rank) == [t]]

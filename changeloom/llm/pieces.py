@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from changeloom.llm.bpe_prefix import PrefixTable
 from changeloom.llm.common import table
 
-MEMO = 400_000
+MEMO = 150_000
 SPACE = "▁"
 
 
@@ -121,11 +121,11 @@ def encoded(docs: DataFrame, model: str | None = None, key: str = "doc_id", text
         c = codec(model or public_tokenizers.path("piece_bpe_32k.model"))
         sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
         for batch in batches:
-            both = [c.both(t) for t in batch["text"].fillna("")]
-            out = {"key": batch["key"], "n_tokens": [a.count(" ") + 1 for a, _ in both], "ids_sha256": [sha(a) for a, _ in both], "decoded_sha256": [sha(b) for _, b in both]}
-            if whole:
-                out |= {"ids": [[int(x) for x in a.split(" ")] for a, _ in both], "decoded": [b for _, b in both]}
-            yield pd.DataFrame(out)
+            rows = []
+            for key_, t in zip(batch["key"], batch["text"], strict=True):
+                a, b = c.both(t if isinstance(t, str) else "")
+                rows.append((key_, a.count(" ") + 1, sha(a), sha(b), *(([int(x) for x in a.split(" ")], b) if whole else ())))
+            yield pd.DataFrame(rows, columns=["key", "n_tokens", "ids_sha256", "decoded_sha256", *(["ids", "decoded"] if whole else [])])
 
     source = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     kind = source.schema["key"].dataType.simpleString()

@@ -15,6 +15,9 @@ join most of a group of copies at a cost linear in its size. Then each list with
 Of lists that still hold several components, short ones are compared pair by pair. Long ones come from groups of near misses; their classes are dealt to blocks, and
 blocks of a group are compared in numpy, two at a time, but for those that lie in the group's largest component; only links leave the tasks. Comparing is exact, on the shingles of the texts themselves.
 
+That settles the components. Both ends of a link lie in one component, so the number of links of a class is counted by comparing all classes of its component, each pair once: small components are
+packed together, large ones dealt to blocks and compared two blocks at a time. Counts per class leave the tasks, no pairs; they don't depend on which pairs were compared before.
+
 Cases: null text or one without words has an empty set, is in no class and its own component; with fewer words than a shingle the whole sequence is one; null
 ids are kept, and a component's id is the smallest id that isn't null; equal ids with different texts are separate rows; ties and repeated rows fall together; an empty table gives an empty result; extra
 columns don't take part.
@@ -49,6 +52,8 @@ ROWS = 1000
 STARS = 2
 #: Lists with more classes are compared in blocks of about BLOCK classes, shorter ones pair by pair.
 LONG, BLOCK = 32, 256
+#: Shingles, and for each class CLASS more, that a block holds when links are counted.
+COUNTED, CLASS = 1 << 18, 200
 
 
 @lru_cache(maxsize=8)
@@ -165,8 +170,8 @@ def _similar(pairs: DataFrame, texts: DataFrame, width: int, threshold: tuple[in
     return with_both.select("a", "b", "text_a", "text_b").mapInPandas(run, "a long, b long")
 
 
-def join(docs: DataFrame, width: int = WIDTH, threshold: tuple[int, int] = THRESHOLD, key: str = "doc_id", text: str = "text", spare_share: float = SPARE) -> DataFrame:
-    """Per row of docs: key, n_shingles, component_id, and links (to other classes, among those that were compared)."""
+def join(docs: DataFrame, width: int = WIDTH, threshold: tuple[int, int] = THRESHOLD, key: str = "doc_id", text: str = "text", spare_share: float = SPARE, with_links: bool = True) -> DataFrame:
+    """Per row of docs: key, n_shingles, component_id, and with_links the number of links to other classes, all of them."""
     sets = stored(signed(docs, width, threshold, key, text, spare_share), "sets")
     filled = sets.where("n > 0")
     classes = filled.groupBy("d1", "d2").agg(F.min("rid").alias("rep"))
@@ -200,14 +205,63 @@ def join(docs: DataFrame, width: int = WIDTH, threshold: tuple[int, int] = THRES
         links = links.union(compare(left.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))))
         links = links.union(stored(_in_blocks(sized.where(F.col("n_classes") > LONG), texts, width, threshold), "links"))
 
-    links = links.distinct()
-    found = components(links)
-    degree = links.select("a").union(links.select("b")).groupBy("a").agg(F.count("*").alias("links")).select(F.col("a").alias("rep"), "links")
-    grouped = members.join(found.withColumnRenamed("node", "rep"), "rep", "left").join(degree, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    found = components(links.distinct())
+    grouped = members.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     least = grouped.groupBy("component").agg(F.min("key").alias("component_id"))
-    full = grouped.join(least, "component").select(F.col("key").alias(key), F.col("n").alias("n_shingles"), "component_id", F.coalesce("links", F.lit(0)).alias("links"))
-    empty = everyone.where("n = 0").select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.col("key").alias("component_id"), F.lit(0).cast("long").alias("links"))
-    return full.unionByName(empty)
+    columns = [F.col("key").alias(key), F.col("n").alias("n_shingles"), "component_id"]
+    empty = everyone.where("n = 0").withColumn("component_id", F.col("key"))
+    if not with_links:
+        return grouped.join(least, "component").select(*columns).unionByName(empty.select(*columns))
+    degree = stored(_degrees(found, members.where("rid = rep").select("rep", "n"), texts, width, threshold), "degrees")
+    full = grouped.join(degree, "rep", "left").join(least, "component").select(*columns, F.coalesce("links", F.lit(0)).alias("links"))
+    return full.unionByName(empty.select(*columns, F.lit(0).cast("long").alias("links")))
+
+
+def _degrees(found: DataFrame, sizes: DataFrame, texts: DataFrame, width: int, threshold: tuple[int, int]) -> DataFrame:
+    """rep, links: the number of classes at or above the threshold with it, for those that have any. found: node, component; sizes: rep, n."""
+    num, den = threshold
+    placed = found.withColumnRenamed("node", "rep").join(sizes, "rep").withColumn("weight", F.col("n") + CLASS)
+    per_part = stored(placed.groupBy("component").agg(F.ceil(F.sum("weight") / COUNTED).alias("n_blocks"), F.sum("weight").alias("weight")), "parts")
+    packs = math.ceil((per_part.where("n_blocks = 1").agg(F.sum("weight")).first()[0] or 1) / COUNTED)
+    alone = F.col("n_blocks") > 1
+    placed = placed.drop("weight").join(per_part.drop("weight"), "component")
+    placed = placed.withColumn("near", F.when(alone, F.col("component")).otherwise(-1 - F.pmod(F.xxhash64("component"), F.lit(packs))))  # components are not negative
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("n_blocks"))).join(texts, "rep")
+    # a block meets every block of its component, itself included
+    dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)))
+    dealt = dealt.select("near", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), (F.col("block") > F.col("other")).alias("second"), "rep", "component", "text")
+
+    def count(group: pd.DataFrame) -> pd.DataFrame:
+        one = group["p"].iloc[0] == group["q"].iloc[0]
+        first, second = (group, group) if one else (group[~group["second"]], group[group["second"]])
+        if first.empty or second.empty:
+            return pd.DataFrame({"rep": [], "links": []}, dtype="int64")
+        reps_y, in_x, in_y = second["rep"].to_numpy(), first["component"].to_numpy(), second["component"].to_numpy()
+        reps_x, links_x, links_y = first["rep"].to_numpy(), np.zeros(len(first), np.int64), np.zeros(len(second), np.int64)
+        for i, linked in _against(first["text"], second["text"], width, num, den):
+            linked &= (in_y == in_x[i]) & (reps_y != reps_x[i])
+            links_x[i] = linked.sum()
+            links_y += linked
+        reps, links = (reps_x, links_x) if one else (np.concatenate((reps_x, reps_y)), np.concatenate((links_x, links_y)))
+        return pd.DataFrame({"rep": reps[links > 0], "links": links[links > 0]})
+
+    return dealt.groupBy("near", "p", "q").applyInPandas(count, "rep long, links long").groupBy("rep").agg(F.sum("links").alias("links"))
+
+
+def _against(first: pd.Series, second: pd.Series, width: int, num: int, den: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For each text of the first side its number, and which of the second are at or above the threshold with it."""
+    (x, at_x), (y, at_y) = (shingle_sets([t.encode() for t in side], width) for side in (first, second))
+    # for each shingle of the second side, the numbers of the sets that hold it, one after the other
+    order = np.argsort(y, kind="stable")
+    holders = np.repeat(np.arange(len(second)), np.diff(at_y))[order]
+    y = y[order]
+    low, high = np.searchsorted(y, x, "left"), np.searchsorted(y, x, "right")
+    n_x, n_y = np.diff(at_x), np.diff(at_y)
+    for i in range(len(first)):
+        a, n = low[at_x[i] : at_x[i + 1]], (high - low)[at_x[i] : at_x[i + 1]]
+        places = np.repeat(a - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
+        common = np.bincount(holders[places], minlength=len(second))
+        yield i, den * common >= num * (n_x[i] + n_y - common)
 
 
 def _in_blocks(long: DataFrame, texts: DataFrame, width: int, threshold: tuple[int, int]) -> DataFrame:
@@ -232,20 +286,10 @@ def _in_blocks(long: DataFrame, texts: DataFrame, width: int, threshold: tuple[i
         group = group.sort_values(["side", "rep"])
         first, second = group[group["side"] == 0], group[group["side"] == 1]
         second = first if second.empty else second
-        (x, at_x), (y, at_y) = (shingle_sets([t.encode() for t in g["text"]], width) for g in (first, second))
-        # for each shingle of the second side, the numbers of the sets that hold it, one after the other
-        order = np.argsort(y, kind="stable")
-        holders = np.repeat(np.arange(len(second)), np.diff(at_y))[order]
-        y = y[order]
-        low, high = np.searchsorted(y, x, "left"), np.searchsorted(y, x, "right")
-        n_x, n_y = np.diff(at_x), np.diff(at_y)
         reps_x, reps_y, in_x, in_y = first["rep"].to_numpy(), second["rep"].to_numpy(), first["component"].to_numpy(), second["component"].to_numpy()
         found = []
-        for i in range(len(first)):
-            a, n = low[at_x[i] : at_x[i + 1]], (high - low)[at_x[i] : at_x[i + 1]]
-            places = np.repeat(a - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
-            common = np.bincount(holders[places], minlength=len(second))
-            linked = (den * common >= num * (n_x[i] + n_y - common)) & (in_y != in_x[i]) & (reps_y != reps_x[i])
+        for i, linked in _against(first["text"], second["text"], width, num, den):
+            linked &= (in_y != in_x[i]) & (reps_y != reps_x[i])
             found += [(min(reps_x[i], r), max(reps_x[i], r)) for r in reps_y[linked]]
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 

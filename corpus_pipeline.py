@@ -27,7 +27,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Of documents that chains of near copies join (five-word shingles, Jaccard 0.8) the one with the smallest doc_id stays."""
     digest = F.sha2(text_or_empty().cast("binary"), 256)
     keyed = docs.select(*COLUMNS, F.struct("doc_id", digest.alias("digest")).alias("row_key"))
-    groups = jaccard_join.join(keyed.select("row_key", "text"), WIDTH, THRESHOLD, key="row_key", spare_share=SPARE)
+    groups = jaccard_join.join(keyed.select("row_key", "text"), WIDTH, THRESHOLD, key="row_key", spare_share=SPARE, with_links=False)
     stays = groups.where(F.col("row_key") == F.col("component_id")).select("row_key").distinct()
     return keyed.join(stays.withColumnRenamed("row_key", "stay"), F.col("row_key").eqNullSafe(F.col("stay"))).dropDuplicates(["row_key"]).select(*COLUMNS)
 

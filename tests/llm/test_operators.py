@@ -291,6 +291,31 @@ def test_jaccard_against_all_pairs(spark, seed, width, threshold, monkeypatch):
     assert got == want, (list((got - want).items())[:5], list((want - got).items())[:5])
 
 
+def plain_links(rows, width, num, den):
+    """Per row: id, size, and how many different sets are at or above the threshold with its own."""
+    sets = []
+    for _, text in rows:
+        w = words(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        sets.append(frozenset(tuple(w[k : k + width]) for k in range(len(w) - width + 1)) if len(w) >= width else frozenset([tuple(w)] if w else []))
+    classes = list({s for s in sets if s})
+    links = {s: sum(t is not s and den * (c := len(s & t)) >= num * (len(s) + len(t) - c) for t in classes) for s in classes}
+    return Counter((doc, len(s), links.get(s, 0)) for (doc, _), s in zip(rows, sets))
+
+
+@pytest.mark.parametrize("counted", [5000, jaccard_join.COUNTED])  # blocks of large components, all in packs
+@pytest.mark.parametrize("parts", [1, 7])
+def test_jaccard_links_against_all_pairs(spark, counted, parts, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "COUNTED", counted)
+    rows = near_copies(3, 150)
+    crowd = ["x%d" % i for i in range(200)]
+    rows += [(9000 + i, " ".join([*crowd, "y%d" % i])) for i in range(60)]  # each linked with the 59 others
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+    got = Counter((r.doc_id, r.n_shingles, r.links) for r in jaccard_join.join(df).collect())
+    want = plain_links(rows, jaccard_join.WIDTH, *jaccard_join.THRESHOLD)
+    assert sum(links == 59 for _, _, links in want) == 60
+    assert got == want, (list((got - want).items())[:5], list((want - got).items())[:5])
+
+
 def test_jaccard_empty(spark):
     assert jaccard_join.join(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 

@@ -14,12 +14,14 @@ table gives an empty result; columns besides doc_id and text, whatever their nam
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from changeloom.llm.common import table, text_or_empty
+from changeloom.llm.common import shared_folder, table, text_or_empty
 
 
 @dataclass(frozen=True)
@@ -110,9 +112,28 @@ def annotate(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text
     return docs.withColumn("blob", blob_of(text_or_empty(text))).join(found, "blob", "left").withColumns(counts | {"spans": F.coalesce("spans", F.lit(""))})
 
 
+def incremental(states: Iterable[DataFrame], folder: str, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
+    """Findings of all blobs of the states of a corpus, one after the other. After each, its findings and then its ledger rows are appended to the tables in folder; the next scans what the ledger lacks."""
+    ledger = findings = None
+    for docs in states:
+        spark = docs.sparkSession
+        found, rows = scan(docs, rules, ledger, text), ledger_rows(docs, rules, text)
+        if ledger is not None:
+            rows = rows.join(ledger, ["blob", "kind", "version"], "left_anti")
+        found.write.mode("append").parquet(f"{folder}/findings")
+        rows.write.mode("append").parquet(f"{folder}/ledger")
+        findings, ledger = (spark.read.schema(df.schema).parquet(f"{folder}/{name}") for df, name in ((found, "findings"), (rows, "ledger")))
+    return findings
+
+
+def states_of(docs: DataFrame) -> list[DataFrame]:
+    """Two states of a corpus that grows: about half of the documents, by a hash of doc_id, and all of them."""
+    return [docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0), docs]
+
+
 def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = per_blob(scan(docs))
+    found = per_blob(incremental(states_of(docs), f"{shared_folder(spark)}/changeloom/secrets-{uuid.uuid4().hex}"))
     paths = docs.select("doc_id", blob_of(text_or_empty()).alias("blob"))
     spans = F.coalesce("spans", F.lit(""))
     return paths.join(found, "blob", "left").select("doc_id", *[F.coalesce(f"n_{r.kind}", F.lit(0)).cast("long").alias(f"n_{r.kind}") for r in RULES], F.sha2(spans.cast("binary"), 256).alias("base_sha256"), spans.alias("spans"))

@@ -196,6 +196,29 @@ def test_ledger(spark, awkward):
     assert secrets.annotate(docs.limit(0)).count() == 0
 
 
+def test_query_scans_by_ledger(spark, awkward, tmp_path, monkeypatch):
+    docs = awkward.select("doc_id", "text").union(spark.createDataFrame([(100 + i, f"token: abcdef{i % 20:05d}") for i in range(40)], "doc_id long, text string"))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    seen, plain = [], secrets.scan
+
+    def scan(part, rules=secrets.RULES, ledger=None, text="text"):
+        found = plain(part, rules, ledger, text)
+        seen.append((ledger is not None and ledger.count(), {r.blob for r in part.select(secrets.blob_of(F.coalesce("text", F.lit(""))).alias("blob")).collect()}, {r.blob for r in found.collect()}))
+        return found
+
+    monkeypatch.setattr(secrets, "scan", scan)
+    monkeypatch.setattr(secrets, "shared_folder", lambda _: str(tmp_path))
+    got = Counter((r.doc_id, r.spans) for r in secrets.op7_secret_scans(spark, str(tmp_path)).collect())
+    assert got == Counter((r.doc_id, plain_spans(r.text or "")) for r in docs.collect())
+    (first, half, found), (held, every, new) = seen
+    assert first is False and half < every and held == len(half) * len(secrets.RULES)
+    assert found and new and not new & half  # the second state scans no blob of the first
+    (folder,) = (tmp_path / "changeloom").iterdir()
+    ledger, findings = (spark.read.parquet(f"{folder}/{name}") for name in ("ledger", "findings"))
+    assert ledger.count() == ledger.distinct().count() == len(every) * len(secrets.RULES)
+    assert findings.count() == findings.distinct().count()
+
+
 # -- URLs ------------------------------------------------------------------------------------------------------------------
 
 

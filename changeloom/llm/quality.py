@@ -123,15 +123,17 @@ def fit(docs: DataFrame, labels: DataFrame, most_p: int = MOST_P, most_u: int =
     model = Model(0.5 if share is None else min(max(share - 2 * (share * (1 - share) / n) ** 0.5, 0.01), 0.99))
     order = F.xxhash64("doc_id", F.lit(SEED))
     positives = known.where(F.col("quality") == 1).orderBy(order, "doc_id").limit(most_p).select("doc_id", F.lit(1).alias("role"))
-    ids = docs.where(F.col("doc_id").isNotNull() & ~held_out()).select("doc_id").orderBy(F.xxhash64("doc_id", F.lit(SEED + 1)), "doc_id").limit(most_u).distinct()
+    ids = docs.where(F.col("doc_id").isNotNull() & ~held_out()).select("doc_id").distinct().orderBy(F.xxhash64("doc_id", F.lit(SEED + 1)), "doc_id").limit(most_u)
     chosen = positives.unionByName(ids.select("doc_id", F.lit(0).alias("role")))
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield pd.DataFrame({"doc_id": batch["doc_id"], "role": batch["role"], "x": list(_features(batch["text"]))})
 
-    # the chosen ids are bounded by most_p + most_u
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(F.col("doc_id").cast("string").alias("doc_id"), "role", "text").mapInPandas(measure, "doc_id string, role int, x array<double>").toPandas()
+    # the chosen ids are bounded by most_p + most_u, and each gives one text, however often it is there
+    met = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    one = met.groupBy("doc_id", "role").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text"))["text"].alias("text"))
+    sample = one.select(F.col("doc_id").cast("string").alias("doc_id"), "role", "text").mapInPandas(measure, "doc_id string, role int, x array<double>").toPandas()
     sample = sample.assign(key=[tuple(x) for x in sample["x"]]).sort_values(["role", "doc_id", "key"])
     take = lambda role: np.array(sample.loc[sample["role"] == role, "x"].tolist())
     return model.fit(take(1), take(0))

@@ -246,6 +246,18 @@ def test_urls(spark):
         assert got.get(u) == plain_verdict(u, [x for x in rules if x[0]]), u
 
 
+def test_quality_sample_is_bounded_by_ids(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(60)], "doc_id long, text string")
+    free = docs.where(~quality.held_out())
+    often = free.orderBy(F.xxhash64("doc_id", F.lit(quality.SEED + 1))).first().doc_id  # the first that is chosen
+    more = docs.union(spark.createDataFrame([(often, f"again {k}") for k in range(300)], "doc_id long, text string"))
+    labels = docs.select("doc_id", F.lit(1).alias("quality"))
+    sizes = []
+    monkeypatch.setattr(quality.Model, "fit", lambda self, p, u: sizes.append((len(p), len(u))) or self)
+    quality.fit(more, labels, most_u=20)
+    assert sizes == [(free.count(), 20)]
+
+
 # -- near copies -----------------------------------------------------------------------------------------------------------
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline as P
 from changeloom.llm import quality
-from test_operators import plain_groups, plain_spans, words
+from test_corpus_operators import plain_groups, plain_spans, words
 
 SF = "/root/testdata/sf0.001"
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,6 +9,8 @@ from pyspark.sql import functions as F
 
 #: A word is a maximal run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Hot keys of spread_join.
+SPREAD_FROM, SPREAD_MOST, SALTS = 1000, 1000, 64
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,12 +18,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where it is unset (local tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or the one that setCheckpointDir was given. Without either, stored tables have no place that all can see, so it fails."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         held = spark.sparkContext._jsc.sc().getCheckpointDir()
-        folder = held.get() if held.isDefined() else "file://" + tempfile.mkdtemp(prefix="spark-")
-        spark.sparkContext.setCheckpointDir(folder)
+        if not held.isDefined():
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = held.get()
     return folder.rstrip("/")
 
 
@@ -45,3 +47,23 @@ def discard(spark: SparkSession, *tables: DataFrame) -> None:
 
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
+
+
+def spread_join(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
+    """left with the columns of right (at most one row a key) where there is one, else nulls: a left join that hot keys and nulls don't put into one task.
+
+    Keys with SPREAD_FROM rows or more, the SPREAD_MOST largest, are dealt to SALTS tasks each by a hash of left's rows, and right's rows of these keys are copied as often; what
+    is not among them has less than 1/SPREAD_MOST of the rows. Rows whose key is null meet nothing, so they are kept out of the join.
+    """
+    counts = left.where(F.col(on).isNotNull()).groupBy(on).agg(F.count("*").alias("_n")).where(F.col("_n") >= SPREAD_FROM)
+    hot = counts.orderBy(F.desc("_n"), on).limit(SPREAD_MOST).select(on).collect()
+    there, none = left.where(F.col(on).isNotNull()), left.where(F.col(on).isNull())
+    more = [c for c in right.columns if c != on]
+    alone = none.select("*", *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in more])
+    if not hot:
+        return there.join(right, on, "left").select(*left.columns, *more).unionByName(alone)
+    marks = F.broadcast(left.sparkSession.createDataFrame(hot, left.select(on).schema).withColumn("_hot", F.lit(True)))  # SPREAD_MOST keys at most
+    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*left.columns), F.lit(SALTS)).cast("int")).otherwise(0)
+    salted = there.join(marks, on, "left").withColumn("_salt", salt).drop("_hot")
+    copied = right.join(marks, on, "left").withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))).drop("_hot")
+    return salted.join(copied, [on, "_salt"], "left").select(*left.columns, *more).unionByName(alone)

@@ -1,20 +1,21 @@
-"""Sets of word shingles as 64-bit hashes, for many texts at once in numpy."""
+"""Sets of word shingles as 64-bit hashes, for many texts at once.
+
+Words are hashed by keyed BLAKE2b, so no texts can be made up whose words collide; a shingle's hash is a mix of its words' hashes. Comparing sets is comparing these
+64-bit hashes: two different shingles of one pair of texts agree by chance once in 2^64.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
+from hashlib import blake2b
+from itertools import chain
+
 import numpy as np
 
 #: Bytes of text that are hashed together; bounds the memory of the temporary arrays.
 STRETCH = 1 << 20
-
-_rng = np.random.default_rng(20240229)
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BYTE[65:91] = _BYTE[97:123]  # A-Z count as a-z
-_BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+#: Words whose hashes are kept, and the longest of them.
+MEMO, LONGEST = 300_000, 64
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -24,56 +25,51 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """_BASE ** i and its inverse for i < n."""
-    if len(_powers[0]) < n:
-        for k, base in enumerate((_BASE, _INVERSE)):
-            factors = np.full(n, base, np.uint64)
-            factors[0] = 1
-            _powers[k] = np.cumprod(factors, dtype=np.uint64)
-    return _powers[0][:n], _powers[1][:n]
+class _Hashes(dict):
+    """word -> its hash, through a bounded memo."""
 
+    def __missing__(self, word: bytes) -> int:
+        value = int.from_bytes(blake2b(word, digest_size=8, key=b"words of shingles").digest(), "little")
+        if len(word) <= LONGEST:
+            if len(self) >= MEMO:
+                self.clear()
+            self[word] = value
+        return value
 
-def _word_hashes(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and first byte of every word."""
-    gap = _SPACE[raw]
-    edge = np.flatnonzero(np.diff(gap, prepend=True, append=True))
-    first, last = edge[::2], edge[1::2]
-    up, down = _power(len(raw) + 1)
-    sums = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(_BYTE[raw] * up[:-1], out=sums[1:])
-    return mix((sums[last] - sums[first]) * down[first] + (last - first).astype(np.uint64)), first
 
+_hashes = _Hashes()
 
-def shingle_sets(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
-    """All texts' distinct shingle hashes, sorted within each text, and where each text's begin (one more than texts)."""
-    values, counts, at = [], [], 0
-    while at < len(texts):
-        end, size = at, 0
-        while end < len(texts) and (end == at or size + len(texts[end]) < STRETCH):
-            size += len(texts[end]) + 1
+
+def portions(sizes: Sequence[int], most: int) -> Iterator[tuple[int, int]]:
+    """Stretches [from, to) of items whose sizes add up to no more than ``most``, or that are one item."""
+    at = 0
+    while at < len(sizes):
+        end, size = at + 1, sizes[at]
+        while end < len(sizes) and size + sizes[end] <= most:
+            size += sizes[end]
             end += 1
-        v, c = _stretch(texts[at:end], width)
-        values.append(v)
-        counts.append(c)
+        yield at, end
         at = end
+
+
+def shingle_sets(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """All texts' distinct shingle hashes, sorted within each text, and where each text's begin (one more than texts)."""
+    parts = [_stretch(texts[a:b], width) for a, b in portions([len(t) + 1 for t in texts], STRETCH)]
     starts = np.zeros(len(texts) + 1, np.int64)
     if texts:
-        np.cumsum(np.concatenate(counts), out=starts[1:])
-    return np.concatenate(values) if values else np.zeros(0, np.uint64), starts
+        np.cumsum(np.concatenate([c for _, c in parts]), out=starts[1:])
+    return np.concatenate([v for v, _ in parts]) if parts else np.zeros(0, np.uint64), starts
 
 
 def _stretch(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
-    raw = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
-    begin = np.zeros(len(texts) + 1, np.int64)
-    np.cumsum([len(t) + 1 for t in texts], out=begin[1:])
-    words, first = _word_hashes(raw)
-    word_at = np.searchsorted(first, begin)
-    n = len(words) - width + 1
-    runs = np.zeros(max(n, 0), np.uint64)
+    words = [t.lower().split() for t in texts]  # of bytes: A-Z alone, and ASCII white space
+    word_at = np.zeros(len(texts) + 1, np.int64)
+    np.cumsum([len(w) for w in words], out=word_at[1:])
+    hashes = np.fromiter(chain.from_iterable(map(_hashes.__getitem__, w) for w in words), np.uint64, int(word_at[-1]))
+    n = max(len(hashes) - width + 1, 0)
+    runs = np.zeros(n, np.uint64)
     for k in range(width):
-        runs = runs * np.uint64(0xD6E8FEB86659FD93) + words[k : k + max(n, 0)]
-    runs = mix(runs + np.uint64(width))
+        runs = mix(runs * np.uint64(0xD6E8FEB86659FD93) + hashes[k : k + n])
     out, counts = [], np.zeros(len(texts), np.int64)
     for i in range(len(texts)):
         a, b = word_at[i], word_at[i + 1]
@@ -81,10 +77,9 @@ def _stretch(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
             v = np.sort(runs[a : b - width + 1])
             v = v[np.concatenate(([True], v[1:] != v[:-1]))]
         elif b > a:
-            x = 0
-            for w in words[a:b].tolist():
-                x = (x * 0xD6E8FEB86659FD93 + w) & 0xFFFFFFFFFFFFFFFF
-            v = mix(np.array([x], np.uint64) + np.uint64(b - a))
+            v = np.full(1, b - a, np.uint64)  # the whole sequence, and its length
+            for h in hashes[a:b]:
+                v = mix(v * np.uint64(0xD6E8FEB86659FD93) + h)
         else:
             continue
         out.append(v)

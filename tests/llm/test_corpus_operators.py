@@ -8,8 +8,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from changeloom.llm import graph_search, jaccard_join, mixing, pieces, quality, secrets, tokens, tool_calls, url_filters
-from changeloom.llm.components import components
+from changeloom.llm import common, graph_search, jaccard_join, mixing, pieces, quality, secrets, tokens, tool_calls, url_filters
+from changeloom.llm.components import components, joined_by
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -318,7 +318,7 @@ def near_copies(seed, n):
 @pytest.mark.parametrize("seed, width, threshold", [(1, 4, (85, 100)), (2, 5, (80, 100))])
 def test_jaccard_against_all_pairs(spark, seed, width, threshold, monkeypatch):
     monkeypatch.setattr(jaccard_join, "LONG", 6)  # so that blocks are used at this size
-    monkeypatch.setattr(jaccard_join, "BLOCK", 16)
+    monkeypatch.setattr(jaccard_join, "BLOCK", 4000)
     rows = near_copies(seed, 250)
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("rep", F.lit(1)).withColumn("sig", F.lit(2)).withColumn("n", F.lit(3))
     got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.join(df, width, threshold).collect())
@@ -337,10 +337,10 @@ def plain_links(rows, width, num, den):
     return Counter((doc, len(s), links.get(s, 0)) for (doc, _), s in zip(rows, sets))
 
 
-@pytest.mark.parametrize("counted", [5000, jaccard_join.COUNTED])  # blocks of large components, all in packs
+@pytest.mark.parametrize("counted", [5000, jaccard_join.BLOCK])  # blocks of large components, all in packs
 @pytest.mark.parametrize("parts", [1, 7])
 def test_jaccard_links_against_all_pairs(spark, counted, parts, monkeypatch):
-    monkeypatch.setattr(jaccard_join, "COUNTED", counted)
+    monkeypatch.setattr(jaccard_join, "BLOCK", counted)
     rows = near_copies(3, 150)
     crowd = ["x%d" % i for i in range(200)]
     rows += [(9000 + i, " ".join([*crowd, "y%d" % i])) for i in range(60)]  # each linked with the 59 others
@@ -351,6 +351,44 @@ def test_jaccard_links_against_all_pairs(spark, counted, parts, monkeypatch):
     assert got == want, (list((got - want).items())[:5], list((want - got).items())[:5])
 
 
+def thue_morse(n, flip):
+    return "".join("ab"[bin(i).count("1") % 2 ^ flip] for i in range(n))
+
+
+def test_jaccard_tells_long_words_apart(spark):
+    """Complementary words of this sequence collide under every polynomial hash modulo a power of two."""
+    rows = [(i, f"one two three {thue_morse(n, flip)}") for i, (n, flip) in enumerate([(1024, 0), (1024, 1), (4096, 0), (4096, 1)])] + [(9, "w" * 300_000), (10, "w" * 300_000 + "x"), (11, "W" * 300_000)]
+    got = {(r.doc_id, r.component_id, r.links) for r in jaccard_join.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(i, i, 0) for i in (0, 1, 2, 3, 9, 10)} | {(11, 9, 0)}
+
+
+def test_jaccard_of_very_long_texts_in_small_portions(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BYTES", 2000)  # texts longer than a portion are taken alone
+    monkeypatch.setattr(jaccard_join, "LONG", 2)
+    monkeypatch.setattr(jaccard_join, "BLOCK", 1000)
+    r = random.Random(8)
+    base = ["v%d" % r.randrange(5000) for _ in range(20_000)]
+    texts = []
+    for k in range(4):
+        copy = list(base)
+        for _ in range(150 * k):
+            copy[r.randrange(len(copy))] = "c%d" % r.randrange(10**6)
+        texts.append(" ".join(copy))
+    rows = list(enumerate(texts + ["short text of six words here", "short text of six words there"]))
+    got = Counter((x.doc_id, x.n_shingles, x.component_id) for x in jaccard_join.join(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == plain_groups(rows, *(jaccard_join.WIDTH, *jaccard_join.THRESHOLD))
+
+
+def test_spread_join(spark, monkeypatch):
+    monkeypatch.setattr(common, "SPREAD_FROM", 10)
+    left = [(i, "hot" if i % 2 else None if i % 3 == 0 else f"k{i % 7}") for i in range(200)]
+    right = {"hot": 1, "k1": 2, "k2": 3, "unmet": 4}
+    df = spark.createDataFrame(left, "i long, k string")
+    got = Counter((r.i, r.k, r.v) for r in common.spread_join(df, spark.createDataFrame(list(right.items()), "k string, v int"), "k").collect())
+    assert got == Counter((i, k, right.get(k)) for i, k in left)
+    assert common.spread_join(df.limit(0), spark.createDataFrame(list(right.items()), "k string, v int"), "k").count() == 0
+
+
 def test_jaccard_empty(spark):
     assert jaccard_join.join(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
@@ -382,9 +420,18 @@ def test_components(spark):
     for a, b in links:
         x, y = sorted((top(a), top(b)))
         up[y] = x
-    got = {r_.node: r_.component for r_ in components(spark.createDataFrame(links, "a long, b long")).collect()}
     linked = {n for a, b in links for n in (a, b) if a != b}
-    assert got == {n: top(n) for n in linked}
+
+    def same(got):
+        """Whether nodes share a component exactly when links join them."""
+        return got.keys() == linked and len({(top(n), c) for n, c in got.items()}) == len(set(got.values())) == len({top(n) for n in linked})
+
+    df = spark.createDataFrame(links, "a long, b long")
+    assert same({r_.node: r_.component for r_ in components(df).collect()})
+    # the same in two parts, the second one carrying on from the first
+    part = spark.createDataFrame(links[::2], "a long, b long")
+    assert same({r_.node: r_.component for r_ in joined_by(components(part), spark.createDataFrame(links[1::2], "a long, b long")).collect()})
+    assert components(df.limit(0)).count() == 0
 
 
 # -- nearest neighbours ----------------------------------------------------------------------------------------------------

@@ -44,7 +44,7 @@ WIDTH, THRESHOLD = 4, (85, 100)
 #: Spare allocations as a part of those needed: more make more signatures and fewer near misses to compare, which pays where the threshold is low.
 SPARE = 0.12
 #: Signatures that one chance match is worth.
-CHANCE = 50
+CHANCE = 10
 #: Bits of a signature. Chance agreements only cost a comparison; at 10**13 signatures they are 2 in 100.
 KEPT_BITS = (1 << 48) - 1
 #: Bytes of text that are signed or compared together, for the memory of a task; one longer text is taken alone.

@@ -13,7 +13,7 @@ from changeloom.llm import jaccard_join, mixing, pieces, quality, secrets
 from changeloom.llm.common import discard, stored, table, text_or_empty
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-WIDTH, THRESHOLD, SPARE = 5, (80, 100), 0.3
+WIDTH, THRESHOLD, SPARE = 5, (80, 100), 0.2
 MASK = "[secret]"
 
 

@@ -24,8 +24,8 @@ def lsn_diff(a: Column, b: Column) -> Column:
 
 
 def whole_mb(n: Column) -> Column:
-    """Bytes as whole MB, as warnings show them."""
-    return F.floor(n / F.lit(1048576)).cast("long")
+    """Bytes as whole MB, towards zero, as warnings show them."""
+    return ((n - n % F.lit(1048576)) / F.lit(1048576)).cast("long")
 
 
 def unsigned32(n: Column) -> Column:

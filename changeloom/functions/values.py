@@ -117,9 +117,18 @@ def pg_micros(micros: Column) -> Column:
     return F.timestamp_micros(micros + F.lit(PG_EPOCH_MICROS))
 
 
-def toast(kind: Column, text: Column, oid: int, strategy: str = "null", placeholder: str = "__unchanged_toast_value__") -> Column:
+def holds_text(oid: Column, typmod: Column, unconstrained: str = "string") -> Column:
+    """Whether spark_type has text for a column of this type: the columns that may hold a placeholder."""
+    p, scale = typmod_precision(typmod), typmod_scale(typmod)
+    wide = F.when(scale < 0, p - scale).otherwise(p)
+    as_decimal = F.when(typmod < 4, F.lit(unconstrained == "decimal")).otherwise((F.greatest(scale, F.lit(0)) <= wide) & (wide <= 38))
+    return F.when(oid == NUMERIC, ~as_decimal).otherwise(~oid.isin(BOOL, INT2, INT4, INT8, FLOAT4, FLOAT8, DATE, TIMESTAMP, TIMESTAMPTZ, BYTEA))
+
+
+def toast(kind: Column, text: Column, oid: Column | int, strategy: str = "null", placeholder: str = "__unchanged_toast_value__", typmod: Column | int = -1, unconstrained: str = "string") -> Column:
     """The text of a cell of kind n, t or u (unchanged, not sent): null or, for columns that are strings here, the placeholder. ``omit`` is null too: the key is left out by whoever builds the row."""
     if strategy not in ("null", "placeholder", "omit"):
         raise ValueError(f"unknown strategy {strategy}")
-    fill = F.lit(placeholder) if strategy == "placeholder" and isinstance(spark_type(oid), T.StringType) else F.lit(None).cast("string")
+    column = lambda x: x if isinstance(x, Column) else F.lit(x)
+    fill = F.when(holds_text(column(oid), column(typmod), unconstrained), F.lit(placeholder)) if strategy == "placeholder" else F.lit(None).cast("string")
     return F.when(kind == "u", fill).when(kind == "t", text)

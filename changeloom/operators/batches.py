@@ -45,8 +45,8 @@ def batch_totals(cut: DataFrame) -> DataFrame:
 
 
 def schema_islands(relations: DataFrame, value: Column, name: str = "schema_version") -> DataFrame:
-    """relations (relation_id, seq) with a number that rises whenever the definition differs from the one before: A B A are three, an equal one sent again is the same."""
-    by = Window.partitionBy("relation_id").orderBy("seq")
+    """relations (source_id, relation_id, seq) with a number that rises whenever the definition differs from the one before in its source: A B A are three, an equal one sent again is the same."""
+    by = Window.partitionBy("source_id", "relation_id").orderBy("seq")
     valued = relations.withColumn("_v", value)
     changed = F.when(F.lag("_v").over(by).isNull() | ~F.col("_v").eqNullSafe(F.lag("_v").over(by)), 1).otherwise(0)
     return valued.withColumn("_c", changed).withColumn(name, F.sum("_c").over(by.rowsBetween(Window.unboundedPreceding, 0))).drop("_v", "_c")

@@ -1,7 +1,9 @@
 """pgoutput messages: bytes to columns and back.
 
-decode() runs the codec over Arrow-backed batches of (source_id, seq, recv_lsn, data). Whether a message lies in a streamed segment (and so carries a transaction id
-in front) is found first, from the markers S and E alone, with a forward fill that leaves no source in one task. A malformed message fails the query.
+decode() runs the codec over Arrow batches of (source_id, seq, recv_lsn, data) and makes their columns one by one. Kinds that nobody asked for are dropped by their first byte, before anything
+else. Whether a message lies in a streamed segment (and so carries a transaction id in front) is found from the markers S and E, with a forward fill that leaves no source in one task.
+What a join or filter needs of a message is read off its bytes by built-in functions (message_kind, peek_*), so changes meet their definitions as bytes, and decode_rows() decodes each once.
+A malformed message fails the query.
 
 encode_*() build the same bytes from columns with built-in functions, for tests and round trips.
 """
@@ -11,8 +13,11 @@ from __future__ import annotations
 import struct
 from collections.abc import Iterator
 from decimal import Decimal
+from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -58,21 +63,28 @@ class Reader:
         end = self.data.find(b"\0", self.at)
         if end < 0:
             raise ProtocolError("a string has no end")
-        text = self.data[self.at : end].decode()
+        text = self.data[self.at : end].decode(errors="replace")
         self.at = end + 1
         return text
 
     def cells(self) -> list[dict]:
-        out = []
+        out, data, at = [], self.data, self.at + 2
         for _ in range(self.number(2)):
-            kind = self.letter()
-            if kind in "nu":
-                out.append({"kind": kind, "text": None, "bin": None})
-            elif kind in "tb":
-                value = self.take(self.number(4, signed=True))
-                out.append({"kind": kind, "text": value.decode() if kind == "t" else None, "bin": value if kind == "b" else None})
+            kind = data[at : at + 1]
+            if kind == b"t" or kind == b"b":
+                start = at + 5
+                end = start + int.from_bytes(data[at + 1 : start], "big", signed=True)
+                if end < start or end > len(data):
+                    raise ProtocolError("the message ends too early")
+                value = data[start:end]
+                out.append({"kind": "t", "text": value.decode(errors="replace"), "bin": None} if kind == b"t" else {"kind": "b", "text": None, "bin": value})
+                at = end
+            elif kind == b"n" or kind == b"u":
+                out.append({"kind": kind.decode(), "text": None, "bin": None})
+                at += 1
             else:
                 raise ProtocolError(f"unknown kind of cell {kind!r}")
+        self.at = at
         return out
 
     def expect(self, allowed: str) -> str:
@@ -132,7 +144,7 @@ def decode_message(data: bytes, in_stream: bool) -> dict:
     elif kind == "T":
         out |= _truncate(r)
     elif kind == "S":
-        out |= {"xid": r.number(4), "first_segment": r.number(1) == 1}
+        out |= {"xid": r.number(4), "first_segment": r.number(1) != 0}
     elif kind == "c":
         xid = r.number(4)
         r.take(1)
@@ -146,30 +158,86 @@ def decode_message(data: bytes, in_stream: bool) -> dict:
     return out
 
 
-def decode(raw: DataFrame, streaming: bool = False) -> DataFrame:
-    """raw (source_id, seq, recv_lsn, data) -> messages. ``streaming`` says whether segments of large transactions may occur."""
-    kind = F.decode(F.substring("data", 1, 1), "ISO-8859-1")
+def decode(raw: DataFrame, streaming: bool = False, kinds: str | None = None) -> DataFrame:
+    """raw (source_id, seq, recv_lsn, data) -> messages. ``streaming`` says whether segments of large transactions may occur; of ``kinds``, where given, and of no others."""
+    kind = message_kind(F.col("data"))
+    wanted = F.lit(True) if kinds is None else kind.isin(*kinds)
     if streaming:
-        marked = segment_membership(raw.withColumn("k", kind), F.col("k") == "S", F.col("k") == "E", F.lit(0).cast("long"))
+        marked = segment_membership(raw.where(wanted | kind.isin("S", "E")).withColumn("k", kind), F.col("k") == "S", F.col("k") == "E", F.lit(0).cast("long")).where(wanted)
     else:
-        marked = raw.withColumn("in_stream", F.lit(False))
+        marked = raw.where(wanted).withColumn("in_stream", F.lit(False))
 
     shape = arrow_schema(MESSAGE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for row in batch.to_pylist():
-                data, in_stream = row.pop("data"), row.pop("in_stream")
-                try:
-                    rows.append(row | decode_message(data, in_stream))
-                except ValueError as e:
-                    raise ProtocolError(f"{row['source_id']}, message {row['seq']}: {e}") from e
-            yield pa.RecordBatch.from_pylist(rows, schema=shape)
+            rows = _messages(batch, batch.column(4).to_pylist())
+            held = {name: batch.column(i) for i, name in enumerate(("source_id", "seq", "recv_lsn"))}
+            yield pa.RecordBatch.from_arrays([held[f.name] if f.name in held else _column(rows, f) for f in shape], schema=shape)
 
     return marked.select("source_id", "seq", "recv_lsn", "data", "in_stream").mapInArrow(run, MESSAGE)
 
 
+def _messages(batch: pa.RecordBatch, in_stream: list[bool]) -> list[dict]:
+    """The messages of a batch (source_id, seq, recv_lsn, data, ...)."""
+    rows = []
+    for i, (data, inside) in enumerate(zip(batch.column(3).to_pylist(), in_stream, strict=True)):
+        try:
+            rows.append(decode_message(data, inside))
+        except ValueError as e:
+            raise ProtocolError(f"{batch.column(0)[i]}, message {batch.column(1)[i]}: {e}") from e
+    return rows
+
+
+def _column(rows: list[dict], field: pa.Field) -> pa.Array:
+    """One field of the messages; null where a message doesn't have it."""
+    values = [r.get(field.name) for r in rows]
+    if all(v is None for v in values):
+        return pa.nulls(len(rows), field.type)
+    return _cell_column(values, field.type) if field.name in ("old", "new") else pa.array(values, field.type)
+
+
+def _cell_column(rows: list[list[dict] | None], kind: pa.DataType) -> pa.Array:
+    """Tuples of cells, made flat."""
+    flat = [cell for cells in rows if cells is not None for cell in cells]
+    fields = kind.value_type
+    parts = pa.StructArray.from_arrays([pa.array([c[f.name] for c in flat], f.type) for f in fields], fields=list(fields))
+    ends = list(accumulate((len(cells) if cells is not None else 0 for cells in rows), initial=0))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), parts, type=kind, mask=pa.array([cells is None for cells in rows]))
+
+
+def decode_rows(changes: DataFrame) -> DataFrame:
+    """changes (source_id, seq, recv_lsn, data: an I, U, D or T outside a segment, relation, ...) with old_kind, old and new instead of data: cells as text.
+
+    Binary values are turned into text in the same pass. ``bin`` stays with cells that came in binary and have no value here (kind n) or no mapping (their text is hex).
+    """
+    others = [c for c in changes.columns if c not in ("source_id", "seq", "recv_lsn", "data")]
+    of = others.index("relation") + 4
+    added = f"old_kind string, old array<{CELL}>, new array<{CELL}>"
+    source = changes.select("source_id", "seq", "recv_lsn", "data", *others)
+    schema = StructType([f for f in source.schema if f.name != "data"] + list(StructType.fromDDL(added)))
+    shape = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = _messages(batch, [False] * batch.num_rows)
+            columns = pc.struct_field(batch.column(of), "columns")
+            if any(c["kind"] == "b" for r in rows for side in ("old", "new") for c in r.get(side) or ()):
+                for r, oids in zip(rows, _type_oids(columns), strict=True):
+                    for side in ("old", "new"):
+                        if side in r:
+                            r[side] = [_as_text(cell, oid) for cell, oid in zip(r[side], oids, strict=True)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(others) + 4) if i != 3), *(_column(rows, f) for f in list(shape)[-3:])], schema=shape)
+
+    return source.mapInArrow(run, schema)
+
+
+def _type_oids(columns: pa.ListArray) -> list[list[int]]:
+    """Types of the columns of each row's table."""
+    oids, ends = columns.values.field("type_oid").to_pylist(), columns.offsets.to_pylist()
+    return [oids[a:b] for a, b in zip(ends, ends[1:])]
+
+
 def arrow_schema(ddl: str) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(ddl))
 
@@ -188,6 +256,18 @@ def peek_xid(data: Column) -> Column:
     return F.conv(F.hex(F.substring(data, 2, 4)), 16, 10).cast("long")
 
 
+def peek_relation(data: Column) -> Column:
+    """The table's number of an I, U, D or R outside a segment."""
+    return F.conv(F.hex(F.substring(data, 2, 4)), 16, 10).cast("long")
+
+
+def peek_truncated(data: Column) -> Column:
+    """The tables' numbers of a T outside a segment."""
+    n = F.conv(F.hex(F.substring(data, 2, 4)), 16, 10).cast("int")
+    number = lambda i: F.conv(F.hex(F.substr(data, 7 + 4 * i, F.lit(4))), 16, 10).cast("long")
+    return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), number)).otherwise(F.array().cast("array<long>"))
+
+
 def big_endian(number: Column, n_bytes: int) -> Column:
     """A number's lowest bytes, highest first."""
     return F.unhex(F.right(F.lpad(F.hex(number.cast("long")), 16, "0"), F.lit(2 * n_bytes)))
@@ -234,6 +314,35 @@ def encode_insert(oid: Column, cells: list[Column], stream_xid: Column | None =
     return F.concat(letter("I"), *prefix, big_endian(oid, 4), letter("N"), encode_tuple(cells))
 
 
+def encode_update(oid: Column, old: list[Column] | None, new: list[Column], old_kind: str = "O") -> Column:
+    before = [] if old is None else [letter(old_kind), encode_tuple(old)]
+    return F.concat(letter("U"), big_endian(oid, 4), *before, letter("N"), encode_tuple(new))
+
+
+def encode_delete(oid: Column, old: list[Column], old_kind: str = "K") -> Column:
+    return F.concat(letter("D"), big_endian(oid, 4), letter(old_kind), encode_tuple(old))
+
+
+def encode_truncate(oids: list[Column], flags: Column) -> Column:
+    return F.concat(letter("T"), big_endian(F.lit(len(oids)), 4), big_endian(flags, 1), *[big_endian(x, 4) for x in oids])
+
+
+def encode_origin(lsn: Column, name: Column) -> Column:
+    return F.concat(letter("O"), big_endian(lsn, 8), c_string(name))
+
+
+def encode_type(oid: Column, namespace: Column, name: Column) -> Column:
+    return F.concat(letter("Y"), big_endian(oid, 4), c_string(namespace), c_string(name))
+
+
+def encode_abort(xid: Column, sub_xid: Column) -> Column:
+    return F.concat(letter("A"), big_endian(xid, 4), big_endian(sub_xid, 4))
+
+
+def unchanged_cell() -> Column:
+    return letter("u")
+
+
 # -- binary values -------------------------------------------------------------------------------------------------------------------------
 
 
@@ -267,9 +376,8 @@ def binary_text(raw: bytes | None, oid: int) -> str | None:
     if oid in (V.INT2, V.INT4, V.INT8):
         return str(int.from_bytes(_fixed(raw, {V.INT2: 2, V.INT4: 4, V.INT8: 8}[oid]), "big", signed=True))
     if oid in (V.FLOAT4, V.FLOAT8):
-        n = 4 if oid == V.FLOAT4 else 8
-        value = struct.unpack(">f" if n == 4 else ">d", _fixed(raw, n))[0]
-        return repr(value) if value == value and abs(value) != float("inf") else None
+        value = np.frombuffer(_fixed(raw, 4), ">f4")[0] if oid == V.FLOAT4 else struct.unpack(">d", _fixed(raw, 8))[0]
+        return str(value) if np.isfinite(value) else None  # the shortest digits that give this value in its own width
     if oid == V.NUMERIC:
         value = binary_numeric(raw)
         return None if value is None else format(value, "f")
@@ -309,24 +417,12 @@ def _clock(micros: int) -> str:
     return f"{s // 3600:02d}:{s // 60 % 60:02d}:{s % 60:02d}.{us:06d}"
 
 
-def cells_as_text(messages: DataFrame, column: str = "new") -> DataFrame:
-    """messages (with relation) whose binary cells have become text cells; an unmapped type as hex, an unsupported value as kind n with ``bin`` kept."""
-
-    shape = to_arrow_schema(messages.schema)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = batch.to_pylist()
-            for row in rows:
-                if row[column] is not None:
-                    row[column] = [_as_text(cell, of["type_oid"]) for cell, of in zip(row[column], row["relation"]["columns"], strict=True)]
-            yield pa.RecordBatch.from_pylist(rows, schema=shape)
-
-    return messages.mapInArrow(run, messages.schema)
+#: Types whose binary form is read here.
+MAPPED = {V.BOOL, V.INT2, V.INT4, V.INT8, V.FLOAT4, V.FLOAT8, V.NUMERIC, V.DATE, V.TIME, V.TIMESTAMP, V.TIMESTAMPTZ, V.UUID, V.JSONB, V.TEXT, V.VARCHAR, V.BPCHAR, V.NAME, V.JSON, V.BYTEA}
 
 
 def _as_text(cell: dict, oid: int) -> dict:
     if cell["kind"] != "b":
         return cell
     text = binary_text(cell["bin"], oid)
-    return {"kind": "n" if text is None else "t", "text": text, "bin": cell["bin"] if text is None else None}
+    return {"kind": "n" if text is None else "t", "text": text, "bin": None if text is not None and oid in MAPPED else cell["bin"]}

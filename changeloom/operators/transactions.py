@@ -11,15 +11,19 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from changeloom.operators.ordered import forward_fill, running_count
+from changeloom.operators.ordered import RANGE, forward_fill, running_count
 
 
-def transaction_context(log: DataFrame, begin: Column, payload: Column, commit: Column | None = None) -> DataFrame:
+def transaction_context(log: DataFrame, begin: Column, payload: Column, commit: Column | None = None, width: int = RANGE) -> DataFrame:
     """log with ``txn``, the payload of the latest begin at or before each row; null outside, where ``commit`` rows end it."""
-    marker = F.when(begin, F.struct(payload.alias("txn")))
+    placed = log.withColumn("_at", F.col("seq") * 2).withColumn("_m", F.when(begin, F.struct(payload.alias("txn"))))
     if commit is not None:
-        marker = F.when(begin, F.struct(payload.alias("txn"))).when(F.lag(commit).over(Window.partitionBy("source_id").orderBy("seq")), F.struct(F.lit(None).alias("txn")))
-    return forward_fill(log, ["source_id"], "seq", marker, "_t").withColumn("txn", F.col("_t.txn")).drop("_t")
+        # what ends a transaction takes effect right after its row: a mark of its own between that row and the next
+        none = F.struct(F.lit(None).cast(placed.schema["_m"].dataType["txn"].dataType).alias("txn"))
+        ends = log.where(commit).select("source_id", (F.col("seq") * 2 + 1).alias("_at"), none.alias("_m"))
+        placed = placed.unionByName(ends, allowMissingColumns=True)
+    filled = forward_fill(placed, ["source_id"], "_at", F.col("_m"), "_t", width).where(F.col("_at") % 2 == 0)
+    return filled.withColumn("txn", F.col("_t.txn")).drop("_t", "_m", "_at")
 
 
 def segment_membership(log: DataFrame, start: Column, stop: Column, xid: Column) -> DataFrame:
@@ -37,41 +41,52 @@ def incarnations(log: DataFrame, first: Column) -> DataFrame:
 def committed_only(log: DataFrame, change: Column, commit: Column, abort: Column) -> DataFrame:
     """The changes whose next commit or abort, in their incarnation of the xid, is a commit; with ``commit_seq``.
 
-    log: source_id, xid, incarnation, seq. Ends are numbered backwards within an xid; a transaction's rows are what one window partition holds.
+    log: source_id, xid, incarnation, seq. Ends are numbered within a transaction, and a change meets the one after those that it has behind it; counting goes by ranges, so no transaction is one task.
     """
-    onward = Window.partitionBy("source_id", "xid", "incarnation").orderBy("seq").rowsBetween(1, Window.unboundedFollowing)
-    end = F.when(commit, F.struct(F.lit(True).alias("ok"), F.col("seq").alias("at"))).when(abort, F.struct(F.lit(False).alias("ok"), F.col("seq").alias("at")))
-    return log.withColumn("_e", F.first(end, True).over(onward)).where(change & F.coalesce(F.col("_e.ok"), F.lit(False))).withColumn("commit_seq", F.col("_e.at")).drop("_e")
+    of = ["source_id", "xid", "incarnation"]
+    ends = log.where(commit | abort).select(*of, F.col("seq").alias("_at"), commit.alias("_ok"))
+    ends = ends.withColumn("_n", F.row_number().over(Window.partitionBy(*of).orderBy("_at")) - 1)  # one narrow row an end
+    behind = running_count(log.where(change | commit | abort), of, "seq", commit | abort, "_n").where(change)
+    return behind.join(ends.where("_ok"), [*of, "_n"]).withColumn("commit_seq", F.col("_at")).drop("_n", "_at", "_ok")
 
 
 def aborted_ranges(log: DataFrame) -> DataFrame:
-    """xid, from_seq, to_seq: stretches of a streamed transaction that aborts of subtransactions undo.
+    """source_id, xid, incarnation (where log has it), from_seq, to_seq: stretches of a streamed transaction that aborts of subtransactions undo.
 
-    log: xid, sub_xid, seq, is_abort. An abort of a subtransaction drops everything of its xid from that subtransaction's first message that still stands, and forgets the
-    subtransactions that began there or later. One pass in order; what it keeps is one number per subtransaction that stands.
+    log: source_id, xid, sub_xid, seq, is_abort. An abort of a subtransaction drops everything of its xid from that subtransaction's first message that still stands, and forgets the
+    subtransactions that began there or later. Between two aborts only each subtransaction's first message matters, so messages are reduced to those; a pass in order over what is left
+    keeps one number per subtransaction that stands.
     """
+    of = ["source_id", "xid", *(["incarnation"] if "incarnation" in log.columns else [])]
+    numbered = running_count(log.select(*of, "sub_xid", "seq", "is_abort"), of, "seq", F.col("is_abort"), "_n")
+    firsts = numbered.where("NOT is_abort").groupBy(*of, "sub_xid", "_n").agg(F.min("seq").alias("seq")).withColumn("is_abort", F.lit(False)).drop("_n")
+    narrow = firsts.unionByName(numbered.where("is_abort").drop("_n")).select(*of, "sub_xid", "seq", "is_abort")
 
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        xid, first = None, {}
+        whose, first = None, {}
         for batch in batches:
             out = []
-            for x, sub, seq, is_abort in batch[["xid", "sub_xid", "seq", "is_abort"]].itertuples(index=False):
-                if x != xid:
-                    xid, first = x, {}
+            for *key, sub, seq, is_abort in batch.itertuples(index=False):
+                if key != whose:
+                    whose, first = key, {}
                 if not is_abort:
                     first.setdefault(sub, seq)
                 elif sub in first:
                     mark = first[sub]
-                    out.append((x, mark, seq))
+                    out.append((*key, mark, seq))
                     first = {s: at for s, at in first.items() if at < mark}
-            yield pd.DataFrame(out, columns=["xid", "from_seq", "to_seq"])
+            yield pd.DataFrame(out, columns=[*of, "from_seq", "to_seq"])
 
-    return log.select("xid", "sub_xid", "seq", "is_abort").repartition("xid").sortWithinPartitions("xid", "seq").mapInPandas(fold, "xid long, from_seq long, to_seq long")
+    types = ", ".join(f"{c} {narrow.schema[c].dataType.simpleString()}" for c in of)
+    return narrow.repartition(*of).sortWithinPartitions(*of, "seq").mapInPandas(fold, f"{types}, from_seq long, to_seq long")
 
 
 def without_aborted(changes: DataFrame, ranges: DataFrame) -> DataFrame:
-    """changes (xid, seq, ...) outside all aborted ranges of their xid."""
-    inside = (changes["xid"] == ranges["xid"]) & (changes["seq"] >= ranges["from_seq"]) & (changes["seq"] <= ranges["to_seq"])
+    """changes (source_id, xid, seq, ...) outside all aborted ranges of their xid, in the same source and incarnation."""
+    inside = (changes["seq"] >= ranges["from_seq"]) & (changes["seq"] <= ranges["to_seq"])
+    for c in ranges.columns:
+        if c not in ("from_seq", "to_seq"):
+            inside = inside & (changes[c] == ranges[c])
     return changes.join(ranges, inside, "left_anti")
 
 

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from changeloom.functions import lsn as L
 from changeloom.operators import batches as B
 from changeloom.operators import events as E
-from changeloom.operators import ordered as O
 from changeloom.operators import transactions as X
 from changeloom.plans.feeds import SQL_E, SQL_L, changes, messages, seconds_of, transactions
 
@@ -59,7 +58,7 @@ def transaction_context(spark: SparkSession, d: str) -> DataFrame:
     rows = changes(spark, d).select("source_id", F.col("lsn_num").alias("seq"), "kind", F.lit(None).cast("long").alias("xid"), F.lit(None).cast(begins.schema["commit_ts"].dataType).alias("commit_ts"))
     log = begins.unionByName(rows)
     # a range of positions holds a million seconds' worth of no one source's rows; positions are wide, so ranges are too
-    filled = O.forward_fill(log, ["source_id"], "seq", F.when(F.col("kind") == "B", F.struct("xid", "commit_ts")), "txn", width=1 << 46)
+    filled = X.transaction_context(log, F.col("kind") == "B", F.struct("xid", "commit_ts"), width=1 << 47)
     return filled.where("kind <> 'B'").select("source_id", "seq", "kind", F.col("txn.xid").alias("txn_xid"), F.col("txn.commit_ts").alias("txn_commit"))
 
 
@@ -79,15 +78,16 @@ def committed_only(spark: SparkSession, d: str) -> DataFrame:
     return kept.select("source_id", "xid", "incarnation", "seq", "kind", "commit_seq")
 
 
-@query(f"""WITH {SQL_E}, s AS (SELECT seq, xid % 97 AS top, xid AS sub, kind FROM msg), a AS (SELECT top, max(seq) AS at, arg_max(sub, seq) AS sub FROM s WHERE kind = 'error' GROUP BY top),
-  r AS (SELECT a.top, min(s.seq) AS from_seq, a.at AS to_seq FROM a JOIN s ON s.top = a.top AND s.sub = a.sub AND s.kind <> 'error' AND s.seq < a.at GROUP BY a.top, a.at)
-  SELECT s.seq, s.top AS xid, s.sub AS sub_xid FROM s LEFT JOIN r ON s.top = r.top AND s.seq BETWEEN r.from_seq AND r.to_seq WHERE s.kind <> 'error' AND r.top IS NULL""")
+@query(f"""WITH {SQL_E}, s AS (SELECT source_id, seq, xid % 97 AS top, xid AS sub, kind FROM msg), a AS (SELECT source_id, top, max(seq) AS at, arg_max(sub, seq) AS sub FROM s WHERE kind = 'error' GROUP BY source_id, top),
+  r AS (SELECT a.source_id, a.top, min(s.seq) AS from_seq, a.at AS to_seq FROM a JOIN s ON s.source_id = a.source_id AND s.top = a.top AND s.sub = a.sub AND s.kind <> 'error' AND s.seq < a.at GROUP BY a.source_id, a.top, a.at)
+  SELECT s.source_id, s.seq, s.top AS xid, s.sub AS sub_xid FROM s LEFT JOIN r ON s.source_id = r.source_id AND s.top = r.top AND s.seq BETWEEN r.from_seq AND r.to_seq WHERE s.kind <> 'error' AND r.top IS NULL""")
 def subxact_abort(spark: SparkSession, d: str) -> DataFrame:
-    log = messages(spark, d).select("seq", (F.col("xid") % 97).alias("xid"), F.col("xid").alias("sub_xid"), "kind")
-    last = log.where("kind = 'error'").groupBy("xid").agg(F.max("seq").alias("seq")).withColumn("is_abort", F.lit(True))
+    """Eight sources use the same 97 transaction ids; each has its own aborts."""
+    log = messages(spark, d).select("source_id", "seq", (F.col("xid") % 97).alias("xid"), F.col("xid").alias("sub_xid"), "kind")
+    last = log.where("kind = 'error'").groupBy("source_id", "xid").agg(F.max("seq").alias("seq")).withColumn("is_abort", F.lit(True))
     rows = log.where("kind <> 'error'")
-    marked = rows.select("xid", "sub_xid", "seq").withColumn("is_abort", F.lit(False)).unionByName(log.join(last, ["xid", "seq"]).select("xid", "sub_xid", "seq", "is_abort"))
-    return X.without_aborted(rows, X.aborted_ranges(marked)).select("seq", "xid", "sub_xid")
+    marked = rows.select("source_id", "xid", "sub_xid", "seq").withColumn("is_abort", F.lit(False)).unionByName(log.join(last, ["source_id", "xid", "seq"]).select("source_id", "xid", "sub_xid", "seq", "is_abort"))
+    return X.without_aborted(rows, X.aborted_ranges(marked)).select("source_id", "seq", "xid", "sub_xid")
 
 
 @query(f"""WITH {SQL_L} SELECT source_id, xid, lsn_num, row_number() OVER (PARTITION BY source_id ORDER BY commit_lsn, xid, ord) AS replay_pos FROM chg""")
@@ -125,10 +125,13 @@ def batch_cut_deadline(spark: SparkSession, d: str) -> DataFrame:
     return B.batch_totals(B.cut_batches(_per_transaction(spark, d), 100, 10 * 86400 * 1000000))
 
 
-@query(f"""WITH {SQL_E}, v AS (SELECT seq, relation_id, floor(value)::BIGINT % 2 AS v FROM msg WHERE kind = 'signup'), c AS (SELECT *, lag(v) OVER w AS p, row_number() OVER w AS i FROM v WINDOW w AS (PARTITION BY relation_id ORDER BY seq))
-  SELECT seq, relation_id, sum(CASE WHEN i = 1 OR v IS DISTINCT FROM p THEN 1 ELSE 0 END) OVER (PARTITION BY relation_id ORDER BY seq)::BIGINT AS schema_version FROM c""")
+@query(f"""WITH {SQL_E}, v AS (SELECT source_id, seq, relation_id % 5 AS relation_id, floor(value)::BIGINT % 2 AS v FROM msg WHERE kind = 'signup'),
+  c AS (SELECT *, lag(v) OVER w AS p, row_number() OVER w AS i FROM v WINDOW w AS (PARTITION BY source_id, relation_id ORDER BY seq))
+  SELECT source_id, seq, relation_id, sum(CASE WHEN i = 1 OR v IS DISTINCT FROM p THEN 1 ELSE 0 END) OVER (PARTITION BY source_id, relation_id ORDER BY seq)::BIGINT AS schema_version FROM c""")
 def schema_version_islands(spark: SparkSession, d: str) -> DataFrame:
-    return B.schema_islands(messages(spark, d).where("kind = 'signup'").select("seq", "relation_id", "value"), F.floor("value") % 2).select("seq", "relation_id", "schema_version")
+    """Eight sources define the same five tables."""
+    defined = messages(spark, d).where("kind = 'signup'").select("source_id", "seq", (F.col("relation_id") % 5).alias("relation_id"), "value")
+    return B.schema_islands(defined, F.floor("value") % 2).select("source_id", "seq", "relation_id", "schema_version")
 
 
 @query(f"""WITH {SQL_L}, r AS (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY commit_lsn, xid, ord) AS replay_pos FROM chg),

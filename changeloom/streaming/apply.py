@@ -12,47 +12,65 @@ from pyspark.sql import functions as F
 from changeloom.functions import values as V
 from changeloom.functions.lsn import lsn_format, unsigned32
 from changeloom.operators import batches, events
-from changeloom.operators.decode import cells_as_text, decode
+from changeloom.operators.decode import MAPPED, RELATION, decode, decode_rows, message_kind, peek_relation, peek_truncated
+from changeloom.operators.ordered import running_count
+
+KNOWN = f"source_id string, relation_id long, seq long, relation {RELATION}, schema_version long"
+
+
+def transactions_of(raw: DataFrame) -> DataFrame:
+    """source_id, _n, xid, commit_micros of the transactions of raw, numbered by their ends. A streamed one's messages come without S and E: what ends it is c, which has its id."""
+    bounds = decode(raw, kinds="BCc").select("source_id", "seq", "kind", "xid", "commit_micros")
+    numbered = running_count(bounds, ["source_id"], "seq", F.col("kind") != "B", "_n")
+    begins = numbered.where("kind = 'B'").select("source_id", "_n", F.col("xid").alias("begin_xid"))
+    ends = numbered.where("kind <> 'B'").select("source_id", (F.col("_n") - 1).alias("_n"), "xid", "commit_micros")
+    return ends.join(begins, ["source_id", "_n"], "left").select("source_id", "_n", F.coalesce("xid", "begin_xid").alias("xid"), "commit_micros")
+
+
+def definitions(raw: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """source_id, relation_id, seq, relation, schema_version of all definitions in raw, and of known (earlier ones, KNOWN) in front of them; versions go on from known's."""
+    own = decode(raw, kinds="R").select("source_id", "relation_id", "seq", "relation", F.lit(None).cast("long").alias("was"))
+    rows = own if known is None else own.unionByName(known.withColumnRenamed("schema_version", "was").select("source_id", "relation_id", "seq", "relation", "was"))
+    numbered = batches.schema_islands(rows, F.to_json("relation"))
+    before = F.coalesce(F.max("was").over(Window.partitionBy("source_id", "relation_id")) - 1, F.lit(0))
+    return numbered.withColumn("schema_version", F.col("schema_version") + before).drop("was")
 
 
 def resolved_changes(raw: DataFrame, known: DataFrame | None = None) -> DataFrame:
-    """raw messages of whole transactions in replay order -> changes with their table's definition, version and transaction.
+    """raw messages of whole transactions in replay order -> changes with their table's definition, version and transaction, rows still as ``data``.
 
-    known: definitions of earlier batches (source_id, relation_id, seq, relation). Columns: source_id, seq, ord, kind, relation, schema_version, xid, commit_ts, lsn_num, old, new.
+    known: definitions of earlier batches (KNOWN). What is joined here is read off the bytes, so no change is decoded yet. Columns: source_id, relation_id, seq, ord, kind, recv_lsn, data, relation, schema_version, xid, commit_micros.
     """
-    log = decode(raw)
-    # a streamed transaction's messages come without S and E here: what ends them is c, whose id and time hold for all since the end before
-    ends = F.when(F.col("kind").isin("C", "c"), F.struct("seq", "xid", "commit_micros"))
-    begins = F.when(F.col("kind") == "B", F.struct("xid"))
-    onward = Window.partitionBy("source_id").orderBy("seq").rowsBetween(0, Window.unboundedFollowing)
-    backward = Window.partitionBy("source_id").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
-    placed = log.withColumn("end", F.first(ends, True).over(onward)).withColumn("begin", F.last(begins, True).over(backward))
-    own = placed.where("kind = 'R'").select("source_id", "relation_id", "seq", "relation")
-    relations = own if known is None else known.select("source_id", "relation_id", "seq", "relation").unionByName(own)
-    versions = batches.schema_islands(relations, F.to_json("relation")).select("source_id", "relation_id", "seq", F.struct("relation", "schema_version").alias("relation"))
-    changed = placed.where(F.col("kind").isin("I", "U", "D", "T")).select("*", F.posexplode(F.when(F.col("kind") == "T", F.col("truncate.relation_ids")).otherwise(F.array("relation_id"))).alias("ord", "target"))
-    wanted = changed.select("source_id", F.col("target").alias("relation_id"), "seq", "ord", "kind", "recv_lsn", "old_kind", "old", "new", F.coalesce("end.xid", "begin.xid").alias("xid"), F.col("end.commit_micros").alias("commit_micros"))
+    kind = message_kind(F.col("data"))
+    logged = raw.select("source_id", "seq", "recv_lsn", "data", kind.alias("kind")).where(kind.isin(*"IUDTCc"))
+    placed = running_count(logged, ["source_id"], "seq", F.col("kind").isin("C", "c"), "_n").where(F.col("kind").isin(*"IUDT"))
+    of = F.when(F.col("kind") == "T", peek_truncated(F.col("data"))).otherwise(F.array(peek_relation(F.col("data"))))
+    wanted = placed.join(transactions_of(raw), ["source_id", "_n"], "left").drop("_n").select("*", F.posexplode(of).alias("ord", "relation_id"))
+    versions = definitions(raw, known).select("source_id", "relation_id", "seq", F.struct("relation", "schema_version").alias("relation"))
     found = events.relation_asof(wanted, versions)
-    return found.select("source_id", "relation_id", "seq", "ord", "kind", F.col("relation.relation").alias("relation"), F.col("relation.schema_version").alias("schema_version"), unsigned32(F.col("xid")).alias("xid"), V.pg_micros(F.col("commit_micros")).alias("commit_ts"), F.col("recv_lsn").alias("lsn_num"), "old_kind", "old", "new")
+    return found.select("source_id", "relation_id", "seq", "ord", "kind", "recv_lsn", "data", F.col("relation.relation").alias("relation"), F.col("relation.schema_version").alias("schema_version"), "xid", "commit_micros")
 
 
-def change_events(changes: DataFrame, schema_pattern: str | None = None, table_pattern: str | None = None, toast: str = "null", placeholder: str = "__unchanged_toast_value__") -> DataFrame:
-    """Changes -> events of all tables in one form, before and after as maps of text; filtered before any value is looked at."""
+def change_events(changes: DataFrame, schema_pattern: str | None = None, table_pattern: str | None = None, toast: str = "null", placeholder: str = "__unchanged_toast_value__", unconstrained: str = "string") -> DataFrame:
+    """Changes -> events of all tables in one form, before and after as maps of text; filtered before any row is decoded. ``binary`` has the columns whose binary values have no value (or no mapping) here."""
     named = changes.withColumn("schema", F.col("relation.namespace")).withColumn("table", F.col("relation.name"))
-    kept = events.captured(named, schema_pattern, table_pattern)
-    texts = cells_as_text(cells_as_text(kept, "new"), "old")
-    string_oids = [F.lit(x) for x in (V.BOOL, V.INT2, V.INT4, V.INT8, V.FLOAT4, V.FLOAT8, V.NUMERIC, V.DATE, V.TIMESTAMP, V.TIMESTAMPTZ, V.BYTEA)]
+    texts = decode_rows(events.captured(named, schema_pattern, table_pattern))
+    columns = F.col("relation.columns")
 
     def image(cells: str):
-        columns = F.col("relation.columns")
         if toast == "placeholder":
-            filled = F.zip_with(columns, F.col(cells), lambda c, v: F.when((v["kind"] == "u") & ~c["type_oid"].isin(*string_oids), F.struct(F.lit("t").alias("kind"), F.lit(placeholder).alias("text"), F.lit(None).cast("binary").alias("bin"))).otherwise(v))
+            fill = F.struct(F.lit("t").alias("kind"), F.lit(placeholder).alias("text"), F.lit(None).cast("binary").alias("bin"))
+            filled = F.zip_with(columns, F.col(cells), lambda c, v: F.when((v["kind"] == "u") & V.holds_text(c["type_oid"], c["typmod"], unconstrained), fill).otherwise(v))
             return events.row_image(columns, F.when(F.col(cells).isNotNull(), filled))
         return events.row_image(columns, F.col(cells), omit_unchanged=toast == "omit")
 
+    def binary(cells: str):
+        shown = lambda c, v: F.struct(c["name"].alias("column"), F.when(c["type_oid"].isin(*MAPPED), "no value").otherwise("no binary mapping").alias("reason"), V.hex_fallback(v["bin"]).alias("text"))
+        return F.coalesce(F.array_compact(F.zip_with(columns, F.col(cells), lambda c, v: F.when(v["bin"].isNotNull(), shown(c, v)))), F.array().cast("array<struct<column:string,reason:string,text:string>>"))
+
     return texts.select(
-        "source_id", "seq", "ord", "schema_version", "relation", events.operation_of(F.col("kind")).alias("operation"), "schema", "table", lsn_format(F.col("lsn_num")).alias("lsn"), "lsn_num", "xid",
-        F.col("commit_ts").alias("commit_timestamp"), image("old").alias("before"), image("new").alias("after"),
+        "source_id", "seq", "ord", "schema_version", "relation", events.operation_of(F.col("kind")).alias("operation"), "schema", "table", lsn_format(F.col("recv_lsn")).alias("lsn"), F.col("recv_lsn").alias("lsn_num"),
+        unsigned32(F.col("xid")).alias("xid"), V.pg_micros(F.col("commit_micros")).alias("commit_timestamp"), image("old").alias("before"), image("new").alias("after"), F.concat(binary("old"), binary("new")).alias("binary"),
     )
 
 
@@ -64,46 +82,58 @@ def typed_rows(table_events: DataFrame, columns: list[dict], unconstrained: str
     return table_events.select("operation", "schema", "table", "lsn", "xid", "commit_timestamp", side("before"), side("after"))
 
 
-def warnings_of(table_events: DataFrame, columns: list[dict]) -> DataFrame:
-    """schema, table, column, seq, text of values that have no Spark value."""
-    bad = [F.when(V.unsupported(F.col(side)[c["name"]], c["type_oid"], c["typmod"]), F.struct(F.lit(c["name"]).alias("column"), F.col(side)[c["name"]].alias("text"))) for c in columns for side in ("before", "after")]
-    return events.warn_once(table_events.select("schema", "table", "seq", F.explode(F.array_compact(F.array(*bad))).alias("x")).select("schema", "table", "x.column", "seq", "x.text"))
+def warnings_of(table_events: DataFrame, columns: list[dict], unconstrained: str = "string") -> DataFrame:
+    """column, seq, text, reason: of each column of one table's events the first value that has no Spark value, or no binary mapping."""
+    none = F.lit("no value")
+    bad = [F.when(V.unsupported(F.col(side)[c["name"]], c["type_oid"], c["typmod"], unconstrained), F.struct(F.lit(c["name"]).alias("column"), none.alias("reason"), F.col(side)[c["name"]].alias("text"))) for c in columns for side in ("before", "after")]
+    if "binary" in table_events.columns:
+        found = F.concat(F.array_compact(F.array(*bad)), F.col("binary")) if bad else F.col("binary")
+    else:
+        found = F.array_compact(F.array(*bad))
+    rows = table_events.select("schema", "table", "seq", F.explode(found).alias("x")).select("schema", "table", "seq", "x.column", "x.text", "x.reason")
+    reasons = rows.groupBy(F.concat_ws(".", "schema", "table", "column").alias("column")).agg(F.min_by("reason", "seq").alias("reason"))
+    return events.warn_once(rows.drop("reason")).join(reasons, "column")
 
 
 class BatchWriter:
     """foreachBatch function: one folder per table and schema version under path/batch=<id>, then one row per file in path/manifest.
 
-    With ``typed`` before and after have the table's types instead of maps of text. A batch that is run again overwrites its own folders and manifest, so what a reader finds through the manifest is there once. Definitions are kept in path/relations.
+    With ``typed`` before and after have the table's types instead of maps of text. A batch that is run again overwrites its own folders and manifest, so what a reader finds through the manifest is there once.
+    path/relations has the definitions that hold after a batch, one a table, which the next batch starts from; path/warnings the first unsupported value of each column, once for all batches.
     """
 
     MIME = {"json": "application/json", "csv": "text/csv", "parquet": "application/vnd.apache.parquet", "orc": "application/vnd.apache.orc", "avro": "application/avro-binary"}
 
     def __init__(self, path: str, fmt: str = "json", typed: bool = False, unconstrained: str = "string", **event_options):
-        self.path, self.format, self.options = path.rstrip("/"), fmt, event_options
+        self.path, self.format, self.options = path.rstrip("/"), fmt, {"unconstrained": unconstrained} | event_options
         self.typed, self.unconstrained = typed, unconstrained
 
     def __call__(self, raw: DataFrame, batch_id: int) -> None:
         spark = raw.sparkSession
         raw = raw.persist()
+        found = None
         try:
             known = self._known(spark, batch_id)
-            changes = resolved_changes(raw, known=known)
-            found = change_events(changes, **self.options).persist()
+            found = change_events(resolved_changes(raw, known), **self.options).persist()
             per_file = found.withColumn("batch_id", F.lit(batch_id)).withColumn("replay_pos", F.struct("source_id", "seq", "ord"))
-            files = batches.manifest(per_file.withColumn("lsn", F.col("lsn"))).withColumn("mime_type", F.lit(self.MIME.get(self.format, "application/octet-stream")))
-            listed = files.collect()  # a row per table and version
-            for f in listed:
+            files = batches.manifest(per_file).withColumn("mime_type", F.lit(self.MIME.get(self.format, "application/octet-stream")))
+            of = ["schema", "table", "schema_version"]
+            shapes = found.groupBy(*of).agg(F.first("relation.columns").alias("columns"))  # a table's version has one definition
+            warned = []
+            for f in files.join(shapes, of).collect():  # a row per table and version
+                columns = [c.asDict() for c in f["columns"]]
                 one = found.where((F.col("schema") == f["schema"]) & (F.col("table") == f["table"]) & (F.col("schema_version") == f["schema_version"]))
-                if self.typed:  # a table's version has one definition, so one row tells its columns
-                    columns = [c.asDict() for c in one.select("relation.columns").first()["columns"]]
-                    one = typed_rows(one, columns, self.unconstrained)
-                self._write(one if self.typed else one.orderBy("source_id", "seq", "ord"), f"{self.path}/batch={batch_id}/{f['schema']}.{f['table']}/v{f['schema_version']}")
-            defined = decode(raw).where("kind = 'R'").select("source_id", "relation_id", "seq", "relation")
-            defined.write.mode("overwrite").json(f"{self.path}/relations/batch={batch_id}")
+                rows = typed_rows(one, columns, self.unconstrained) if self.typed else one.orderBy("source_id", "seq", "ord")
+                self._write(rows, f"{self.path}/batch={batch_id}/{f['schema']}.{f['table']}/v{f['schema_version']}")
+                warned.append(warnings_of(one, columns, self.unconstrained))
+            self._warn(spark, warned, batch_id)
+            latest = definitions(raw, known).groupBy("source_id", "relation_id").agg(F.max_by(F.struct("seq", "relation", "schema_version"), "seq").alias("x")).select("source_id", "relation_id", "x.*")
+            latest.write.mode("overwrite").json(f"{self.path}/relations/batch={batch_id}")
             files.write.mode("overwrite").parquet(f"{self.path}/manifest/batch={batch_id}")  # last: what isn't listed isn't there
-            found.unpersist()
         finally:
             raw.unpersist()
+            if found is not None:
+                found.unpersist()
 
     def _write(self, rows: DataFrame, folder: str) -> None:
         if self.format in ("csv",):
@@ -111,12 +141,33 @@ class BatchWriter:
         rows = rows.select("operation", "schema", "table", "lsn", "xid", "commit_timestamp", "before", "after")
         rows.write.mode("overwrite").option("ignoreNullFields", "false").format(self.format).save(folder)
 
+    def _warn(self, spark, warned: list[DataFrame], batch_id: int) -> None:
+        """Warnings of columns that no earlier batch has warned of."""
+        if not warned:
+            return
+        rows = warned[0]
+        for more in warned[1:]:
+            rows = rows.unionByName(more)
+        rows = rows.groupBy("column").agg(F.min_by(F.struct("seq", "text", "reason"), "seq").alias("x")).select("column", "x.*")
+        if self._batches(spark, "warnings"):
+            earlier = spark.read.schema("column string, batch int").json(f"{self.path}/warnings").where(F.col("batch") < batch_id)
+            rows = rows.join(earlier.select("column").distinct(), "column", "left_anti")
+        rows.write.mode("overwrite").json(f"{self.path}/warnings/batch={batch_id}")
+
     def _known(self, spark, batch_id: int) -> DataFrame | None:
-        """Definitions of earlier batches, as the source's numbers of messages go on from batch to batch."""
-        from changeloom.operators.decode import RELATION
-
-        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/relations")
-        if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
-            return None
-        rows = spark.read.schema(f"source_id string, relation_id long, seq long, relation {RELATION}, batch int").json(f"{self.path}/relations")
-        return rows.where(F.col("batch") < batch_id).drop("batch")
+        """The definitions that held after the batch before; older folders but one are removed, since only the last batch is ever run again."""
+        earlier = sorted(n for n in self._batches(spark, "relations") if n < batch_id)
+        for n in earlier[:-2]:
+            self._folder(spark, f"relations/batch={n}", delete=True)
+        return spark.read.schema(KNOWN).json(f"{self.path}/relations/batch={earlier[-1]}") if earlier else None
+
+    def _folder(self, spark, name: str, delete: bool = False):
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        if delete:
+            return system.delete(path, True)
+        return system.listStatus(path) if system.exists(path) else []
+
+    def _batches(self, spark, name: str) -> list[int]:
+        """Numbers of the batches that have a folder under name."""
+        return [int(f.getPath().getName().removeprefix("batch=")) for f in self._folder(spark, name) if f.getPath().getName().startswith("batch=")]

@@ -7,7 +7,7 @@ import pytest
 from wire import STOP, abort, begin, commit, delete, insert, relation, row, start, stream_commit, truncate, update
 
 from changeloom.functions import values as V
-from changeloom.operators.decode import ProtocolError, binary_numeric, binary_text, decode, decode_message
+from changeloom.operators.decode import ProtocolError, binary_numeric, binary_text, decode, decode_message, decode_rows
 
 
 def test_begin_and_commit():
@@ -64,6 +64,7 @@ def test_binary_values():
     assert binary_text(struct.pack(">q", -1), V.TIMESTAMP) == "1999-12-31 23:59:59.999999"
     assert binary_text(bytes(range(16)), V.UUID) == "00010203-0405-0607-0809-0a0b0c0d0e0f"
     assert binary_text(b"\1{}", V.JSONB) == "{}" and binary_text(b"ab", 1186) == "\\x6162"
+    assert binary_text(struct.pack(">f", 0.1), V.FLOAT4) == "0.1" and binary_text(struct.pack(">d", 0.1), V.FLOAT8) == "0.1" and binary_text(struct.pack(">f", float("nan")), V.FLOAT4) is None
     for raw, oid in ((b"\2{}", V.JSONB), (b"12", V.INT4), (numeric(1, 0, 0x1234, 0, 1), V.NUMERIC)):
         with pytest.raises(ProtocolError):
             binary_text(raw, oid)
@@ -76,6 +77,29 @@ def test_decode_finds_segments(spark):
     assert got[2].stream_xid == 8 and got[5].stream_xid is None and got[5].new[1].text == "y" and got[7].xid == 8
 
 
+def test_only_kinds_that_are_asked_for_are_decoded(spark):
+    log = [start(8), insert(9, "1", "x", xid=8), STOP, b"Q", begin(3), insert(9, "2", None), commit()]  # Q is no message
+    raw = spark.createDataFrame([("s", i, i * 16, d) for i, d in enumerate(log, 1)], "source_id string, seq long, recv_lsn long, data binary")
+    assert [(r.seq, r.stream_xid, [c.text for c in r.new]) for r in decode(raw, streaming=True, kinds="I").orderBy("seq").collect()] == [(2, 8, ["1", "x"]), (6, None, ["2", None])]
+    assert decode(raw, kinds="BC").count() == 2
+
+
+def test_rows_with_their_definition(spark):
+    columns = (("id", 1, 23, -1), ("at", 0, 1186, -1), ("f", 0, 700, -1))
+    log = [(insert(9, struct.pack(">i", 5), b"\1\2", struct.pack(">f", float("inf")))), update(9, "7", ..., None, old=["6", None, "1.5"]), truncate(9)]
+    made = spark.createDataFrame([("s", 1, 1, relation(9, columns=columns))], "source_id string, seq long, recv_lsn long, data binary")
+    defined = decode(made).select("relation")
+    rows = spark.createDataFrame([("s", i, i, d) for i, d in enumerate(log, 1)], "source_id string, seq long, recv_lsn long, data binary").crossJoin(defined)
+    a, b, c = decode_rows(rows).orderBy("seq").collect()
+    assert [tuple(x) for x in a.new] == [("t", "5", None), ("t", "\\x0102", b"\1\2"), ("n", None, struct.pack(">f", float("inf")))] and a.old is None
+    assert b.old_kind == "O" and [x.text for x in b.old] == ["6", None, "1.5"] and [x.kind for x in b.new] == ["t", "u", "n"] and c.new is None and c.old is None
+
+
+def test_lenient_where_the_protocol_is(spark):
+    assert decode_message(start(8, 2), False)["first_segment"] is True  # any number but 0
+    assert decode_message(insert(9, "x")[:-1] + b"\xff", False)["new"][0]["text"] == "\ufffd"
+
+
 def test_decode_fails_on_bad_bytes(spark):
     raw = spark.createDataFrame([("s", 1, 16, b"Q")], "source_id string, seq long, recv_lsn long, data binary")
     with pytest.raises(Exception, match="unknown kind"):

@@ -18,3 +18,9 @@ def test_entry(spark):
     import __spark_entry__
 
     assert __spark_entry__.entry(spark).columns == ["operation", "schema", "table", "lsn", "xid", "commit_timestamp", "before", "after"]
+
+
+def test_without_a_package_of_the_corpus_operators(tmp_path):
+    """The corpus operators are there but can't be imported: the other queries stay."""
+    code = "import sys; sys.modules['ahocorasick'] = None; import __spark_entry__ as e; q = e.queries(); assert 'change_envelope' in q and not any(n.startswith('op') or n == 'pipeline' for n in q) and set(e.oracle_sql()) <= set(q)"
+    subprocess.run([sys.executable, "-c", code], cwd=ROOT, check=True, env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"})

@@ -8,7 +8,7 @@ from changeloom.functions import values as V
 from changeloom.operators import events as E
 from changeloom.operators.batches import cut_batches, schema_islands
 from changeloom.operators.ordered import forward_fill, running_count
-from changeloom.operators.transactions import aborted_ranges, without_aborted
+from changeloom.operators.transactions import aborted_ranges, committed_only, transaction_context, without_aborted
 
 
 def one(spark, column):
@@ -36,6 +36,20 @@ def test_malformed_values_fail(spark, text, oid):
         spark.createDataFrame([(text,)], "t string").select(V.typed(F.col("t"), oid)).collect()
 
 
+def test_one_rule_for_placeholders(spark):
+    """Placeholders go where spark_type has text, whichever way the type is known."""
+    kinds = [(oid, typmod) for oid in (V.BOOL, V.INT4, V.FLOAT8, V.DATE, V.TIME, V.TIMESTAMP, V.UUID, V.BYTEA, V.TEXT, V.JSONB, 1007) for typmod in (-1,)]
+    kinds += [(V.NUMERIC, t) for t in (-1, (12 << 16 | 2) + 4, (5 << 16 | (-2 & 0x7FF)) + 4, (50 << 16 | 2) + 4, (3 << 16 | 9) + 4, (37 << 16 | (-2 & 0x7FF)) + 4)]
+    df = spark.createDataFrame(kinds, "oid int, typmod int")
+    for unconstrained in ("string", "decimal"):
+        got = {(r.oid, r.typmod): r.x for r in df.select("oid", "typmod", V.holds_text(F.col("oid"), F.col("typmod"), unconstrained).alias("x")).collect()}
+        assert got == {(o, t): V.spark_type(o, t, unconstrained).simpleString() == "string" for o, t in kinds}
+
+
+def test_whole_mb(spark):
+    assert [one(spark, L.whole_mb(F.lit(n).cast("long"))) for n in (-3 * 4096, -1048576, 1048575, 5 << 20)] == [0, -1, 0, 5]
+
+
 def test_numeric_types():
     assert V.numeric_type((12 << 16 | 2) + 4).simpleString() == "decimal(12,2)"
     assert V.numeric_type((5 << 16 | (-2 & 0x7FF)) + 4).simpleString() == "decimal(7,0)"
@@ -55,8 +69,8 @@ def test_running_count_across_ranges(spark):
 
 
 def aborts(spark, steps):
-    rows = [(1, sub, seq, gone) for seq, (sub, gone) in enumerate(steps, 1)]
-    log = spark.createDataFrame(rows, "xid long, sub_xid long, seq long, is_abort boolean")
+    rows = [("s", 1, sub, seq, gone) for seq, (sub, gone) in enumerate(steps, 1)]
+    log = spark.createDataFrame(rows, "source_id string, xid long, sub_xid long, seq long, is_abort boolean")
     return sorted(r.seq for r in without_aborted(log.where("NOT is_abort"), aborted_ranges(log)).collect())
 
 
@@ -69,9 +83,33 @@ def test_unknown_subtransaction_changes_nothing(spark):
     assert aborts(spark, [(10, False), (99, True), (10, False)]) == [1, 3]
 
 
+def test_aborts_of_other_sources_and_incarnations(spark):
+    rows = [("s1", 8, 1, 10, 1, False), ("s2", 8, 1, 10, 2, False), ("s2", 8, 1, 10, 3, True), ("s1", 8, 2, 10, 4, False), ("s1", 8, 2, 10, 5, True), ("s1", 8, 3, 10, 6, False)]
+    log = spark.createDataFrame(rows, "source_id string, xid long, incarnation long, sub_xid long, seq long, is_abort boolean")
+    assert sorted(r.seq for r in without_aborted(log.where("NOT is_abort"), aborted_ranges(log)).collect()) == [1, 6]
+    of_all = aborted_ranges(log.drop("incarnation"))  # one transaction in s1: its second abort goes back to its first message
+    assert {(r.source_id, r.from_seq, r.to_seq) for r in of_all.collect()} == {("s1", 1, 5), ("s2", 2, 3)}
+
+
 def test_islands(spark):
-    df = spark.createDataFrame([(1, i, v) for i, v in enumerate("AABBA")], "relation_id long, seq long, v string")
-    assert [r.schema_version for r in schema_islands(df, F.col("v")).orderBy("seq").collect()] == [1, 1, 2, 2, 3]
+    rows = [("s", 1, i, v) for i, v in enumerate("AABBA")] + [("t", 1, 2, "C"), ("t", 1, 4, "C")]
+    df = spark.createDataFrame(rows, "source_id string, relation_id long, seq long, v string")
+    got = schema_islands(df, F.col("v")).orderBy("source_id", "seq").collect()
+    assert [r.schema_version for r in got] == [1, 1, 2, 2, 3, 1, 1]
+
+
+def test_transaction_context_ends_at_commits(spark):
+    rows = [("s", 1, "B", 7), ("s", 2, "I", None), ("s", 3, "C", None), ("s", 4, "R", None), ("s", 5, "B", 8), ("s", 6, "I", None), ("t", 3, "I", None)]
+    log = spark.createDataFrame(rows, "source_id string, seq long, kind string, xid long")
+    got = {(r.source_id, r.seq): r.txn for r in transaction_context(log, F.col("kind") == "B", F.col("xid"), F.col("kind") == "C", width=4).collect()}
+    assert got == {("s", 1): 7, ("s", 2): 7, ("s", 3): 7, ("s", 4): None, ("s", 5): 8, ("s", 6): 8, ("t", 3): None}
+
+
+def test_committed_only(spark):
+    rows = [("s", 1, 1, i, k) for i, k in enumerate("IIACIIC")] + [("t", 1, 1, 0, "I"), ("s", 1, 2, 9, "I"), ("t", 1, 1, 20, "C")]
+    log = spark.createDataFrame(rows, "source_id string, xid long, incarnation long, seq long, kind string")
+    kept = committed_only(log, F.col("kind") == "I", F.col("kind") == "C", F.col("kind") == "A").collect()
+    assert {(r.source_id, r.seq, r.commit_seq) for r in kept} == {("s", 4, 6), ("s", 5, 6), ("t", 0, 20)}
 
 
 def test_cut_starts_anew(spark):

@@ -125,7 +125,7 @@ def test_typed_rows_and_warnings(spark):
     columns = [{"name": "id", "type_oid": 23, "typmod": -1}, {"name": "note", "type_oid": 25, "typmod": -1}, {"name": "day", "type_oid": 1082, "typmod": -1}]
     rows = typed_rows(a, columns).collect()
     assert rows[0].after.id == 1 and str(rows[0].after.day) == "2026-01-02" and rows[1].after.day is None
-    assert [r.column for r in warnings_of(a, columns).collect()] == ["lab.a.day"]
+    assert [(r.column, r.text, r.reason) for r in warnings_of(a, columns).collect()] == [("lab.a.day", "infinity", "no value")]
 
 
 def test_streaming_to_files(spark, tmp_path):
@@ -142,6 +142,22 @@ def test_streaming_to_files(spark, tmp_path):
     assert len(lines) == 1 and lines[0]["after"] == {"id": "2", "note": "y", "day": None} and lines[0]["before"] is None
 
 
+def test_definitions_and_warnings_go_on_from_batch_to_batch(spark, tmp_path):
+    """Versions count on over batches, an equal definition sent again is no new one, and a column is warned of once."""
+    writer = BatchWriter(str(tmp_path / "out"))
+    plain, more = relation(9, "a", (("id", 1, 23, -1), ("day", 0, 1082, -1))), relation(9, "a", (("id", 1, 23, -1), ("day", 0, 1082, -1), ("x", 0, 1186, -1)))
+    bad = insert(9, "1", "infinity")
+    binary = insert(9, b"\0\0\0\7", b"\x7f\xff\xff\xff", b"\1")
+    batches = [[begin(1), plain, bad, commit()], [begin(2), plain, bad, commit()], [begin(3), more, binary, commit()], [begin(4), binary, commit()], [begin(5), plain, bad, commit()]]
+    for n, log in enumerate(batches):
+        writer(spark.createDataFrame([("s", 100 * n + i, i, d) for i, d in enumerate(log, 1)], RAW), n)
+    m = spark.read.parquet(str(tmp_path / "out/manifest")).orderBy("batch_id").collect()
+    assert [r.schema_version for r in m] == [1, 1, 2, 2, 3] and [r.xid for r in m] == [1, 2, 3, 4, 5]
+    warned = spark.read.json(str(tmp_path / "out/warnings")).orderBy("batch").collect()
+    assert [(r.batch, r.column, r.text, r.reason) for r in warned] == [(0, "lab.a.day", "infinity", "no value"), (2, "lab.a.x", "\\x01", "no binary mapping")]
+    assert len(list((tmp_path / "out/relations").iterdir())) <= 4  # old states go
+
+
 def test_typed_files(spark, tmp_path):
     BatchWriter(str(tmp_path / "out"), "parquet", typed=True)(raw(spark), 0)
     a = spark.read.parquet(str(tmp_path / "out/batch=0/lab.a/v1"))

@@ -109,7 +109,7 @@ def _truncate(r: Reader) -> dict:
 
 def _row(r: Reader, kind: str) -> dict:
     out: dict = {"relation_id": r.number(4)}
-    if kind != "I":
+    if kind in "UD":
         tuple_kind = r.expect("KON" if kind == "U" else "KO")
         if tuple_kind != "N":
             out |= {"old_kind": tuple_kind, "old": r.cells()}
@@ -139,7 +139,7 @@ def decode_message(data: bytes, in_stream: bool) -> dict:
         out |= _relation(r)
     elif kind == "Y":
         out["type"] = {"type_oid": r.number(4), "namespace": r.string(), "name": r.string()}
-    elif kind in "IUD":
+    elif kind in "IUDs":  # s: a row of a snapshot, which sources write like an insert
         out |= _row(r, kind)
     elif kind == "T":
         out |= _truncate(r)

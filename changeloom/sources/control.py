@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import re
 import time
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields
 
 from changeloom.sources.catalog import quoted
 
@@ -20,11 +20,11 @@ PLUGIN = "pgoutput"
 class Options:
     """One capture. Where a limit is a time it is in seconds."""
 
-    host: str
-    database: str
-    user: str
-    publication: str
-    slot: str
+    host: str = ""
+    database: str = ""
+    user: str = ""
+    publication: str = ""
+    slot: str = "slot"
     port: int = 5432
     password: str | None = None
     connect_timeout: int = 30
@@ -47,6 +47,20 @@ class Options:
     toast_placeholder: str = "__unchanged_toast_value__"
     wal_warn_bytes: int | None = None
 
+    @classmethod
+    def of(cls, options) -> "Options":
+        """From text options by the names of the fields, as Spark's sources get them; others are left aside. Raises with all that is wrong."""
+        read = {"bool": lambda x: str(x).lower() == "true", "int": int, "float": float, "int | None": int}
+        given = cls(**{f.name: read.get(f.type, str)(options[f.name]) for f in fields(cls) if options.get(f.name) is not None})
+        if problems := given.problems():
+            raise ValueError("; ".join(problems))
+        return given
+
+    def captures(self, schema: str, table: str) -> bool:
+        """Whether both whole names fit their patterns; a blank pattern lets all through."""
+        fits = lambda pattern, name: not (pattern or "").strip() or re.fullmatch(pattern, name) is not None
+        return fits(self.schema_pattern, schema) and fits(self.table_pattern, table)
+
     def problems(self) -> list[str]:
         """What is wrong with these options, alone and together."""
         out = []

@@ -4,15 +4,16 @@ from __future__ import annotations
 
 import struct
 import tempfile
+from collections.abc import Iterator
 
 HEADER = 12  # position and length in front of each message
 
 
 class Spool:
-    """One transaction's messages in a temporary file."""
+    """One transaction's messages in a nameless file of a folder, which the process that reads the stream has to itself; a lost process starts again at a confirmed position, with new files."""
 
-    def __init__(self, limit: int):
-        self.file, self.limit = tempfile.TemporaryFile(), limit
+    def __init__(self, limit: int, folder: str | None = None):
+        self.file, self.limit = tempfile.TemporaryFile(dir=folder), limit
         self.size, self.messages = 0, 0
         #: Where each subtransaction's first message that still stands begins, and how many messages come before it.
         self.marks: dict[int, tuple[int, int]] = {}
@@ -43,25 +44,26 @@ class Spool:
 class Spools:
     """By the id of the top transaction."""
 
-    def __init__(self, limit: int = 1 << 30):
-        self.limit, self.of = limit, {}
+    def __init__(self, limit: int = 1 << 30, folder: str | None = None):
+        self.limit, self.folder, self.of = limit, folder, {}
 
     def __len__(self) -> int:
         return len(self.of)
 
     def start(self, xid: int, first: bool) -> None:
         if first:
-            self.of[xid] = Spool(self.limit)  # one that is known already is begun anew
+            self.of[xid] = Spool(self.limit, self.folder)  # one that is known already is begun anew
         elif xid not in self.of:
             raise ValueError(f"the first segment of transaction {xid} is missing")
 
     def append(self, xid: int, sub: int, lsn: int, data: bytes) -> None:
         self.of[xid].append(sub, lsn, data)
 
-    def commit(self, xid: int) -> list[tuple[int, bytes]]:
+    def commit(self, xid: int) -> Iterator[tuple[int, bytes]]:
+        """The transaction's messages, read from its file as they are asked for."""
         if xid not in self.of:
             raise ValueError(f"transaction {xid} commits, but it isn't known")
-        return list(self.of.pop(xid).read())
+        return self.of.pop(xid).read()
 
     def abort(self, xid: int, sub: int) -> None:
         if xid == sub:

@@ -42,8 +42,8 @@ def resolved_changes(raw: DataFrame, known: DataFrame | None = None) -> DataFram
     known: definitions of earlier batches (KNOWN). What is joined here is read off the bytes, so no change is decoded yet. Columns: source_id, relation_id, seq, ord, kind, recv_lsn, data, relation, schema_version, xid, commit_micros.
     """
     kind = message_kind(F.col("data"))
-    logged = raw.select("source_id", "seq", "recv_lsn", "data", kind.alias("kind")).where(kind.isin(*"IUDTCc"))
-    placed = running_count(logged, ["source_id"], "seq", F.col("kind").isin("C", "c"), "_n").where(F.col("kind").isin(*"IUDT"))
+    logged = raw.select("source_id", "seq", "recv_lsn", "data", kind.alias("kind")).where(kind.isin(*"IUDTsCc"))
+    placed = running_count(logged, ["source_id"], "seq", F.col("kind").isin("C", "c"), "_n").where(F.col("kind").isin(*"IUDTs"))
     of = F.when(F.col("kind") == "T", peek_truncated(F.col("data"))).otherwise(F.array(peek_relation(F.col("data"))))
     wanted = placed.join(transactions_of(raw), ["source_id", "_n"], "left").drop("_n").select("*", F.posexplode(of).alias("ord", "relation_id"))
     versions = definitions(raw, known).select("source_id", "relation_id", "seq", F.struct("relation", "schema_version").alias("relation"))

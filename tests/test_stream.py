@@ -95,6 +95,214 @@ def test_reader_gives_whole_transactions():
         ReplicationReader({"client": "p", "slot": "No!"})
 
 
+class Clock:
+    def __init__(self):
+        self.now = 0.0
+
+    def __call__(self):
+        return self.now
+
+
+def live(client, clock=None, **options):
+    capture.CLIENTS["live"] = client
+    return ReplicationReader({"client": "live"} | {k: str(v) for k, v in options.items()}, *([clock] if clock else []))
+
+
+def transaction(xid, end, n=1):
+    return [begin(xid), *[insert(9, f"{xid}.{i}", "x") for i in range(n)], commit(end=end)]
+
+
+def test_a_batch_waits_for_changes_or_time():
+    clock = Clock()
+
+    class Slow(Player):
+        """Nothing comes for a second after each transaction."""
+
+        def messages(self, after):
+            for lsn, d in super().messages(after):
+                yield lsn, d
+                if d[:1] == b"C":
+                    clock.now += 1
+                    yield None
+
+        def keep_alive(self, lsn):
+            told.append((clock.now, lsn))
+
+    told = []
+    log = [m for x in range(1, 31) for m in transaction(x, x * 48)]
+    sizes = lambda **options: [len([r for r in rows if r[3][:1] == b"I"]) for rows in batches(live(Slow(log), clock, **options))]
+
+    def batches(r):
+        at, out = {"lsn": 0, "seq": 0}, []
+        for _ in range(70):
+            rows, at = r.read(at)
+            out += [x] if (x := list(rows)) else []  # without an answer a batch may be empty
+        return out
+
+    assert sizes(max_events=7, max_wait=1000) == [7, 7, 7, 7, 2]
+    assert sizes(max_events=1000, max_wait=4) == [4] * 7 + [2]
+    assert sizes(batch_strategy="one_transaction") == [1] * 30
+    assert len(told) >= 8 and all(b - a >= capture.ALIVE for (a, _), (b, _) in zip(told, told[1:]) if b > a)
+
+
+def test_an_open_transaction_is_spooled_once(tmp_path):
+    """Between batches the reader goes on where it is; nothing of what it holds is asked for again."""
+    asked = []
+
+    class Counting(Player):
+        def messages(self, after):
+            """Asked again, a server sends all of the transactions that end later: here the streamed one."""
+            asked.append(after)
+            return iter([x for x in self.log if after == 0 or x[0] in whole])
+
+    segments = [x for k in range(3) for x in (start(8, k == 0), *[insert(9, f"{k}.{i}", "x", xid=8) for i in range(50)], STOP, *transaction(20 + k, 1000 * (k + 1)))]
+    parts = [*segments, stream_commit(8, end=9000)]
+    inside, whole = False, {16 * len(parts)}
+    for i, d in enumerate(parts, 1):
+        inside = inside or d[:1] == b"S"
+        whole |= {16 * i} if inside else set()
+        inside = inside and d != STOP
+    r = live(Counting(parts), streaming="true", spool_dir=tmp_path, max_events=1)
+    at, seen = {"lsn": 0, "seq": 0}, []
+    for _ in range(4):
+        before = at
+        rows, at = r.read(at)
+        seen.append((before, at, rows := list(rows)))
+    assert [len(rows) for *_, rows in seen] == [3, 3, 3, 151] and at["lsn"] == 9000 and asked == [0]
+    assert list(r.readBetweenOffsets(*seen[3][:2])) == seen[3][2] and asked == [0, 3000]
+    with pytest.raises(ValueError, match="spool_dir"):
+        live(Player([]), streaming="true")
+
+
+def test_large_streamed_transactions(spark, tmp_path):
+    """One file each: 20,000 rows of a plain transaction, 20,000 of a streamed one of which a subtransaction's go; a rolled back one gives none."""
+    n = 20_000
+    streamed = [x for k in range(4) for x in (start(8, k == 0), *([relation(9, xid=8)] if k == 0 else []), *[insert(9, str(k * n + i), "x", xid=8 if i < n // 4 - 100 else 80 + k) for i in range(n // 4)], STOP)]
+    gone = [start(7), *[insert(9, str(i), "y", xid=7) for i in range(1000)], STOP, abort(7, 7)]
+    log = [begin(3), relation(9), *[insert(9, str(i), "z") for i in range(n)], commit(end=100), *gone, *streamed, abort(8, 83), stream_commit(8, end=200)]
+    r = live(Player(log), streaming="true", spool_dir=tmp_path, batch_strategy="one_transaction")
+    at = {"lsn": 0, "seq": 0}
+    writer = BatchWriter(str(tmp_path / "out"))
+    for batch in range(2):
+        rows, at = r.read(at)
+        writer(spark.createDataFrame(list(rows), RAW), batch)
+    m = spark.read.parquet(str(tmp_path / "out/manifest")).orderBy("batch_id").collect()
+    assert [(r.batch_id, r.xid, r.event_count) for r in m] == [(0, 3, n), (1, 8, n - 100)] and list(r.read(at)[0]) == []
+
+
+class Database(Player):
+    """A server with a slot, a publication of three tables, their rows, and what happens after the snapshot."""
+
+    def __init__(self, log, slot=None):
+        super().__init__(log)
+        self.slot, self.log_of_sql, self.exported = slot, [], 0
+        self.tables = {"customers": [("1", "Ada"), ("2", None), ("3", "Cy")], "orders": [], "toasts": [("9", "x")]}
+
+    def query(self, sql):
+        self.log_of_sql.append(sql)
+        if "pg_wal_lsn_diff" in sql:
+            return [(0,)]
+        if "pg_replication_slots" in sql:
+            return [self.slot] if self.slot else []
+        if "pg_publication_tables" in sql:
+            return [(100 + i, "lab", t, "d", "id < 10" if t == "toasts" else None, c, oid, -1, c == "id") for i, t in enumerate(self.tables) for c, oid in (("id", 23), ("name", 25))]
+        return {"SHOW server_version_num": [(160000,)], "SHOW wal_level": [("logical",)]}.get(sql, [(True,)])
+
+    def execute(self, sql):
+        self.log_of_sql.append(sql)
+        if "drop" in sql:
+            self.slot = None
+            return None
+        self.slot, self.exported = ("s", "pgoutput", "db", False, 0x2000), self.exported + 1
+        return ("s", "0/2000", f"snap-{self.exported}", "pgoutput")
+
+    def rows(self, query, snapshot, fetch_size):
+        self.log_of_sql.append(f"{snapshot}: {query}")
+        return iter(self.tables[query.split('"."')[1].split('"')[0]])
+
+    def messages(self, after):
+        return iter([(0x2000 + lsn, d) for lsn, d in self.log if 0x2000 + lsn > after])
+
+
+WANTED = {"database": "db", "publication": "p", "slot": "s", "initial_snapshot": "true", "max_events": 2}
+
+
+def all_batches(r, at, n):
+    out = []
+    for _ in range(n):
+        rows, at = r.read(at)
+        out.append((list(rows), at))
+        r.commit(at)
+    return out
+
+
+def test_initial_snapshot_then_the_stream(spark, tmp_path):
+    db = Database([begin(5), relation(100, "customers", (("id", 1, 23, -1), ("name", 0, 25, -1))), insert(100, "4", "Di"), commit(end=0x3000)])
+    r = live(db, state=tmp_path / "state", **WANTED)
+    first = r.initialOffset()
+    assert first["snapshot"] == "snap-1" and json.loads((tmp_path / "state").read_text()) == {"snapshot_pending": True}
+    found = all_batches(r, first, 4)
+    assert [[m[3][:1] for m in rows] for rows, _ in found] == [[b"B", b"R", b"s", b"s", b"C"], [b"B", b"R", b"s", b"C"], [b"B", b"R", b"s", b"C"], [b"B", b"R", b"I", b"C"]]
+    assert found[1][1] == {"lsn": 0x2000, "seq": 9, "snapshot": "snap-1", "table": 1, "row": 3} and found[2][1] == {"lsn": 0x2000, "seq": 13}  # counters; empty tables are passed over
+    assert json.loads((tmp_path / "state").read_text()) == {"lsn": 0x2000} and db.confirmed == [0x2000, 0x3000]
+    assert any(x == 'snap-1: SELECT "id"::text, "name"::text FROM "lab"."toasts" WHERE id < 10' for x in db.log_of_sql)
+    writer = BatchWriter(str(tmp_path / "out"))
+    for batch, (rows, _) in enumerate(found):
+        writer(spark.createDataFrame(rows, RAW), batch)
+    m = spark.read.parquet(str(tmp_path / "out/manifest")).orderBy("batch_id").collect()
+    assert [(x.table, x.event_count, x.lsn if x.batch_id < 3 else None, x.xid) for x in m] == [("customers", 2, "0/2000", 0), ("customers", 1, "0/2000", 0), ("toasts", 1, "0/2000", 0), ("customers", 1, None, 5)]
+    lines = [json.loads(x) for f in (tmp_path / "out/batch=0").rglob("*.json") for x in f.read_text().splitlines()]
+    assert {(x["operation"], x["after"]["id"], x["after"]["name"], x["before"]) for x in lines} == {("snapshot", "1", "Ada", None), ("snapshot", "2", None, None)} and all(x["commit_timestamp"] for x in lines)
+
+
+def test_snapshot_of_tables_that_fit():
+    db = Database([])
+    r = live(db, **WANTED, table_pattern="cust.*")
+    rows = [x for rows, _ in all_batches(r, r.initialOffset(), 3) for x in rows]
+    assert sum(d[:1] == b"s" for *_, d in rows) == 3 and not any("toasts" in x for x in db.log_of_sql if x.startswith("snap"))
+
+
+def test_interrupted_snapshot_begins_anew():
+    db = Database([])
+    r = live(db, **WANTED)
+    (_, at), = all_batches(r, r.initialOffset(), 1)
+    again = live(db, **WANTED)  # another process: the exported snapshot is gone
+    assert list(again.readBetweenOffsets({"snapshot": "snap-1", "lsn": 0x2000, "seq": 0}, at)) == []
+    rows, end = again.read(at)
+    assert end["snapshot"] == "snap-2" and [m[3][:1] for m in rows] == [b"B", b"R", b"s", b"s", b"C"] and any("drop" in x for x in db.log_of_sql)
+    with pytest.raises(ValueError, match="last batch"):
+        again.readBetweenOffsets(end, {"lsn": 0x2000, "seq": 20})
+
+
+def test_no_snapshot_where_the_slot_is_there_and_refusals():
+    r = live(Database([], ("s", "pgoutput", "db", False, 0x1500)), **WANTED)
+    assert r.initialOffset() == {"lsn": 0x1500, "seq": 0}
+    with pytest.raises(ValueError, match="in use"):
+        live(Database([], ("s", "pgoutput", "db", True, 0)), **WANTED).initialOffset()
+    with pytest.raises(ValueError, match="max_events"):
+        live(Database([]), **(WANTED | {"max_events": 0}))
+
+
+def test_lost_connections_are_tried_again(caplog):
+    class Broken(Player):
+        down = True
+
+        def messages(self, after):
+            if self.down:
+                raise ConnectionError("gone")
+            return super().messages(after)
+
+    client = Broken(transaction(1, 48))
+    r = live(client, max_wait=0)
+    at = {"lsn": 0, "seq": 0}
+    for _ in range(3):
+        rows, same = r.read(at)
+        assert list(rows) == [] and same == at
+    assert [x.levelname for x in caplog.records if "failed" in x.message] == ["ERROR"]  # the first; then only once a minute
+    client.down = False
+    assert len(list(r.read(at)[0])) == 3
+
+
 LOG = [
     begin(1), relation(9, "a", (("id", 1, 23, -1), ("note", 0, 25, -1), ("day", 0, 1082, -1))), relation(10, "b"), insert(9, "1", "x", "2026-01-02"), insert(10, "5", None), update(9, "1", ..., "infinity"), truncate(9, 10), commit(end=200, micros=5),
     begin(2), relation(9, "a", (("id", 1, 23, -1), ("more", 0, 25, -1))), insert(9, "2", "y"), delete(9, "2", None), commit(end=300, micros=6),
@@ -176,7 +384,7 @@ def test_query_from_stream_to_files(spark, tmp_path):
     log = [begin(1), relation(9), insert(9, "1", "a"), commit(end=64), start(8), insert(9, "2", "b", xid=8), STOP, stream_commit(8, end=128)]
     (tmp_path / "log").write_text("\n".join(d.hex() for d in log))
     spark.dataSource.register(capture.ReplicationSource)
-    stream = spark.readStream.format("pg_replication").options(client="wire:FileClient", path=str(tmp_path / "log"), slot="s", streaming="true", max_events="4").load()
+    stream = spark.readStream.format("pg_replication").options(client="wire:FileClient", path=str(tmp_path / "log"), slot="s", streaming="true", spool_dir=str(tmp_path), max_events="1", max_wait="0").load()
     run = stream.writeStream.foreachBatch(BatchWriter(str(tmp_path / "out"))).option("checkpointLocation", str(tmp_path / "checkpoint")).start()
     try:
         run.processAllAvailable()

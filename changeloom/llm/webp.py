@@ -1,10 +1,11 @@
-"""Lossless WebP: a reader of the whole format, a writer of a plain subset, and media columns made of texts.
+"""Lossless WebP: a reader of the whole format, a writer, and media columns made of texts.
 
 The reader decodes prefix codes (simple and normal), back-references, the colour cache and groups of prefix codes, and inverts the predictor,
-cross-colour, subtract-green and palette transforms. Pixels whose codes all take a fixed number of bits (0 or 8) are unpacked by numpy at
-once, and rows predicted from their left neighbour alone are running sums; all else is decoded symbol by symbol.
+cross-colour, subtract-green and palette transforms. Prefix codes are looked up by as many bits as the longest has, and literals, copies and cache hits are taken one symbol at a time from a bit buffer.
 
-The writer stores 8-bit samples, three to a pixel, with the left predictor and codes of 8 bits.
+The writer stores one sample a pixel, in green. Where there are 16 colours or fewer the palette transform puts several to a pixel. Repeats become back-references to the last
+place with the same five pixels, and symbols are written by length-limited prefix codes made from the image's counts. It has no use for a colour cache: where a pixel is one sample, a hit stands for the same pixel as
+the literal and takes no fewer bits.
 
 Cases for texts: null is the empty text; the empty text gives one block of padding; more samples than one image may hold go to further images
 behind the first; equal texts give equal bytes; repeated rows and null ids are kept; other columns don't take part.
@@ -16,7 +17,7 @@ import hashlib
 import struct
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pandas as pd
@@ -26,14 +27,20 @@ from pyspark.sql import functions as F
 from changeloom.llm.common import table
 
 BLOCK = 576  # bytes of payload, one row of pixels
-WIDTH = 192
 MOST_ROWS = 1 << 14
+#: Pixels that are compared at two places, the fewest and most that one copy takes, and how far back it may lie.
+LEAST, SHORTEST, LONGEST, FARTHEST = 4, 8, 4096, (1 << 20) - 120
+BITS = np.arange(8, dtype=np.uint32)
+#: Further bits of a length or distance by its prefix.
+MORE = np.maximum((np.arange(40) - 2) >> 1, 0)
+#: Bytes that are looked up together when reading.
+STRETCH = 1 << 16
 PREDICTOR, CROSS_COLOUR, SUBTRACT_GREEN, PALETTE = range(4)
 #: Order in which the lengths of the code for code lengths are written; fixed values.
 LENGTH_ORDER = (17, 18, 0, 1, 2, 3, 4, 5, 16, 6, 7, 8, 9, 10, 11, 12, 13, 14, 15)
 #: Near places that short distance codes stand for: by distance, then the smaller horizontal step, right before left.
 NEAR = sorted(((dx, dy) for dx in range(-7, 9) for dy in range(8) if dy or dx > 0), key=lambda p: (p[0] ** 2 + p[1] ** 2, abs(p[0]), p[0] < 0))
-REVERSED = np.array([int(f"{b:08b}"[::-1], 2) for b in range(256)], np.uint8)
+CACHE_HASH = 0x1E35A7BD  # fixed value
 
 
 class Bits:
@@ -50,62 +57,58 @@ class Bits:
         self.at += n
         return value & ((1 << n) - 1)
 
+    def peek(self, n: int) -> int:
+        """The next n bits, zeros behind the end."""
+        first = self.at >> 3
+        return int.from_bytes(self.data[first : (self.at + n + 7) >> 3], "little") >> (self.at & 7) & ((1 << n) - 1)
+
+    def skip(self, n: int) -> None:
+        self.at += n
+        if self.at > 8 * len(self.data):
+            raise ValueError("the image ends too early")
+
 
 class PrefixCode:
-    """A canonical prefix code from code lengths by symbol."""
-
-    def __init__(self, lengths: list[int]):
-        used = [(n, s) for s, n in enumerate(lengths) if n]
-        if not used:
-            used = [(0, 0)]
-        self.only = used[0][1] if len(used) == 1 else None
-        self.width = 0 if self.only is not None else None
-        self.symbols: dict[tuple[int, int], int] = {}
-        if self.only is None:
-            if sum(1 << (15 - n) for n, _ in used) != 1 << 15:
-                raise ValueError("a prefix code isn't complete")
-            code = last = 0
-            for n, s in sorted(used):
-                code <<= n - last
-                self.symbols[n, code] = s
-                code, last = code + 1, n
-            if len(used) == 256 and all(n == 8 and s < 256 for n, s in used):
-                self.width = 8  # every byte stands for itself
+    """A canonical prefix code from code lengths by symbol. ``array`` has, for the next ``width`` bits, the symbol * 16 + how many of them it takes."""
 
-    def read(self, bits: Bits) -> int:
+    def __init__(self, lengths: np.ndarray):
+        used = np.flatnonzero(lengths)
+        self.only = int(used[0]) if len(used) == 1 else None if len(used) else 0
         if self.only is not None:
+            self.width, self.array = 0, np.array([self.only * 16])
+            return
+        n = lengths[used]
+        if (1 << (15 - n)).sum() != 1 << 15:
+            raise ValueError("a prefix code isn't complete")
+        self.width = int(n.max())
+        order = np.lexsort((used, n))
+        spans = 1 << (self.width - n[order])
+        # codes in order fill the table from the first bit down; the stream has the first bit lowest
+        self.array = np.repeat(used[order] * 16 + n[order], spans)[_reversed(self.width)]
+
+    @cached_property
+    def table(self) -> list[int]:
+        return self.array.tolist()
+
+    def read(self, bits: Bits) -> int:
+        if not self.width:
             return self.only
-        n = code = 0
-        while n < 15:
-            n, code = n + 1, code << 1 | bits.read(1)
-            if (n, code) in self.symbols:
-                return self.symbols[n, code]
-        raise ValueError("no such prefix code")
+        entry = int(self.array[bits.peek(self.width)])
+        bits.skip(entry & 15)
+        return entry >> 4
 
 
-#: Codes that were read before, by alphabet, number of bits and the bits of their description; cleared when it has grown to 1,000.
-_KNOWN: dict[tuple[int, int], dict[int, PrefixCode]] = {}
+@lru_cache(maxsize=16)
+def _reversed(width: int) -> np.ndarray:
+    """Numbers of so many bits, their bits turned around."""
+    x, out = np.arange(1 << width), np.zeros(1 << width, np.int64)
+    for _ in range(width):
+        out, x = out << 1 | x & 1, x >> 1
+    return out
 
 
 def _read_code(bits: Bits, size: int) -> PrefixCode:
-    """A code's description is parsed once; the same bits mean the same code, and no description begins another."""
-    for (n_symbols, n), codes in _KNOWN.items():
-        if n_symbols == size and bits.at + n <= 8 * len(bits.data):
-            start = bits.at
-            if code := codes.get(bits.read(n)):
-                return code
-            bits.at = start
-    start = bits.at
-    code = _parse_code(bits, size)
-    n, bits.at = bits.at - start, start
-    if sum(map(len, _KNOWN.values())) >= 1000:
-        _KNOWN.clear()
-    _KNOWN.setdefault((size, n), {})[bits.read(n)] = code
-    return code
-
-
-def _parse_code(bits: Bits, size: int) -> PrefixCode:
-    lengths = [0] * size
+    lengths = np.zeros(size, np.int64)
     if bits.read(1):
         two = bits.read(1)
         first = bits.read(8 if bits.read(1) else 1)
@@ -113,7 +116,7 @@ def _parse_code(bits: Bits, size: int) -> PrefixCode:
         if two:
             lengths[bits.read(8)] = 1
         return PrefixCode(lengths)
-    own = [0] * 19
+    own = np.zeros(19, np.int64)
     for i in range(4 + bits.read(4)):
         own[LENGTH_ORDER[i]] = bits.read(3)
     code = PrefixCode(own)
@@ -129,7 +132,7 @@ def _parse_code(bits: Bits, size: int) -> PrefixCode:
         value, more = (before, 3 + bits.read(2)) if s == 16 else (0, 3 + bits.read(3)) if s == 17 else (0, 11 + bits.read(7))
         if at + more > size:
             raise ValueError("too many code lengths")
-        lengths[at : at + more] = [value] * more
+        lengths[at : at + more] = value
         at += more
     return PrefixCode(lengths)
 
@@ -153,29 +156,155 @@ def _read_pixels(bits: Bits, width: int, height: int, main: bool) -> np.ndarray:
         n_groups = int(groups_at.max()) + 1
     cache_size = 1 << cache_bits if cache_bits else 0
     groups = [[_read_code(bits, n) for n in (280 + cache_size, 256, 256, 256, 40)] for _ in range(n_groups)]
-    n = width * height
-    if n_groups == 1 and not cache_size and all(c.width is not None for c in groups[0][:4]) and not (groups[0][0].width == 0 and groups[0][0].only >= 256):
-        return _fixed(bits, groups[0], n).reshape(height, width, 4)
+    if len(groups) == 1 and not cache_bits and not any(code.width for code in groups[0][1:4]):
+        return _green(bits, width, width * height, *groups[0]).reshape(height, width, 4)
+    out = _symbols(bits, width, width * height, groups, (lambda at: groups_at[at // width >> step, at % width >> step]) if groups_at is not None else None, cache_bits)
+    pixels = np.array(out, np.uint32)
+    return pixels.view(np.uint8).reshape(height, width, 4)[:, :, [2, 1, 0, 3]] if np.little_endian else np.stack([pixels >> k & 255 for k in (16, 8, 0, 24)], 1).astype(np.uint8).reshape(height, width, 4)
+
+
+def _green(bits: Bits, width: int, n: int, green: PrefixCode, red: PrefixCode, blue: PrefixCode, alpha: PrefixCode, far: PrefixCode) -> np.ndarray:
+    """n pixels that differ in green alone. What would be read at each bit is looked up for all bits at once; one walk then finds where symbols really begin.
+
+    Stretches of STRETCH bytes are looked up at a time, so that the arrays stay small.
+    """
     out = np.zeros((n, 4), np.uint8)
-    cache = [0] * cache_size
+    out[:, 0], out[:, 2], out[:, 3] = red.only, blue.only, alpha.only
+    samples, at, place = bytearray(n), 0, bits.at
+    near = np.array([max(1, dx + dy * width) for dx, dy in NEAR])
+    greens = green.array.astype(np.int32)
+    while at < n:
+        first = place >> 3
+        raw = bits.data[first : first + STRETCH + 16]
+        m = min(len(raw), STRETCH)
+        wide = np.frombuffer(raw + bytes(24), np.uint8)
+        words = np.zeros(m + 16, np.int64)  # from each byte on, eight bytes
+        for k in range(8):
+            words |= wide[k : k + m + 16].astype(np.int64) << (8 * k)
+        ends = 8 * m
+        window = (words[:m, None].astype(np.uint32) >> BITS).ravel()
+        entry = greens[window & np.uint32((1 << green.width) - 1)]
+        after = np.arange(ends + 1, dtype=np.int32)
+        after[:ends] += entry & 15
+        copy = np.flatnonzero(entry >= 256 << 4)
+        after[copy] += _copy_bits(words, copy, entry[copy], far).astype(np.int32)
+        # steps of 1, 2, 4 and 8 symbols
+        one = np.minimum(after, ends)
+        two = one[one]
+        four = two[two]
+        step, p, walk = four[four].item, place - 8 * first, []
+        if not green.width and green.only < 256:
+            walk = np.full(n - at, p)
+        else:
+            while p < ends:
+                walk.append(p)
+                p = step(p)
+            walk = np.array(walk, np.int64)
+            for jump in (four, two, one):
+                walk = np.stack((walk, jump[walk]), 1).ravel()
+            walk = walk[walk < ends]
+        if not len(walk):
+            raise ValueError("the image ends too early")
+        symbol = entry[walk] >> 4
+        copied = np.flatnonzero(symbol >= 256)
+        length = np.ones(len(walk), np.int64)
+        length[copied], back = _copy(words, walk[copied], entry[walk[copied]], far)
+        starts = at + np.cumsum(length) - length
+        used = int(np.searchsorted(starts, n))
+        plain = np.flatnonzero(symbol[:used] < 256)
+        np.frombuffer(samples, np.uint8)[starts[plain]] = symbol[plain]
+        copied = copied[copied < used]
+        back = np.where(back > 120, back - 120, near[np.minimum(back, 120) - 1])
+        for a, k, d in zip(starts[copied].tolist(), length[copied].tolist(), back[: len(copied)].tolist(), strict=True):
+            if d > a or a + k > n:
+                raise ValueError("a back-reference leaves the image")
+            if k <= d:
+                samples[a : a + k] = samples[a - d : a - d + k]
+            else:
+                samples[a : a + k] = (samples[a - d : a] * (k // d + 1))[:k]
+        at = int(starts[used - 1] + length[used - 1])
+        place = 8 * first + int(after[walk[used - 1]])
+        if place > 8 * len(bits.data):
+            raise ValueError("the image ends too early")
+    bits.at = place
+    out[:, 1] = np.frombuffer(samples, np.uint8)
+    return out
+
+
+def _copy_bits(words: np.ndarray, at: np.ndarray, entry: np.ndarray, far: PrefixCode) -> np.ndarray:
+    """Of copies whose length's prefix begins at these bits and was looked up as entry: the bits that follow that prefix."""
+    took = entry & 15
+    more = MORE[np.minimum((entry >> 4) - 256, 39)]  # what is no copy is a hit of the cache, and there is none here
+    entry = far.array[words[at >> 3] >> ((at & 7) + took + more) & ((1 << far.width) - 1)]
+    return more + (entry & 15) + MORE[entry >> 4]
 
-    def remember(r: int, g: int, b: int, a: int) -> None:
-        v = a << 24 | r << 16 | g << 8 | b
-        cache[(0x1E35A7BD * v & 0xFFFFFFFF) >> (32 - cache_bits)] = v
 
+def _copy(words: np.ndarray, at: np.ndarray, entry: np.ndarray, far: PrefixCode) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths, and codes of distances, of such copies."""
+
+    def number(s: np.ndarray, at: np.ndarray) -> np.ndarray:
+        return np.where(s < 4, s, ((2 + (s & 1)) << MORE[s]) + (words[at >> 3] >> (at & 7) & ((1 << MORE[s]) - 1))) + 1
+
+    at = at + (entry & 15)
+    s = (entry >> 4) - 256
+    length, at = number(s, at), at + MORE[s]
+    entry = far.array[words[at >> 3] >> (at & 7) & ((1 << far.width) - 1)]
+    return length, number(entry >> 4, at + (entry & 15))
+
+
+def _symbols(bits: Bits, width: int, n: int, groups: list[list[PrefixCode]], group_at, cache_bits: int) -> list[int]:
+    """n pixels as alpha, red, green, blue from the highest byte down."""
+    data, out = bits.data, []
+    place, held, buffer = bits.at >> 3, 0, 0  # bytes taken, bits in the buffer
+    buffer, held, place = data[place] >> (bits.at & 7) if place < len(data) else 0, 8 - (bits.at & 7), place + 1
+    cache, cached, shift = [0] * (1 << cache_bits if cache_bits else 0), 0, 32 - cache_bits
+    codes = None
     at = 0
     while at < n:
-        green, red, blue, alpha, far = groups[groups_at[at // width >> step, at % width >> step] if groups_at is not None else 0]
-        s = green.read(bits)
+        if codes is None or group_at is not None:
+            green, red, blue, alpha, far = codes = groups[group_at(at) if group_at is not None else 0]
+            greens, green_mask = green.table, (1 << green.width) - 1
+            others = None if red.width or blue.width or alpha.width else alpha.only << 24 | red.only << 16 | blue.only
+        if held < 32:
+            buffer |= int.from_bytes(data[place : place + 6], "little") << held
+            held, place = held + 48, place + 6
+        entry = greens[buffer & green_mask]
+        took = entry & 15
+        buffer >>= took
+        held -= took
+        s = entry >> 4
         if s < 256:
-            pixel = (red.read(bits), s, blue.read(bits), alpha.read(bits))
-            out[at] = pixel
-            if cache_size:
-                remember(*pixel)
+            if others is not None:
+                out.append(others | s << 8)
+            else:
+                pixel = s << 8
+                for code, up in ((red, 16), (blue, 0), (alpha, 24)):
+                    if held < 32:
+                        buffer |= int.from_bytes(data[place : place + 6], "little") << held
+                        held, place = held + 48, place + 6
+                    entry = code.table[buffer & ((1 << code.width) - 1)]
+                    buffer >>= entry & 15
+                    held -= entry & 15
+                    pixel |= entry >> 4 << up
+                out.append(pixel)
             at += 1
         elif s < 280:
-            length = _run(s - 256, bits)
-            code = _run(far.read(bits), bits)
+            s -= 256
+            more = (s - 2) >> 1 if s > 3 else 0
+            length = s + 1 if s < 4 else ((2 + (s & 1)) << more) + (buffer & ((1 << more) - 1)) + 1
+            buffer >>= more
+            held -= more
+            if held < 48:
+                buffer |= int.from_bytes(data[place : place + 6], "little") << held
+                held, place = held + 48, place + 6
+            entry = far.table[buffer & ((1 << far.width) - 1)]
+            buffer >>= entry & 15
+            held -= entry & 15
+            s = entry >> 4
+            more = (s - 2) >> 1 if s > 3 else 0
+            code = s + 1 if s < 4 else ((2 + (s & 1)) << more) + (buffer & ((1 << more) - 1)) + 1
+            buffer >>= more
+            held -= more
             if code > 120:
                 back = code - 120
             else:
@@ -183,33 +312,22 @@ def _read_pixels(bits: Bits, width: int, height: int, main: bool) -> np.ndarray:
                 back = max(1, dx + dy * width)
             if back > at or at + length > n:
                 raise ValueError("a back-reference leaves the image")
-            for i in range(at, at + length):
-                out[i] = out[i - back]
-                if cache_size:
-                    remember(*map(int, out[i]))
+            if length <= back:
+                out += out[at - back : at - back + length]
+            else:
+                again = out[at - back :]
+                out += (again * (length // back + 1))[:length]
             at += length
         else:
-            v = cache[s - 280]
-            out[at] = v >> 16 & 255, v >> 8 & 255, v & 255, v >> 24
+            # the cache holds all pixels so far; they are put in when it is asked
+            for v in out[cached:]:
+                cache[(CACHE_HASH * v & 0xFFFFFFFF) >> shift] = v
+            cached = at
+            out.append(cache[s - 280])
             at += 1
-    return out.reshape(height, width, 4)
-
-
-def _fixed(bits: Bits, codes: list[PrefixCode], n: int) -> np.ndarray:
-    """n pixels whose codes take 0 or 8 bits each."""
-    out = np.empty((n, 4), np.uint8)
-    stored = [(to, c) for to, c in zip((1, 0, 2, 3), codes, strict=False) if c.width]
-    for to, c in zip((1, 0, 2, 3), codes, strict=False):
-        if not c.width:
-            out[:, to] = c.only
-    size, shift = n * len(stored), bits.at & 7
-    raw = np.frombuffer(bits.data, np.uint8, offset=bits.at >> 3)
-    if len(raw) < size + (shift > 0):
+    bits.at = 8 * place - held
+    if bits.at > 8 * len(data):
         raise ValueError("the image ends too early")
-    values = raw[:size] if not shift else raw[:size] >> shift | raw[1 : size + 1] << (8 - shift)
-    for i, (to, _) in enumerate(stored):
-        out[:, to] = REVERSED[values[i :: len(stored)]]
-    bits.at += 8 * size
     return out
 
 
@@ -315,6 +433,8 @@ def decode(media: bytes) -> list[np.ndarray]:
     """All images of a stored form, one RIFF file after the other."""
     out, at = [], 0
     while at < len(media):
+        if len(media) < at + 20:
+            raise ValueError("not a lossless WebP file")
         riff, size, form, chunk, n = struct.unpack_from("<4sI4s4sI", media, at)
         if (riff, form, chunk) != (b"RIFF", b"WEBP", b"VP8L") or at + 8 + size > len(media):
             raise ValueError("not a lossless WebP file")
@@ -323,62 +443,254 @@ def decode(media: bytes) -> list[np.ndarray]:
     return out
 
 
-@lru_cache(maxsize=256)
-def _head(width: int, height: int) -> tuple[bytes, int]:
-    """The bits before the pixels: sizes, the left predictor for all blocks, codes of 8 bits for red, green and blue. Whole bytes, and the bits begun."""
-    out: list[int] = []
-    put = lambda v, n: out.extend(v >> i & 1 for i in range(n))
-    one = lambda s: (put(1, 1), put(0, 1), put(0, 1), put(s, 1))  # noqa: E731  a code of one symbol, 0 or 1
-    put(0x2F, 8), put(width - 1, 14), put(height - 1, 14), put(0, 1), put(0, 3)
-    put(1, 1), put(PREDICTOR, 2), put(7, 3)  # blocks of 512
-    put(0, 1)  # no cache
-    for s in (1, 0, 0, 0, 0):
-        one(s)
-    put(0, 1), put(0, 1), put(0, 1)  # no more transforms, no cache, one group
-    for rest in (24, 0, 0):
-        put(0, 1), put(12 - 4, 4)
-        for s in LENGTH_ORDER[:12]:
-            put({16: 1, 8: 2, 18: 2}.get(s, 0), 3)
-        put(0, 1)
-        for n in [6] * 42 + [4]:  # 16 (code 0): as before, which at the start is 8
-            put(0, 1), put(n - 3, 2)
-        if rest:
-            put(0b11, 2), put(rest - 11, 7)  # 18: zeros
-    one(0), one(0)  # alpha's residual, distance
-    whole = out + [0] * (-len(out) % 8)
-    return np.packbits(np.array(whole, np.uint8), bitorder="little").tobytes(), len(out)
+# -- writing -----------------------------------------------------------------------------------------------------------------
+
+
+class Writer:
+    """Numbers of given bits, lowest first."""
+
+    def __init__(self):
+        self.value, self.size = 0, 0
+        self.parts: list[np.ndarray] = []
+
+    def put(self, *pairs: tuple[int, int]) -> None:
+        """Few numbers, one by one."""
+        for v, n in pairs:
+            self.value |= v << self.size
+            self.size += n
+
+    def many(self, values: np.ndarray, sizes: np.ndarray) -> None:
+        self._flush()
+        held = sizes > 0
+        values, sizes = values[held], sizes[held]
+        at = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        self.parts.append((np.repeat(values, sizes) >> at & 1).astype(np.uint8))
+
+    def _flush(self) -> None:
+        raw = np.frombuffer(self.value.to_bytes((self.size + 7) // 8, "little"), np.uint8)
+        self.parts.append(np.unpackbits(raw, bitorder="little")[: self.size])
+        self.value = self.size = 0
+
+    def bytes(self) -> bytes:
+        self._flush()
+        return np.packbits(np.concatenate(self.parts), bitorder="little").tobytes()
+
+
+def code_lengths(counts: np.ndarray, most: int) -> np.ndarray:
+    """Lengths of a best prefix code for these counts, at most ``most`` bits; a symbol alone has 1."""
+    used = np.flatnonzero(counts)
+    out = np.zeros(len(counts), np.int64)
+    if len(used) < 2:
+        out[used] = 1
+        return out
+    weights = counts[used].tolist()
+    while True:
+        # two queues: symbols by weight, and sums, which come out in order by themselves
+        order = sorted(range(len(weights)), key=weights.__getitem__)
+        n = len(order)
+        weight, up = [weights[i] for i in order], [0] * (2 * n - 1)
+        leaf, inner = 0, n
+        for new in range(n, 2 * n - 1):
+            total = 0
+            for _ in range(2):
+                if leaf < n and (inner >= new or weight[leaf] <= weight[inner]):
+                    pick, leaf = leaf, leaf + 1
+                else:
+                    pick, inner = inner, inner + 1
+                total += weight[pick]
+                up[pick] = new
+            weight.append(total)
+        depth = [0] * (2 * n - 1)
+        for i in range(2 * n - 3, -1, -1):
+            depth[i] = depth[up[i]] + 1
+        if max(depth[:n]) <= most:
+            break
+        weights = [w // 2 + 1 for w in weights]  # flatter, until it is short enough
+    out[used[order]] = depth[:n]
+    return out
+
+
+def _codes(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each symbol's code as the stream has it, first bit lowest, and its bits; none where only one symbol is used."""
+    codes, used = np.zeros(len(lengths), np.int64), np.flatnonzero(lengths)
+    if len(used) < 2:
+        return codes, np.zeros(len(lengths), np.int64)
+    n = lengths[used]
+    order = np.lexsort((used, n))
+    width = int(n.max())
+    starts = np.concatenate(([0], np.cumsum(1 << (width - n[order]))[:-1]))
+    codes[used[order]] = _reversed(width)[starts]  # a code's bits in the highest of width: turned around they are the lowest
+    return codes, lengths
+
+
+def _write_code(to: Writer, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Writes the description of a prefix code for these counts and gives its codes."""
+    used = np.flatnonzero(counts)
+    if len(used) <= 2 and (not len(used) or used[-1] < 256):
+        first, *second = used.tolist() or [0]
+        to.put((1, 1), (len(second), 1), (1, 1), (first, 8), *((s, 8) for s in second))
+        lengths = np.zeros(len(counts), np.int64)
+        lengths[used] = 1
+        return _codes(lengths)
+    lengths = code_lengths(counts, 15)
+    if len(used) == 1:  # a symbol that the short form can't name: a code of two, one of which never comes
+        lengths[0] = 1
+    # lengths as runs: of zeros by 17 and 18, of the one before by 16
+    edges = np.flatnonzero(np.diff(lengths)) + 1
+    tokens: list[tuple[int, int, int]] = []
+    before = 8
+    for value, run in zip(lengths[np.concatenate(([0], edges))].tolist(), np.diff(np.concatenate(([0], edges, [len(lengths)]))).tolist(), strict=True):
+        if value and value != before:
+            tokens.append((value, 0, 0))
+            run, before = run - 1, value
+        while run:
+            if value and run >= 3:
+                k = min(run, 6)
+                tokens.append((16, k - 3, 2))
+            elif not value and run >= 11:
+                k = min(run, 138)
+                tokens.append((18, k - 11, 7))
+            elif not value and run >= 3:
+                k = run
+                tokens.append((17, k - 3, 3))
+            else:
+                k = 1
+                tokens.append((value, 0, 0))
+            run -= k
+    symbols = np.array([t[0] for t in tokens])
+    of_lengths = code_lengths(np.bincount(symbols, minlength=19), 7)
+    last = max(i for i, s in enumerate(LENGTH_ORDER) if of_lengths[s] or i < 4)
+    to.put((0, 1), (last - 3, 4), *((int(of_lengths[s]), 3) for s in LENGTH_ORDER[: last + 1]), (0, 1))
+    codes, sizes = (x.tolist() for x in _codes(of_lengths))
+    for s, more, n in tokens:
+        to.put((codes[s] | more << sizes[s], sizes[s] + n))
+    return _codes(lengths)
+
+
+def _prefixes(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lengths or distance codes (from 1) as their prefix symbols, further bits and how many."""
+    x = numbers - 1
+    top = np.frexp(np.maximum(x, 1))[1] - 1
+    more = np.where(x > 3, top - 1, 0)
+    symbol = np.where(x > 3, 2 * top + (x >> np.maximum(top - 1, 0) & 1), x)
+    return symbol, x & ((1 << more) - 1), more
+
+
+def copies_of(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where copies are taken, left to right: their places, lengths and how far back they begin.
+
+    A place refers to the one before it, among those whose LEAST samples share a 16-bit hash, if these samples are the same; copies go on as long as the places after it refer likewise.
+    """
+    n = len(x) - LEAST + 1
+    none = np.zeros(0, np.int64)
+    if n < 2:
+        return none, none, none
+    grams = x[:n].astype(np.uint32)
+    for k in range(1, LEAST):
+        grams |= x[k : k + n].astype(np.uint32) << np.uint32(8 * k)
+    order = np.argsort((grams * np.uint32(0x9E3779B1) >> np.uint32(16)).astype(np.uint16), kind="stable")
+    same = grams[order[1:]] == grams[order[:-1]]
+    back = np.zeros(n + 1, np.int64)
+    back[order[1:][same]] = (order[1:] - order[:-1])[same]
+    back[back > FARTHEST] = 0
+    # a copy lasts until the distance changes
+    turns = np.append(np.flatnonzero(back[1:] != back[:-1]) + 1, n + 1)
+    length = np.minimum(np.repeat(turns, np.diff(turns, prepend=0)) - np.arange(n + 1) + LEAST - 1, LONGEST)
+    starts = np.append(np.flatnonzero((back > 0) & (length >= SHORTEST)), n)
+    following = np.repeat(starts, np.diff(starts, prepend=-1)).item
+    last, p, taken = length.item, int(starts[0]), []
+    while p < n:
+        taken.append(p)
+        p += last(p)
+        p = following(p) if p < n else n
+    if not taken:
+        return none, none, none
+    taken = np.array(taken)
+    return taken, length[taken], back[taken]
+
+
+@lru_cache(maxsize=8)
+def _near_codes(width: int) -> np.ndarray:
+    """By distance, its shortest code: that of the near place there, if there is one."""
+    codes = np.arange(8 * width + 16) + 120
+    for code, (dx, dy) in reversed([*enumerate(NEAR, 1)]):
+        if dx + dy * width > 0:
+            codes[dx + dy * width] = code
+    return codes
+
+
+def _write_samples(to: Writer, x: np.ndarray, width: int) -> None:
+    """The main image: green x, red and blue 0, alpha 255, with copies."""
+    places, lengths, backs = copies_of(x)
+    edge = np.zeros(len(x) + 1, np.int8)
+    edge[places] += 1
+    edge[places + lengths] -= 1
+    literal = np.flatnonzero(np.cumsum(edge[:-1], dtype=np.int8) == 0)
+    symbol = x[literal].astype(np.int64)
+    length_symbol, length_more, length_bits = _prefixes(lengths)
+    near = _near_codes(width)
+    back_symbol, back_more, back_bits = _prefixes(np.where(backs < len(near), near[np.minimum(backs, len(near) - 1)], backs + 120))
+    counts = np.bincount(symbol, minlength=280) + np.bincount(length_symbol + 256, minlength=280)
+    to.put((0, 1), (0, 1))  # neither a cache nor groups
+    codes, sizes = _write_code(to, counts)
+    for only in (0, 0, 255):
+        to.put((1, 1), (0, 1), (1, 1), (only, 8))
+    back_codes, back_sizes = _write_code(to, np.bincount(back_symbol, minlength=40))
+    # literals have one number, copies four, in the order of their places
+    at_literal = np.arange(len(literal)) + 4 * np.searchsorted(places, literal)
+    at_copy = np.searchsorted(literal, places) + 4 * np.arange(len(places))
+    values, bits = np.zeros((2, len(literal) + 4 * len(places)), np.int64)
+    values[at_literal], bits[at_literal] = codes[symbol], sizes[symbol]
+    for k, (v, n) in enumerate(((codes[length_symbol + 256], sizes[length_symbol + 256]), (length_more, length_bits), (back_codes[back_symbol], back_sizes[back_symbol]), (back_more, back_bits))):
+        values[at_copy + k], bits[at_copy + k] = v, n
+    to.many(values, bits)
+
+
+def _write_palette(to: Writer, colours: np.ndarray) -> None:
+    """Each colour less the one before, by one prefix code; alpha is 255 once and then stays."""
+    steps = np.diff(colours, prepend=0).astype(np.uint8)
+    to.put((0, 1))
+    codes, sizes = (x.tolist() for x in _write_code(to, np.bincount(steps, minlength=280)))
+    for only in (0, 0):
+        to.put((1, 1), (0, 1), (1, 1), (only, 8))
+    many = len(colours) > 1
+    to.put((1, 1), (int(many), 1), (1, 1), (0 if many else 255, 8), *([(255, 8)] if many else []))
+    to.put((1, 1), (0, 1), (0, 1), (0, 1))
+    for i, s in enumerate(steps.tolist()):
+        to.put((codes[s], sizes[s]), (int(many and i == 0), int(many)))
 
 
 def encode_rows(samples: np.ndarray) -> bytes:
-    """height x width x (red, green, blue) -> one RIFF file."""
-    height, width, _ = samples.shape
-    residual = np.empty_like(samples)
-    residual[:, 1:] = samples[:, 1:] - samples[:, :-1]
-    residual[1:, 0] = samples[1:, 0] - samples[:-1, 0]
-    residual[0, 0] = samples[0, 0]
-    values = REVERSED[residual[:, :, [1, 0, 2]].reshape(-1)]
-    head, n = _head(width, height)
-    shift = n & 7
-    if shift:
-        body = np.zeros(len(values) + 1, np.uint8)
-        body[:-1] = values << shift
-        body[1:] |= values >> (8 - shift)
-        body[0] |= head[-1]
-        data = head[:-1] + body.tobytes()
-    else:
-        data = head + values.tobytes()
+    """height x width samples -> one RIFF file."""
+    height, width = samples.shape
+    to = Writer()
+    to.put((0x2F, 8), (width - 1, 14), (height - 1, 14), (0, 1), (0, 3))
+    colours = np.flatnonzero(np.bincount(samples.ravel(), minlength=256))
+    share = 3 if len(colours) <= 2 else 2 if len(colours) <= 4 else 1 if len(colours) <= 16 else 0
+    index = samples
+    if share:
+        to.put((1, 1), (PALETTE, 2), (len(colours) - 1, 8))
+        _write_palette(to, colours)
+        number = np.zeros(256, np.uint8)
+        number[colours] = np.arange(len(colours))
+        rows = np.pad(number[samples], ((0, 0), (0, -width % (1 << share)))).reshape(height, -1, 1 << share)
+        index = (rows << (np.arange(1 << share, dtype=np.uint8) * (8 >> share))).sum(2).astype(np.uint8)
+    to.put((0, 1))
+    flat = np.ascontiguousarray(index).reshape(-1)
+    _write_samples(to, flat, index.shape[1])
+    data = to.bytes()
     pad = len(data) & 1
     return struct.pack("<4sI4s4sI", b"RIFF", 12 + len(data) + pad, b"WEBP", b"VP8L", len(data)) + data + b"\0" * pad
 
 
 def store(payload: bytes) -> bytes:
     """payload (a multiple of BLOCK bytes) as images of up to MOST_ROWS rows."""
-    rows = np.frombuffer(payload, np.uint8).reshape(-1, WIDTH, 3)
+    rows = np.frombuffer(payload, np.uint8).reshape(-1, BLOCK)
     return b"".join(encode_rows(rows[i : i + MOST_ROWS]) for i in range(0, len(rows), MOST_ROWS))
 
 
 def load(media: bytes) -> bytes:
-    return b"".join(np.ascontiguousarray(x[:, :, :3]).tobytes() for x in decode(media))
+    return b"".join(np.ascontiguousarray(x[:, :, 1]).tobytes() for x in decode(media))
 
 
 def padded(text: str) -> tuple[bytes, int]:

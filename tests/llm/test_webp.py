@@ -99,6 +99,49 @@ def test_palettes(colours, per, depth):
     assert shown(W.riff(w.bytes())) == [palette[i] for i in index]
 
 
+TEXTS = ["", "x", "é" * 400, "ab" * 1000, "a" * 100_000, "abcdefghijklmnop" * 200, "\x00", "".join(chr(random.Random(3).randrange(32, 3000) + i % 7) for i in range(5000)), " ".join(f"word{i * i % 97} of a longer text" for i in range(3000)),
+         "".join(random.Random(5).choices("abcdefgh" + "z" * 300 + "qrstuvwxy", k=4000))]
+
+
+@pytest.mark.parametrize("text", TEXTS, ids=range(len(TEXTS)))
+def test_texts_are_stored_smaller_and_come_back(text):
+    p = webp.padded(text)[0]
+    media = webp.store(p)
+    assert webp.load(media) == p and len(media) < len(p)
+
+
+def test_both_ways_of_reading_agree(monkeypatch):
+    """Looking up all bits at once gives what symbol after symbol gives, across stretches too."""
+    media = [webp.store(webp.padded(t)[0]) for t in TEXTS]
+    whole = [webp.load(m) for m in media]
+    monkeypatch.setattr(webp, "STRETCH", 64)
+    assert [webp.load(m) for m in media] == whole
+    monkeypatch.setattr(webp, "_green", lambda bits, width, n, *codes: np.array(webp._symbols(bits, width, n, [list(codes)], None, 0), np.uint32).view(np.uint8).reshape(-1, 4)[:, [2, 1, 0, 3]])
+    assert [webp.load(m) for m in media] == whole
+
+
+def test_stored_texts_use_the_format(monkeypatch):
+    """Prefix codes of several lengths, copies and the palette are in what the query stores and reads."""
+    seen = {"lengths": 0, "copies": 0, "palette": 0}
+    code, copies, palette = webp.PrefixCode.__init__, webp.copies_of, webp._write_palette
+
+    def made(self, lengths):
+        code(self, lengths)
+        seen["lengths"] = max(seen["lengths"], len(set(lengths[lengths > 0].tolist())))
+
+    def taken(x):
+        out = copies(x)
+        seen["copies"] += len(out[0])
+        return out
+
+    monkeypatch.setattr(webp.PrefixCode, "__init__", made)
+    monkeypatch.setattr(webp, "copies_of", taken)
+    monkeypatch.setattr(webp, "_write_palette", lambda *a: seen.update(palette=seen["palette"] + 1) or palette(*a))
+    for text in TEXTS:
+        webp.load(webp.store(webp.padded(text)[0]))
+    assert seen["lengths"] > 4 and seen["copies"] > 100 and seen["palette"] >= 4, seen
+
+
 @pytest.mark.parametrize("n", [576, 1152, 576 * 700])
 def test_round_trip(n):
     p = np.random.default_rng(n).integers(0, 256, n, dtype=np.uint8).tobytes()

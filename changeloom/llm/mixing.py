@@ -59,8 +59,10 @@ def offset(source: Column, seed: str = SEED) -> Column:
 
 
 def copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, seed: str = SEED) -> DataFrame:
-    """docs with doc_id, source and size -> the same rows with source_size, target and copies."""
-    ranged = docs.withColumn("range", F.floor(F.col("doc_id") / RANGE))
+    """docs with doc_id, source and size -> the same rows with source_size, target and copies; columns of these three names are replaced, all others, whatever their names, are kept."""
+    kept = [c for c in docs.columns if c not in ("source_size", "target", "copies")]
+    # all that belongs to the rows travels in one column, so that no name of theirs meets one of these
+    ranged = docs.select("doc_id", "source", "size", F.floor(F.col("doc_id") / RANGE).alias("range"), F.struct(*[F.col(f"`{c}`") for c in kept]).alias("kept"))
     cells = ranged.groupBy("source", "size", "range").agg(F.count("*").alias("n"))
     within = Window.partitionBy("source", "size").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     cells = cells.withColumn("lower", F.coalesce(F.sum("n").over(within), F.lit(0)))
@@ -79,7 +81,7 @@ def copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     at = F.col("before") + F.col("row")
     u = offset(F.col("source"), seed)
-    return placed.withColumn("copies", F.floor(at * rate + u) - F.floor((at - 1) * rate + u)).drop("p_source", "p_size", "p_range", "before", "row", "range")
+    return placed.select("kept.*", "source_size", "target", (F.floor(at * rate + u) - F.floor((at - 1) * rate + u)).alias("copies"))
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

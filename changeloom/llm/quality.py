@@ -65,6 +65,27 @@ def _features(texts: pd.Series) -> np.ndarray:
     return np.array([statistics(t) for t in texts.fillna("")]).reshape(len(texts), -1)
 
 
+def gradient(layers: list[np.ndarray], x: np.ndarray, p: int, prior: float) -> list[np.ndarray]:
+    """How to go down the non-negative risk of rows x, the first p of them positives, the others unlabelled.
+
+    Where the estimated risk of negatives is below 0, which fitting too closely does, it is that part which is gone back on.
+    """
+    u = len(x) - p
+    hidden = np.tanh(x @ layers[0] + layers[1])
+    g = hidden @ layers[2] + layers[3]
+    up = 1 / (1 + np.exp(-np.clip(g, -30, 30)))  # derivative of l(-g); that of l(g) is up - 1
+    negative = np.mean(np.logaddexp(0, g[p:])) - prior * np.mean(np.logaddexp(0, g[:p]))
+    d = np.zeros_like(g)
+    if negative >= 0:
+        d[:p] = prior * (up[:p] - 1) / p - prior * up[:p] / p
+        d[p:] = up[p:] / u
+    else:
+        d[:p] = prior * up[:p] / p
+        d[p:] = -up[p:] / u
+    back = np.outer(d, layers[2]) * (1 - hidden**2)
+    return [x.T @ back, back.sum(0), hidden.T @ d, np.array([d.sum()])]
+
+
 class Model:
     """Standardised statistics -> one hidden layer -> log odds."""
 
@@ -81,19 +102,7 @@ class Model:
         layers = [rng.normal(0, 1 / np.sqrt(x.shape[1]), (x.shape[1], HIDDEN)), np.zeros(HIDDEN), rng.normal(0, 1 / np.sqrt(HIDDEN), HIDDEN), np.zeros(1)]
         first, second = [np.zeros_like(w) for w in layers], [np.zeros_like(w) for w in layers]
         for step in range(1, EPOCHS + 1):
-            hidden = np.tanh(x @ layers[0] + layers[1])
-            g = hidden @ layers[2] + layers[3]
-            up = 1 / (1 + np.exp(-np.clip(g, -30, 30)))  # derivative of l(-g); that of l(g) is up - 1
-            negative = np.mean(np.logaddexp(0, g[p:])) - pi * np.mean(np.logaddexp(0, g[:p]))
-            d = np.zeros_like(g)
-            if negative >= 0:
-                d[:p] = pi * (up[:p] - 1) / p - pi * up[:p] / p
-                d[p:] = up[p:] / len(unlabelled)
-            else:  # the estimated risk of negatives is below 0, which fitting too closely does: go back on that part
-                d[:p] = pi * up[:p] / p
-                d[p:] = -up[p:] / len(unlabelled)
-            back = np.outer(d, layers[2]) * (1 - hidden**2)
-            for i, grad in enumerate((x.T @ back, back.sum(0), hidden.T @ d, np.array([d.sum()]))):
+            for i, grad in enumerate(gradient(layers, x, p, pi)):
                 grad = grad + DECAY * layers[i] * (i % 2 == 0)
                 first[i] = 0.9 * first[i] + 0.1 * grad
                 second[i] = 0.999 * second[i] + 0.001 * grad**2

@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from changeloom.llm.common import shared_folder, table, text_or_empty
+from changeloom.llm.common import shared_folder, spread_join, table, text_or_empty
 
 
 @dataclass(frozen=True)
@@ -109,7 +109,7 @@ def annotate(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text
     docs = docs.drop(*{"blob", "found", "spans", *(f"n_{r.kind}" for r in rules)} - {text})
     found = per_blob(scan(docs, rules, text=text), rules)
     counts = {f"n_{r.kind}": F.coalesce(F.col(f"n_{r.kind}"), F.lit(0)).cast("long") for r in rules}
-    return docs.withColumn("blob", blob_of(text_or_empty(text))).join(found, "blob", "left").withColumns(counts | {"spans": F.coalesce("spans", F.lit(""))})
+    return spread_join(docs.withColumn("blob", blob_of(text_or_empty(text))), found, "blob").withColumns(counts | {"spans": F.coalesce("spans", F.lit(""))})
 
 
 def incremental(states: Iterable[DataFrame], folder: str, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
@@ -136,7 +136,7 @@ def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = per_blob(incremental(states_of(docs), f"{shared_folder(spark)}/changeloom/secrets-{uuid.uuid4().hex}"))
     paths = docs.select("doc_id", blob_of(text_or_empty()).alias("blob"))
     spans = F.coalesce("spans", F.lit(""))
-    return paths.join(found, "blob", "left").select("doc_id", *[F.coalesce(f"n_{r.kind}", F.lit(0)).cast("long").alias(f"n_{r.kind}") for r in RULES], F.sha2(spans.cast("binary"), 256).alias("base_sha256"), spans.alias("spans"))
+    return spread_join(paths, found, "blob").select("doc_id", *[F.coalesce(f"n_{r.kind}", F.lit(0)).cast("long").alias(f"n_{r.kind}") for r in RULES], F.sha2(spans.cast("binary"), 256).alias("base_sha256"), spans.alias("spans"))
 
 
 ORACLE = r"""

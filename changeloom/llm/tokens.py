@@ -1,8 +1,8 @@
 """Token counts of whole texts from prefix tables, and what they answer: totals, budgets, truncation.
 
-The byte-level BPE first cuts a text into pieces (the published pattern), then encodes each piece. Counts at prefixes add up over pieces, and within
-a piece they come from the prefix table (bpe_prefix). A table per distinct piece is kept in a bounded memo, so common words cost one look-up. Counts at
-all piece ends, and the table inside any piece, answer how many tokens a prefix has and where a budget of tokens ends, without encoding again.
+The byte-level BPE first cuts a text into pieces (the published pattern), then encodes each piece. Of each distinct piece the prefix table (bpe_prefix) is filled once, and the ends of its
+tokens, read off it backwards, are kept in a bounded memo, so common words cost one look-up. One pass over a text strings these ends together (Prefixes); the total, the tokens of
+any prefix, and where a budget of tokens ends are all read off there, and nothing is cut or encoded again.
 
 Cases: null text counts as empty: 0 bytes, 0 tokens; repeated rows give repeated results; long texts are taken whole; texts without white space are one piece, whose
 table is linear in its length; special strings are one token each, as the library counts them; other columns don't take part.
@@ -11,6 +11,7 @@ table is linear in its length; special strings are one token each, as the librar
 from __future__ import annotations
 
 import json
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import accumulate
@@ -24,7 +25,7 @@ from changeloom.llm.bpe_prefix import PrefixTable
 from changeloom.llm.common import table
 
 LIMIT = 512
-MEMO = 400_000
+MEMO = 200_000
 #: White space as the library's pattern engine takes it; fixed values.
 SPACE = r"\t-\r \x85\xa0  -     　"
 PIECES = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
@@ -37,8 +38,34 @@ def byte_symbols() -> dict[str, int]:
     return {chr(b): b for b in kept} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+class Prefixes:
+    """What a text's pieces have: each one's string, and the ends of its tokens in bytes from its own start, the last of which is its length."""
+
+    def __init__(self, pieces: list[str], ends: list[tuple[int, ...]]):
+        self.pieces, self.ends = pieces, ends
+        self.n_tokens = sum(map(len, ends))
+
+    def fitting(self, limit: int) -> int:
+        """Bytes of the longest run of the text's own first tokens that has at most ``limit`` tokens, cut between characters."""
+        n_bytes = n_tokens = 0
+        for piece, ends in zip(self.pieces, self.ends, strict=True):
+            if n_tokens + len(ends) > limit:
+                inside, raw = ends[limit - n_tokens - 1] if limit > n_tokens else 0, piece.encode()
+                while inside and raw[inside] & 0xC0 == 0x80:
+                    inside -= 1
+                return n_bytes + inside
+            n_bytes, n_tokens = n_bytes + ends[-1], n_tokens + len(ends)
+        return n_bytes
+
+    def tokens_within(self, n_bytes: int) -> int:
+        """How many of the text's own tokens lie wholly in its first n_bytes."""
+        so_far = list(accumulate((e[-1] for e in self.ends), initial=0))
+        k = bisect_right(so_far, n_bytes) - 1
+        return sum(map(len, self.ends[:k])) + (bisect_right(self.ends[k], n_bytes - so_far[k]) if k < len(self.ends) else 0)
+
+
 class Counter(dict):
-    """piece -> counts of its prefixes by bytes, through a bounded memo of totals."""
+    """piece -> the ends of its tokens in bytes, through a bounded memo."""
 
     def __init__(self, path: str):
         super().__init__()
@@ -53,26 +80,18 @@ class Counter(dict):
         self.pattern = regex.compile(PIECES)
         self.cut = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
 
-    def __missing__(self, piece: str) -> int:
-        n = len(self.table.numbers(piece.encode().decode("latin-1")))
+    def __missing__(self, piece: str) -> tuple[int, ...]:
+        ends = tuple(accumulate(map(len, self.table.encode(piece.encode().decode("latin-1")))))
         if len(piece) <= 64:
             if len(self) >= MEMO:
                 self.clear()
-            self[piece] = n
-        return n
+            self[piece] = ends
+        return ends
 
     def prefix_counts(self, piece: str) -> list[int]:
         """Tokens of each prefix of the piece, by its UTF-8 bytes."""
         return self.table.counts(piece.encode().decode("latin-1"))
 
-    def pieces(self, text: str) -> Iterator[tuple[str, bool]]:
-        """(piece, whether it is a special string), in order."""
-        for part, special in self._parts(text):
-            if special:
-                yield part, True
-            else:
-                yield from ((p, False) for p in self.pattern.findall(part))
-
     def _parts(self, text: str) -> Iterator[tuple[str, bool]]:
         if not self.cut or not any(s in text for s in self.special):
             yield text, False
@@ -84,30 +103,17 @@ class Counter(dict):
             at = m.end()
         yield text[at:], False
 
-    def count(self, text: str) -> int:
-        return sum(1 if special else sum(map(self.__getitem__, self.pattern.findall(part))) for part, special in self._parts(text))
-
-    def ends(self, text: str) -> tuple[list[int], list[int]]:
-        """Bytes and tokens so far at the end of each piece: the table at piece ends."""
-        parts = list(self.pieces(text))
-        return list(accumulate(len(p.encode()) for p, _ in parts)), list(accumulate(1 if special else self[p] for p, special in parts))
+    def prefixes(self, text: str) -> Prefixes:
+        pieces: list[str] = []
+        ends: list[tuple[int, ...]] = []
+        for part, special in self._parts(text):
+            found = [part] if special else self.pattern.findall(part)
+            pieces += found
+            ends += [(len(part.encode()),)] if special else map(self.__getitem__, found)
+        return Prefixes(pieces, ends)
 
-    def fitting(self, text: str, limit: int) -> int:
-        """Bytes of the longest run of the text's own first tokens that has at most ``limit`` tokens, cut between characters."""
-        n_bytes = n_tokens = 0
-        for piece, special in self.pieces(text):
-            more = 1 if special else self[piece]
-            if n_tokens + more > limit:
-                if not special and n_tokens < limit:
-                    raw, left = piece.encode(), limit - n_tokens
-                    tokens = self.table.encode(raw.decode("latin-1"))[:left]
-                    inside = sum(map(len, tokens))
-                    while inside and inside < len(raw) and raw[inside] & 0xC0 == 0x80:
-                        inside -= 1
-                    n_bytes += inside
-                return n_bytes
-            n_bytes, n_tokens = n_bytes + len(piece.encode()), n_tokens + more
-        return n_bytes
+    def count(self, text: str) -> int:
+        return self.prefixes(text).n_tokens
 
 
 @lru_cache(maxsize=2)
@@ -128,8 +134,11 @@ def token_counts(docs: DataFrame, vocabulary: str | None = None, limit: int = LI
         for batch in batches:
             texts = batch["text"].fillna("")
             n_bytes = [len(t.encode()) for t in texts]
-            n_tokens = [c.count(t) for t in texts]
-            fits = [b if n <= limit else c.fitting(t, limit) for t, b, n in zip(texts, n_bytes, n_tokens, strict=True)]
+            n_tokens, fits = [], []
+            for t, b in zip(texts, n_bytes, strict=True):
+                p = c.prefixes(t)
+                n_tokens.append(p.n_tokens)
+                fits.append(b if p.n_tokens <= limit else p.fitting(limit))
             yield pd.DataFrame({"key": batch["key"], "n_bytes": n_bytes, "n_tokens": n_tokens, "over_limit": [n > limit for n in n_tokens], "fitting_bytes": fits})
 
     source = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))

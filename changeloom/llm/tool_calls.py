@@ -60,7 +60,9 @@ def levels(nodes: DataFrame) -> DataFrame:
     A round looks up, for nodes that aren't at their chain's beginning yet, the place they have come to, and so doubles their step. Those that get there are set aside.
     """
     known = nodes.select(F.col("node").alias("k"))
-    state = stored(nodes.join(known, F.col("before") == F.col("k"), "left").select("node", F.col("k").alias("before"), F.when(F.col("k").isNull(), 0).otherwise(1).cast("long").alias("level")), "levels")
+    # nodes that follow nothing stay out of the join, where their null keys would meet in one task
+    following = nodes.where("before IS NOT NULL").join(known, F.col("before") == F.col("k"), "left").select("node", F.col("k").alias("before"))
+    state = stored(following.unionByName(nodes.where("before IS NULL")).select("node", "before", F.when(F.col("before").isNull(), 0).otherwise(1).cast("long").alias("level")), "levels")
     most, reach = state.count(), 1
     done, left = state.where("before IS NULL"), state.where("before IS NOT NULL")
     while reach <= 2 * most and not left.isEmpty():

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeloom.llm.common import table
+from changeloom.llm.common import spread_join, table
 
 RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
 PREFIX_DIGITS = 8
@@ -84,7 +84,7 @@ def rule_table(spark: SparkSession, rules=RULES) -> DataFrame:
 def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     verdicts = judge(pages, rule_table(spark))
-    return pages.join(verdicts, "url", "left").select(
+    return spread_join(pages, verdicts, "url").select(  # a url, or none, may be on a third of all pages
         "page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), "rule", F.coalesce("verdict", F.lit("allow")).alias("verdict")
     )
 

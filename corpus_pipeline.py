@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeloom.llm import jaccard_join, mixing, pieces, quality, secrets
-from changeloom.llm.common import discard, stored, table, text_or_empty
+from changeloom.llm.common import discard, spread_join, stored, table, text_or_empty
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 WIDTH, THRESHOLD, SPARE = 5, (80, 100), 0.2
@@ -35,7 +35,8 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every span found is replaced by MASK, and n_chars follows."""
     found = secrets.per_blob(secrets.scan(docs.select("text"))).select("blob", "found")
-    marked = docs.select(*COLUMNS, secrets.blob_of(text_or_empty()).alias("blob")).join(found, "blob", "left")
+    marked = docs.select(*COLUMNS, secrets.blob_of(text_or_empty()).alias("blob"))
+    marked = spread_join(marked, found, "blob")
     start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
     step = lambda acc, x: F.struct(  # noqa: E731  spans are sorted by start; what overlaps an earlier one only lengthens it
         F.greatest(acc["at"], x["end"]).alias("at"),

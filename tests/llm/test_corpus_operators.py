@@ -51,6 +51,34 @@ def test_quality_awkward(spark, awkward):
     assert quality.scored(awkward.limit(0), model).count() == 0
 
 
+def plain_risk(layers, x, p, prior):
+    """The two parts of the unbiased risk, written out row by row."""
+    loss = lambda z: np.log1p(np.exp(-z))
+    g = [float(np.tanh(row @ layers[0] + layers[1]) @ layers[2] + layers[3][0]) for row in x]
+    positive = prior * np.mean([loss(z) for z in g[:p]])
+    negative = np.mean([loss(-z) for z in g[p:]]) - prior * np.mean([loss(-z) for z in g[:p]])
+    return positive, negative
+
+
+@pytest.mark.parametrize("shift, below", [(0, False), (3, True)])
+def test_gradient_of_the_risk(shift, below):
+    """Against differences of the risk; where the risk of negatives is below 0, of that part alone and backwards."""
+    rng = np.random.default_rng(4)
+    p, prior = 20, 0.6
+    x = np.vstack([rng.normal(shift, 1, (p, 3)), rng.normal(-shift, 1, (40, 3))])
+    layers = [np.full((3, 4), 0.4) + rng.normal(0, 0.1, (3, 4)), rng.normal(0, 0.1, 4), np.full(4, 0.8 if shift else 0.1), np.zeros(1)]
+    assert (plain_risk(layers, x, p, prior)[1] < 0) == below
+    for i, got in enumerate(quality.gradient(layers, x, p, prior)):
+        for at in np.ndindex(got.shape):
+            sides = []
+            for h in (1e-5, -1e-5):
+                moved = [w.copy() for w in layers]
+                moved[i][at] += h
+                a, b = plain_risk(moved, x, p, prior)
+                sides.append(-b if below else a + b)
+            assert abs(got[at] - (sides[0] - sides[1]) / 2e-5) < 1e-6
+
+
 def test_risk_is_not_negative_part_matters():
     rng = np.random.default_rng(0)
     p, n = rng.normal(2, 1, (300, 3)), rng.normal(-2, 1, (300, 3))
@@ -102,6 +130,12 @@ def test_mixing_awkward(spark, awkward):
     out = mixing.copies(sized).collect()
     assert sorted(x["size"] for x in out) == sorted(len(words(t)) for _, t, *_ in AWKWARD)
     assert mixing.copies(sized.limit(0)).count() == 0
+    more = sized
+    for name in ("before", "target", "source_size", "copies", "p_size", "range", "row", "kept", "n", "rows", "a.b"):
+        more = more.withColumn(name, F.lit("own"))
+    clashing = mixing.copies(more)
+    assert {c for c in clashing.columns if clashing.schema[c].dataType.simpleString() == "string"} - {"source"} == {"before", "p_size", "range", "row", "kept", "n", "rows", "a.b"}
+    assert Counter((r.doc_id, r["size"], r.copies) for r in clashing.collect()) == Counter((r.doc_id, r["size"], r.copies) for r in out)
 
 
 # -- tokens ----------------------------------------------------------------------------------------------------------------
@@ -131,11 +165,26 @@ def test_token_counts_are_the_librarys(spark):
                 continue
             if len(c.pattern.findall(prefix)) == 1:
                 assert n == len(t.encode(prefix, add_special_tokens=False).ids)
-    text = "One two three, four five six seven."
-    for limit in range(12):
-        part = text.encode()[: c.fitting(text, limit)].decode()
-        assert text.startswith(part) and c.count(part) <= limit
-    assert c.ends(text)[1][-1] == c.count(text) and c.ends(text)[0][-1] == len(text.encode())
+    for text in ("One two three, four five six seven.", "éèê ünïcödé 中文 😀 antidisestablishment", "a<|endoftext|>b c", ""):
+        raw, prefixes, offsets = text.encode(), c.prefixes(text), t.encode(text, add_special_tokens=False).offsets
+        for limit in range(14):
+            fits = prefixes.fitting(limit)
+            assert text.startswith(raw[:fits].decode()) and prefixes.tokens_within(fits) <= limit
+        assert prefixes.tokens_within(len(raw)) == prefixes.n_tokens == len(offsets)
+        ends = [len(text[:b].encode()) for _, b in offsets]  # the library's places are of characters
+        if text.isascii():
+            assert [prefixes.tokens_within(k) for k in range(len(raw) + 1)] == [sum(e <= k for e in ends) for k in range(len(raw) + 1)]
+
+
+def test_budgets_are_read_off_the_table(monkeypatch):
+    """Neither cutting nor encoding happens again once a text's prefixes are there."""
+    import public_tokenizers
+
+    c = tokens.Counter(public_tokenizers.path("byte_bpe_50k.json"))
+    prefixes = c.prefixes("Some words and antidisestablishmentarianism " * 30)
+    monkeypatch.setattr(c.table, "last", None)
+    monkeypatch.setattr(c, "pattern", None)
+    assert [prefixes.fitting(k) for k in (0, 1, 2)] == [0, 4, 10] and prefixes.fitting(10**6) == 44 * 30 and prefixes.tokens_within(10) == 2
 
 
 def test_pieces_are_the_librarys():
@@ -337,8 +386,7 @@ def plain_links(rows, width, num, den):
     return Counter((doc, len(s), links.get(s, 0)) for (doc, _), s in zip(rows, sets))
 
 
-@pytest.mark.parametrize("counted", [5000, jaccard_join.BLOCK])  # blocks of large components, all in packs
-@pytest.mark.parametrize("parts", [1, 7])
+@pytest.mark.parametrize("counted, parts", [(5000, 7), (jaccard_join.BLOCK, 1)])  # blocks of large components, all in packs
 def test_jaccard_links_against_all_pairs(spark, counted, parts, monkeypatch):
     monkeypatch.setattr(jaccard_join, "BLOCK", counted)
     rows = near_copies(3, 150)

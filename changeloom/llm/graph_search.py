@@ -21,9 +21,9 @@ from pyspark.sql import functions as F
 
 from changeloom.llm.common import stored, table
 
-SHARD, QUERY_BLOCK = 4096, 4096
+SHARD, QUERY_BLOCK = 1 << 14, 4096
 DEGREE, BEAM, ALPHA = 32, 64, 1.4
-SEARCH_BEAM, K = 128, 20
+SEARCH_BEAM, K = 192, 20
 #: Nodes that a step of the lock-step search expands, and vectors that are inserted together.
 AT_ONCE, BATCH = 4, 256
 STARTS = 16
@@ -132,7 +132,7 @@ def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
     return vectors.select(F.col(key).alias("id"), F.col(vector).alias("x")).where(F.col("id").isNotNull() & x.isNotNull() & finite & F.exists(x, lambda v: v != 0)).withColumn("dim", F.size(x))
 
 
-def dealt(rows: DataFrame, shard: int = SHARD) -> tuple[DataFrame, DataFrame]:
+def dealt(rows: DataFrame, shard: int) -> tuple[DataFrame, DataFrame]:
     """rows with their shard, and the number of shards for each dim."""
     shards = rows.groupBy("dim").agg(F.ceil(F.count("*") / shard).alias("shards"))
     return rows.join(shards, "dim").withColumn("shard", F.pmod(F.xxhash64("id"), F.col("shards"))).drop("shards"), shards
@@ -188,12 +188,15 @@ def search(graphs: DataFrame, shards: DataFrame, queries: DataFrame, k: int = K,
     return for_all.groupBy("dim", "shard", "block").cogroup(to_all.groupBy("dim", "shard", "block")).applyInPandas(walk, "query_id long, vec_id long, score double")
 
 
-def nearest(vectors: DataFrame, is_query, key: str = "vec_id", vector: str = "embedding", k: int = K) -> DataFrame:
-    """query_id, rank, vec_id, score for all rows where is_query (a condition on id) holds, against all rows."""
-    rows, shards = dealt(usable(vectors, key, vector))
+def nearest(vectors: DataFrame, is_query, key: str = "vec_id", vector: str = "embedding", k: int = K, shard: int = SHARD, beam: int = SEARCH_BEAM) -> DataFrame:
+    """query_id, rank, vec_id, score for all rows where is_query (a condition on id) holds, against all rows.
+
+    shard: vectors of a graph, as many as a task's memory holds (a vector takes about 12 * dim + 1,000 bytes there): work is queries x shards.
+    """
+    rows, shards = dealt(usable(vectors, key, vector), shard)
     rows, shards = stored(rows, "vectors"), stored(shards, "shards")
     graphs = stored(index(rows), "graphs")
-    found = search(graphs, shards, rows.where(is_query).select("id", "x", "dim"), k)
+    found = search(graphs, shards, rows.where(is_query).select("id", "x", "dim"), k, beam)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

@@ -485,14 +485,15 @@ def test_components(spark):
 # -- nearest neighbours ----------------------------------------------------------------------------------------------------
 
 
-def test_graph_recall(spark):
+@pytest.mark.parametrize("shard", [graph_search.SHARD, 700])  # one shard, five shards
+def test_graph_recall(spark, shard):
     rng = np.random.default_rng(2)
     x = rng.normal(size=(3000, 32)).astype(np.float32)
     x[:40] = x[0]  # copies of one vector
     x *= rng.uniform(0.5, 2, (3000, 1)).astype(np.float32)
     x[:40] = x[0]
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
-    rows = graph_search.nearest(df, F.col("id") % 50 == 0).collect()
+    rows = graph_search.nearest(df, F.col("id") % 50 == 0, shard=shard).collect()
     found = {}
     for r in sorted(rows, key=lambda r: (r.query_id, r.rank)):
         found.setdefault(r.query_id, []).append(r)

@@ -25,7 +25,7 @@ from changeloom.llm.bpe_prefix import PrefixTable
 from changeloom.llm.common import table
 
 LIMIT = 512
-MEMO = 200_000
+MEMO = 400_000
 #: White space as the library's pattern engine takes it; fixed values.
 SPACE = r"\t-\r \x85\xa0  -     　"
 PIECES = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
@@ -81,7 +81,8 @@ class Counter(dict):
         self.cut = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
-        ends = tuple(accumulate(map(len, self.table.encode(piece.encode().decode("latin-1")))))
+        lengths = self.table.lengths
+        ends = tuple(accumulate([lengths[t] if t >= 0 else 1 for t in self.table.numbers(piece.encode().decode("latin-1"))]))
         if len(piece) <= 64:
             if len(self) >= MEMO:
                 self.clear()

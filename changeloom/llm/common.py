@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -49,21 +50,26 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
-def spread_join(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
+def _hashable(df: DataFrame) -> list[Column]:
+    """All columns but those whose types Spark has no hash for."""
+    return [F.col(f"`{f.name}`") for f in df.schema if not re.search("map<|variant", f.dataType.simpleString())]
+
+
+def spread_join(left: DataFrame, right: DataFrame, on: str, counted: DataFrame | None = None) -> DataFrame:
     """left with the columns of right (at most one row a key) where there is one, else nulls: a left join that hot keys and nulls don't put into one task.
 
     Keys with SPREAD_FROM rows or more, the SPREAD_MOST largest, are dealt to SALTS tasks each by a hash of left's rows, and right's rows of these keys are copied as often; what
-    is not among them has less than 1/SPREAD_MOST of the rows. Rows whose key is null meet nothing, so they are kept out of the join.
+    is not among them has less than 1/SPREAD_MOST of the rows. Rows whose key is null meet nothing and are dealt likewise. counted: rows with the same keys to count instead of left's, where those are costly to compute.
     """
-    counts = left.where(F.col(on).isNotNull()).groupBy(on).agg(F.count("*").alias("_n")).where(F.col("_n") >= SPREAD_FROM)
+    keys = (left if counted is None else counted).where(F.col(on).isNotNull())
+    counts = keys.groupBy(on).agg(F.count("*").alias("_n")).where(F.col("_n") >= SPREAD_FROM)
     hot = counts.orderBy(F.desc("_n"), on).limit(SPREAD_MOST).select(on).collect()
-    there, none = left.where(F.col(on).isNotNull()), left.where(F.col(on).isNull())
-    more = [c for c in right.columns if c != on]
-    alone = none.select("*", *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in more])
+    kept = [F.col(f"`{c}`") for c in (*left.columns, *[c for c in right.columns if c != on])]
+    dealt = F.pmod(F.xxhash64(*_hashable(left)), F.lit(SALTS)).cast("int")
     if not hot:
-        return there.join(right, on, "left").select(*left.columns, *more).unionByName(alone)
+        salted = left.withColumn("_salt", F.when(F.col(on).isNull(), dealt).otherwise(0))
+        return salted.join(right.withColumn("_salt", F.lit(0)), [on, "_salt"], "left").select(*kept)
     marks = F.broadcast(left.sparkSession.createDataFrame(hot, left.select(on).schema).withColumn("_hot", F.lit(True)))  # SPREAD_MOST keys at most
-    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*left.columns), F.lit(SALTS)).cast("int")).otherwise(0)
-    salted = there.join(marks, on, "left").withColumn("_salt", salt).drop("_hot")
+    salted = left.join(marks, on, "left").withColumn("_salt", F.when(F.col("_hot") | F.col(on).isNull(), dealt).otherwise(0)).drop("_hot")
     copied = right.join(marks, on, "left").withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))).drop("_hot")
-    return salted.join(copied, [on, "_salt"], "left").select(*left.columns, *more).unionByName(alone)
+    return salted.join(copied, [on, "_salt"], "left").select(*kept)

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeloom.llm.common import stored, table
+from changeloom.llm.common import spread_join, stored, table
 
 #: tool, field, type as Spark's variants call it, whether required, least and most characters (strings).
 SCHEMAS = [("reply", "text", "STRING", True, 1, 400), ("reply", "turn", "BIGINT", True, None, None)]
@@ -50,8 +50,9 @@ def valid_arguments(calls: DataFrame, schemas: DataFrame) -> DataFrame:
     checked = distinct.withColumn("kinds", kinds)
     known = F.forall("keys", lambda k: F.exists("fields", lambda f: f["field"] == k))
     checked = checked.withColumn("valid", F.coalesce(F.col("fields").isNotNull() & F.col("keys").isNotNull() & F.forall("fields", fits) & known, F.lit(False)))
-    checked = checked.select(F.col("name").alias("n_"), F.col("arguments").alias("a_"), "valid", F.to_json("v").alias("canonical"))
-    return calls.join(checked, F.col("name").eqNullSafe(F.col("n_")) & F.col("arguments").eqNullSafe(F.col("a_")), "left").drop("n_", "a_")
+    # the same arguments may come in a third of all calls
+    key = F.sha2(F.to_json(F.struct("name", "arguments")).cast("binary"), 256).alias("_key")
+    return spread_join(calls.select("*", key), checked.select(key, "valid", F.to_json("v").alias("canonical")), "_key").drop("_key")
 
 
 def levels(nodes: DataFrame) -> DataFrame:
@@ -73,10 +74,10 @@ def levels(nodes: DataFrame) -> DataFrame:
     return done.unionByName(left.withColumn("level", F.lit(None).cast("long"))).select("node", "level")
 
 
-def link(calls: DataFrame, results: DataFrame) -> DataFrame:
-    """calls with ``linked``: whether a result answers them. call_id may repeat on either side."""
-    answered = results.select(F.col("call_id").alias("r_")).where(F.col("r_").isNotNull()).distinct()
-    return calls.join(answered.hint("shuffle_hash"), F.col("call_id") == F.col("r_"), "left").withColumn("linked", F.col("r_").isNotNull()).drop("r_")
+def link(calls: DataFrame, results: DataFrame, counted: DataFrame | None = None) -> DataFrame:
+    """calls with ``linked``: whether a result answers them. call_id may repeat on either side, or be null. counted: as in spread_join."""
+    answered = results.select("call_id").where(F.col("call_id").isNotNull()).distinct().withColumn("linked", F.lit(True))
+    return spread_join(calls, answered.hint("shuffle_hash"), "call_id", counted).withColumn("linked", F.col("linked").isNotNull())
 
 
 def formatted(messages: DataFrame, schemas: DataFrame) -> DataFrame:
@@ -86,9 +87,9 @@ def formatted(messages: DataFrame, schemas: DataFrame) -> DataFrame:
     """
     name = lambda turn: F.concat(F.lit("call-"), F.col("conv_id").cast("string"), F.lit("-"), turn.cast("string"))
     turns = messages.select("conv_id", "turn", "role", "text")
-    calls = turns.where("role = 'user'").select("conv_id", "turn", "text", name(F.col("turn")).alias("call_id"), F.lit("reply").alias("name"), F.to_json(F.struct("text", "turn")).alias("arguments"))
+    calls = turns.where("role = 'user'").select("conv_id", "turn", "text", name(F.col("turn")).alias("call_id"), F.when(F.col("role") == "user", F.lit("reply")).alias("name"), F.to_json(F.struct("text", "turn")).alias("arguments"))
     answers = turns.where("role = 'assistant'").select("conv_id", "turn", "text", name(F.col("turn") - 1).alias("call_id"))
-    calls_linked = valid_arguments(link(calls, answers), schemas)
+    calls_linked = link(valid_arguments(calls, schemas), answers, calls)
     answers_linked = link(answers, calls)
 
     # a result follows its call, and a call the assistant's turn right before it
@@ -109,7 +110,10 @@ def formatted(messages: DataFrame, schemas: DataFrame) -> DataFrame:
         .unionByName(answers_linked.withColumns({"role": F.lit("assistant"), "valid": F.lit(None).cast("boolean"), "canonical": F.lit(None).cast("string")}).select(*shape))
         .unionByName(turns.where("role IS NULL OR role NOT IN ('user', 'assistant')").withColumns({"call_id": F.lit(None).cast("string"), "linked": F.lit(False), "valid": F.lit(None).cast("boolean"), "canonical": F.lit(None).cast("string")}).select(*shape))
     )
-    rows = rows.join(order, F.struct("conv_id", "turn") == F.col("node"), "left").withColumn("level", F.when(F.col("node").isNull(), F.lit(0).cast("long")).otherwise(F.col("level")))
+    node = F.when(F.col("conv_id").isNotNull() & F.col("turn").isNotNull(), F.struct("conv_id", "turn")).alias("node")
+    # turns of other roles have no place in the order; a null level is that of a cycle
+    order = order.withColumn("ordered", F.lit(True))
+    rows = spread_join(rows.select("*", node), order, "node", turns.select(node)).withColumn("level", F.when(F.col("ordered"), F.col("level")).otherwise(F.lit(0).cast("long")))
     call = F.when(F.col("role") == "user", F.to_json(F.struct(F.col("canonical").alias("arguments"), F.col("call_id").alias("id"), F.lit("reply").alias("name"), F.lit("user").alias("role"))))
     answer = F.when(F.col("role") == "assistant", F.to_json(F.struct(F.col("text").alias("content"), F.lit("tool").alias("role"), F.col("call_id").alias("tool_call_id"))))
     other = F.to_json(F.struct(F.col("text").alias("content"), F.col("role").alias("role")))

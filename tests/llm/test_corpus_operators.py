@@ -548,3 +548,24 @@ def test_conversations(spark):
     assert by[1, 1].valid and by[1, 3].valid is False and by[1, 2].call_id == "call-1-1" and by[None, 1].call_id is None and by[3, None].level == 0
     assert by[1, 2].json == '{"content":"r","role":"tool","tool_call_id":"call-1-1"}'
     assert tool_calls.formatted(df.limit(0), tool_calls.schema_table(spark)).count() == 0
+
+
+def test_hot_conversation(spark, monkeypatch):
+    """A turn, an identifier and arguments that most rows share, and a very long text: the same rows as without dealing hot keys out, and no nested-loop join."""
+    long = "x" * 1_000_000
+    rows = [(1, 1, "user", "q")] * 40 + [(1, 2, "assistant", "r")] * 30 + [(i, 0, "user", "same") for i in range(10, 40)] + [(2, 0, "user", long), (2, 1, "assistant", long), (None, None, "user", "q"), (None, None, "user", "q")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("_more", F.create_map(F.lit("a"), F.lit(1)))
+    plain = Counter(map(tuple, tool_calls.formatted(df, tool_calls.schema_table(spark)).collect()))
+    monkeypatch.setattr(common, "SPREAD_FROM", 5)
+    dealt = tool_calls.formatted(df, tool_calls.schema_table(spark))
+    assert Counter(map(tuple, dealt.collect())) == plain and sum(plain.values()) == len(rows)
+    assert "NestedLoop" not in dealt._jdf.queryExecution().executedPlan().toString()
+    assert {(r.level, r.linked, r.valid) for r in dealt.where("conv_id = 1 AND turn = 1").collect()} == {(0, True, True)}
+    assert {(r.level, r.linked, r.valid) for r in dealt.where("conv_id = 2").collect()} == {(0, True, False), (1, True, None)}
+
+
+def test_spread_join_maps(spark):
+    """A column that can't be hashed, and one whose name has a dot."""
+    df = spark.createDataFrame([("a", 1), (None, 2), ("b", 3)], "k string, i int").withColumn("m", F.create_map(F.lit("x"), F.col("i"))).withColumn("a.b", F.col("i"))
+    got = common.spread_join(df, spark.createDataFrame([("a", 7)], "k string, v int"), "k").collect()
+    assert sorted((r.i, r.v, r["a.b"], r.m["x"]) for r in got) == [(1, 7, 1, 1), (2, None, 2, 2), (3, None, 3, 3)]

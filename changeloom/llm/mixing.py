@@ -7,7 +7,8 @@ digest of seed and source, so that reruns agree. Ordering by size spreads the co
 
 The prefix sum needs only a row's position within its source, and that is the sum of three bounded parts: rows of smaller sizes, rows of
 the same size in lower ranges of doc_id, and the row number within (source, size, range). So a source with a third of all rows is split by size, and a
-size with a third of them by ranges of doc_id; no task holds a source.
+size with a third of them by ranges of doc_id, which end at quantiles of all doc_ids, however they are spread; no task holds a source.
+Since copies rise along the order of sizes, the words taken from a source differ from its target by less than the size of its largest document.
 
 Cases: null text has size 0; a null source is a source of its own, last in order; null doc_ids come before all others of their
 size; rows alike in source, size and doc_id share the copies of their places in any order, which gives the same rows; a source whose size is 0 gets target 0;
@@ -24,7 +25,8 @@ from changeloom.llm.common import WORD, stored, table
 WEIGHTS = (5, 2, 1)
 MOST = 3
 SEED = "mix-1"
-RANGE = 65536
+#: Ranges of doc_id, cut at their approximate quantiles.
+RANGES = 512
 
 
 def words(text: Column) -> Column:
@@ -61,8 +63,11 @@ def offset(source: Column, seed: str = SEED) -> Column:
 def copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, seed: str = SEED) -> DataFrame:
     """docs with doc_id, source and size -> the same rows with source_size, target and copies; columns of these three names are replaced, all others, whatever their names, are kept."""
     kept = [c for c in docs.columns if c not in ("source_size", "target", "copies")]
+    cuts = docs.agg(F.array_distinct(F.percentile_approx("doc_id", [k / RANGES for k in range(1, RANGES)], 10 * RANGES)).alias("cuts")).scalar()
     # all that belongs to the rows travels in one column, so that no name of theirs meets one of these
-    ranged = docs.select("doc_id", "source", "size", F.floor(F.col("doc_id") / RANGE).alias("range"), F.struct(*[F.col(f"`{c}`") for c in kept]).alias("kept"))
+    ranged = docs.select("doc_id", "source", "size", cuts.alias("cuts"), F.struct(*[F.col(f"`{c}`") for c in kept]).alias("kept"))
+    lower = F.when(F.col("doc_id").isNotNull(), F.size(F.filter("cuts", lambda c: c < F.col("doc_id"))))
+    ranged = ranged.select("doc_id", "source", "size", lower.alias("range"), "kept")
     cells = ranged.groupBy("source", "size", "range").agg(F.count("*").alias("n"))
     within = Window.partitionBy("source", "size").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     cells = cells.withColumn("lower", F.coalesce(F.sum("n").over(within), F.lit(0)))

@@ -62,7 +62,7 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", url: str =
     parts = urls.select("url", host_of(F.col("url")).alias("h"), path_of(F.col("url")).alias("p")).where(F.col("h") != "")
     expanded = (
         parts.withColumn("lengths", lengths.select("lengths").scalar())
-        .withColumn("labels", lengths.select("labels").scalar())
+        .withColumn("labels", F.coalesce(lengths.select("labels").scalar(), F.lit(1)))
         .withColumn("label", F.split("h", r"\.", -1))
         .withColumn("n_labels", F.size("label"))
         .withColumn("suffixes", F.transform(F.sequence(F.lit(1), F.least(F.col("n_labels"), F.col("labels"))), lambda k: F.array_join(F.slice(F.col("label"), F.col("n_labels") - k + 1, k), ".")))
@@ -72,8 +72,11 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", url: str =
         .withColumn("digest", _digest(F.col("host"), F.col("path")))
         .withColumn("short", F.substr("digest", F.lit(1), F.lit(PREFIX_DIGITS)))
     )
-    hits = expanded.alias("e").join(known.alias("r"), F.col("e.short") == F.col("r.short")).where(F.col("e.digest") == F.col("r.digest"))
-    best = hits.groupBy("e.url").agg(F.max("r.rank").alias("best"))
+    # short digests meet few rules each, but the rule of a top domain meets most urls: its digest is dealt to many tasks
+    rules_of = known.groupBy("short").agg(F.collect_list(F.struct("digest", "rank")).alias("rules"))
+    met = spread_join(expanded.select("url", "digest", "short"), rules_of, "short")
+    confirmed = F.filter("rules", lambda r: r["digest"] == F.col("digest"))
+    best = met.select("url", F.explode(confirmed).alias("r")).groupBy("url").agg(F.max("r.rank").alias("best"))
     return best.select("url", F.col("best.rule").alias("rule"), F.col("best.action").alias("verdict"))
 
 

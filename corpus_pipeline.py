@@ -1,7 +1,10 @@
 """From raw documents to encoded training text: STAGES in order, each (spark, docs, sf_dir) -> DataFrame.
 
-Every stage works on all that the one before kept. All but the last return the columns of documents. Empty and null texts pass
-every stage unless the classifier rejects them; repeated rows are one document after the second stage.
+Every stage works on all that the one before kept. All but the last return the columns of documents, and only these: others, whatever their names, are left out first.
+
+Cases: empty and null texts, null doc_ids and sources pass every stage unless the classifier rejects them; repeated rows are one document after the second stage, and of documents with one doc_id and
+different texts each is its own; of near copies the smallest doc_id stays, of equal doc_ids the smaller SHA-256 of the text; texts are worked on whole however long they are; an empty table gives an empty
+result (the classifier then has no rows and no rejects).
 """
 
 from __future__ import annotations
@@ -28,8 +31,9 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     digest = F.sha2(text_or_empty().cast("binary"), 256)
     keyed = docs.select(*COLUMNS, F.struct("doc_id", digest.alias("digest")).alias("row_key"))
     groups = jaccard_join.join(keyed.select("row_key", "text"), WIDTH, THRESHOLD, key="row_key", spare_share=SPARE, with_links=False)
-    stays = groups.where(F.col("row_key") == F.col("component_id")).select("row_key").distinct()
-    return keyed.join(stays.withColumnRenamed("row_key", "stay"), F.col("row_key").eqNullSafe(F.col("stay"))).dropDuplicates(["row_key"]).select(*COLUMNS)
+    stays = groups.where(F.col("row_key") == F.col("component_id")).select("row_key").distinct().withColumn("stays", F.lit(True))
+    # a row that repeats is dealt to many tasks, and dropped in each before the last shuffle
+    return spread_join(keyed, stays, "row_key").where("stays").dropDuplicates(["row_key"]).select(*COLUMNS)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

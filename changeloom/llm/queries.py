@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from changeloom.llm import graph_search, jaccard_join, mixing, pieces, quality, secrets, tokens, tool_calls, url_filters, webp
+from changeloom.llm import graph_search, jaccard_join, mixing, pieces, quality, repair, secrets, token_files, tokens, tool_calls, url_filters, webp, whitening
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_url_filters": url_filters.op8_url_filters,
     "op9_ngram_jaccard": jaccard_join.op9_ngram_jaccard,
     "op10_sentencepiece": pieces.op10_sentencepiece,
+    "op11_conversation_repair": repair.op11_conversation_repair,
+    "op12_token_files": token_files.op12_token_files,
+    "op13_whitening": whitening.op13_whitening,
 }
 
 ORACLES = {

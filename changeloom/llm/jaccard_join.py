@@ -33,6 +33,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -48,7 +49,9 @@ CHANCE = 10
 #: Bits of a signature. Chance agreements only cost a comparison; at 10**13 signatures they are 2 in 100.
 KEPT_BITS = (1 << 48) - 1
 #: Bytes of text that are signed or compared together, for the memory of a task; one longer text is taken alone.
-BYTES = 1 << 22
+BYTES = 1 << 21
+#: Partners of a text that one task compares with it.
+LOT = 64
 #: Turns in which lists compare one member with all others.
 STARS = 2
 #: Lists with more classes are compared in blocks, shorter ones pair by pair.
@@ -129,9 +132,9 @@ def signed(texts: DataFrame, width: int, threshold: tuple[int, int], spare_share
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            raw = [t.encode() for t in whole.column(1).to_pylist()]
-            for a, b in portions([len(t) for t in raw], BYTES):
-                yield one(whole.column(0).slice(a, b - a), raw[a:b])
+            for a, b in portions(pc.binary_length(whole.column(1)).to_pylist(), BYTES):
+                part = whole.slice(a, b - a)
+                yield one(part.column(0), [t.encode() for t in part.column(1).to_pylist()])
 
     def one(t: pa.Array, raw: list[bytes]) -> pa.RecordBatch:
         tokens, starts = shingle_sets(raw, width)
@@ -165,26 +168,36 @@ def _sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 def _similar(pairs: DataFrame, texts: DataFrame, width: int, threshold: tuple[int, int]) -> DataFrame:
-    """Of pairs (a, b) those whose sets are at or above the threshold, compared shingle by shingle."""
+    """Of distinct pairs (a, b) those whose sets are at or above the threshold, compared shingle by shingle.
+
+    The partners of one a are dealt to tasks in lots of about LOT; its text goes once to each lot, ahead of theirs, and a task holds one such set at a time.
+    """
     num, den = threshold
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in (whole.iloc[a:b] for whole in batches for a, b in portions([len(t) for t in whole["text_b"]], BYTES)):
-            firsts, number = {}, []  # pairs come sorted by a, so its text is hashed once a batch
-            for a, t in zip(batch["a"], batch["text_a"], strict=True):
-                number.append(firsts.setdefault(a, (len(firsts), t))[0])
-            left, at_left = shingle_sets([t.encode() for _, t in firsts.values()], width)
-            right, at_right = shingle_sets([t.encode() for t in batch["text_b"]], width)
-            keep = []
-            for i, k in enumerate(number):
-                x, y = left[at_left[k] : at_left[k + 1]], right[at_right[i] : at_right[i + 1]]
-                common = int(np.isin(y, x, assume_unique=True).sum()) if len(x) * den >= len(y) * num and len(y) * den >= len(x) * num else 0
-                keep.append(den * common >= num * (len(x) + len(y) - common))
-            yield batch.loc[keep, ["a", "b"]]
-
-    with_b = pairs.join(texts.select(F.col("rep").alias("b"), F.col("text").alias("text_b")), "b")
-    with_both = with_b.join(texts.select(F.col("rep").alias("a"), F.col("text").alias("text_a")), "a")
-    return with_both.select("a", "b", "text_a", "text_b").mapInPandas(run, "a long, b long")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = np.zeros(0, np.uint64)  # the set of the text that those after it are compared with
+        for whole in batches:
+            for low, high in portions(pc.binary_length(whole.column(2)).to_pylist(), BYTES):
+                part = whole.slice(low, high - low)
+                tokens, starts = shingle_sets([t.encode() for t in part.column(2).to_pylist()], width)
+                keep = []
+                for i, partner in enumerate(part.column(1).to_pylist()):
+                    y = tokens[starts[i] : starts[i + 1]]
+                    if partner is None:
+                        first = y.copy()
+                        continue
+                    common = int(np.isin(y, first, assume_unique=True).sum()) if len(first) * den >= len(y) * num and len(y) * den >= len(first) * num else 0
+                    if den * common >= num * (len(first) + len(y) - common):
+                        keep.append(i)
+                chosen = pa.array(keep, pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column(0).take(chosen), part.column(1).take(chosen)], names=["a", "b"])
+
+    lots = pairs.groupBy("a").agg(F.ceil(F.count("*") / LOT).alias("lots"))
+    by_rep = lambda x: texts.select(F.col("rep").alias(x), "text")
+    partners = pairs.join(lots, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("lots")).alias("lot")).join(by_rep("b"), "b").select("a", "b", "text", "lot")
+    heads = lots.join(by_rep("a"), "a").select("a", F.lit(None).cast("long").alias("b"), "text", F.explode(F.sequence(F.lit(0).cast("long"), F.col("lots") - 1)).alias("lot"))
+    dealt = partners.unionByName(heads).repartition("a", "lot").sortWithinPartitions("a", "lot", F.col("b").asc_nulls_first())
+    return dealt.select("a", "b", "text").mapInArrow(run, "a long, b long")
 
 
 def join(docs: DataFrame, width: int = WIDTH, threshold: tuple[int, int] = THRESHOLD, key: str = "doc_id", text: str = "text", spare_share: float = SPARE, with_links: bool = True) -> DataFrame:
@@ -218,7 +231,7 @@ def join(docs: DataFrame, width: int = WIDTH, threshold: tuple[int, int] = THRES
             # each list takes another member, other lists' members differing, and compares it with those that lie in other components
             centre = F.min(F.struct(F.xxhash64("rep", "sig", F.lit(turn)).alias("h"), F.col("rep").alias("rep"), F.col("component").alias("component"))).over(same)
             star = mixed.withColumn("centre", centre).where(F.col("centre.component") != F.col("component"))
-            links = compare(star.select(F.least("rep", "centre.rep").alias("a"), F.greatest("rep", "centre.rep").alias("b")))
+            links = compare(star.select(F.col("centre.rep").alias("a"), F.col("rep").alias("b")))
         else:
             sized = mixed.withColumn("n_classes", F.count("*").over(same))
             x, y = (sized.where(F.col("n_classes") <= LONG).alias(name) for name in "xy")

@@ -15,7 +15,7 @@ import numpy as np
 #: Bytes of text that are hashed together; bounds the memory of the temporary arrays.
 STRETCH = 1 << 20
 #: Words whose hashes are kept, and the longest of them.
-MEMO, LONGEST = 300_000, 64
+MEMO, LONGEST = 200_000, 64
 
 
 def mix(x: np.ndarray) -> np.ndarray:

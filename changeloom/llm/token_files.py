@@ -6,7 +6,7 @@ outgrow ``dictionary_bytes``; row groups and pages are small enough (``group_byt
 opens a few pages, and a read of counts never touches the ids. A place in the whole stream of ids is a file's offset (`offsets`: one row a file) plus the counts before it in its file.
 
 Ids are the tokenizers library's for each whole text, special strings as its default, without added tokens, and an end id after each document. White space separates what it encodes, so chunks between ASCII
-white space are encoded once each as long as they stay in a bounded memo; new ones go through the library together, divided by a control character that has an id of its own.
+white space are encoded once each as long as they stay in a bounded memo; those of some texts that are new go through the library together, divided by a control character that has an id of its own.
 
 Cases: a null text is empty and gives the end id alone; null doc_ids and repeated rows are rows like any others; texts are encoded whole, however long; an empty table gives files without rows;
 other columns, whatever their names, don't take part.
@@ -22,18 +22,24 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from changeloom.llm.common import shared_folder, table, text_or_empty
+from changeloom.llm.shingles import portions
 
 END = 2
 DIVIDER = "\x01"
 CHUNK = re.compile(r"[^ \t\n\r\x0b\x0c]+")
+#: Letters that stay letters in lower case.
+LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f]+")
+#: What str.split takes for white space, and the tokenizer doesn't.
+ODD = re.compile("[\x1c-\x1f]")
 #: Entries of each half of the memo, and the longest chunk that it keeps.
 MEMO, KEPT = 400_000, 40
-#: Rows of a batch that Python holds at once; their texts are encoded one after the other.
-ROWS = 64
+#: Bytes of text that Python holds at once; one longer text is taken alone.
+BYTES = 64 << 10
 
 
 class Encoder:
@@ -46,52 +52,56 @@ class Encoder:
         #: Chunks' ids: what has been met lately, and before; a half that is full takes the older one's place.
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        #: Whether a token ends a piece.
+        self.ends = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(self.tokenizer.get_vocab_size())])
         own = self._ids(DIVIDER)
         self.divider = own[0] if len(own) == 1 else None
 
     def _ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     def _learn(self, chunks: list[str]) -> dict[str, bytes]:
-        """Chunks' ids, through one call of the library."""
-        plain = [c for c in chunks if DIVIDER not in c] if self.divider is not None else []
-        out = {}
-        if plain:
-            ids = np.array(self._ids(f" {DIVIDER} ".join(plain)), np.int32)
-            packed, at = ids.tobytes(), 0
-            for c, end in zip(plain, (*(4 * np.flatnonzero(ids == self.divider)).tolist(), len(packed)), strict=True):
-                out[c], at = packed[at:end], end + 4
+        """Chunks' ids, through the library. Words of plain letters are pieces of one end each; others need a divider."""
+        words = [c for c in chunks if LETTERS.fullmatch(c)]
+        out = self._divided(words, " ", lambda ids: (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist(), 0) if words else {}
+        if self.divider is not None:
+            others = [c for c in chunks if c not in out and DIVIDER not in c]
+            if others:
+                out |= self._divided(others, f" {DIVIDER} ", lambda ids: [*(4 * np.flatnonzero(ids == self.divider)).tolist(), 4 * len(ids)], 4)
         return out | {c: np.array(self._ids(c), np.int32).tobytes() for c in chunks if c not in out}
 
-    def _known(self, chunk: str) -> bytes | None:
-        """From the memo; what only its older half holds moves to the younger one."""
-        found = self.memo.get(chunk)
-        if found is None and (found := self.older.get(chunk)) is not None:
-            self.memo[chunk] = found
-        return found
-
-    def encode(self, text: str) -> bytes:
-        chunks = CHUNK.findall(text)
-        known = self.memo
+    def _divided(self, chunks: list[str], divider: str, ends_of, skipped: int) -> dict[str, bytes]:
+        ids = np.array(self._ids(divider.join(chunks)), np.int32)
+        packed, ends = ids.tobytes(), ends_of(ids)
+        starts = [0, *(e + skipped for e in ends[:-1])]
+        return {c: packed[a:b] for c, a, b in zip(chunks, starts, ends, strict=True)}
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The texts' ids; what the memo lacks is learnt for all of them at once."""
+        chunks = [CHUNK.findall(t) if ODD.search(t) else t.split() for t in texts]
+        memo = self.memo.get
+        found = [list(map(memo, words)) for words in chunks]
+        lacking = {w for words, ids in zip(chunks, found) if None in ids for w, i in zip(words, ids) if i is None}
+        if lacking:
+            met = self._met(lacking)
+            found = [[met[w] if i is None else i for w, i in zip(words, ids)] if None in ids else ids for words, ids in zip(chunks, found)]
+        return [b"".join(ids) for ids in found]
+
+    def _met(self, lacking: set[str]) -> dict[str, bytes]:
+        """Ids of chunks that the younger half of the memo lacks, which then has them: from the older half, or through the library."""
+        met = {w: i for w in lacking if (i := self.older.get(w)) is not None}
         # after a letter, stops at a chunk's end are a piece of their own
-        parts = {}
-        for c in set(chunks).difference(known):
-            if self._known(c) is None:
-                core = c.rstrip(".,")
-                parts[c] = (core, c[len(core) :]) if core != c and core[-1:].isalpha() else (c,)
-        if parts:
-            held = {p: self._known(p) for p in {p for ps in parts.values() for p in ps}}
-            held |= self._learn([p for p, packed in held.items() if packed is None])
-            known.update((p, packed) for p, packed in held.items())
-            known.update((c, b"".join([held[p] for p in ps])) for c, ps in parts.items())
-        packed = b"".join(map(known.__getitem__, chunks))
-        if parts:
-            for c in (*held, *parts):
-                if len(c) > KEPT:
-                    known.pop(c, None)
-            if len(known) > MEMO:
-                self.memo, self.older = {}, known
-        return packed
+        cores = {w: core for w in lacking if w not in met and (core := w.rstrip(".,")) != w and core[-1:].isalpha()}
+        pieces = {p: self.memo.get(p) or self.older.get(p) for w, core in cores.items() for p in (core, w[len(core) :])}
+        learnt = self._learn([*(w for w in lacking if w not in met and w not in cores and w not in pieces), *(p for p, i in pieces.items() if i is None)])
+        pieces = {p: i if i is not None else learnt[p] for p, i in pieces.items()}
+        met.update(learnt)
+        met.update((p, i) for p, i in pieces.items() if p not in met)
+        met.update((w, pieces[core] + pieces[w[len(core) :]]) for w, core in cores.items())
+        self.memo.update((w, i) for w, i in met.items() if len(w) <= KEPT)
+        if len(self.memo) > MEMO:
+            self.memo, self.older = {}, self.memo
+        return met
 
 
 @lru_cache(maxsize=2)
@@ -117,9 +127,9 @@ def write(docs: DataFrame, folder: str, vocabulary: str | None = None, end: int
         made = encoder(vocabulary or public_tokenizers.path("word_bpe_49k.json"))
         last = np.array([end], np.int32).tobytes()
         for batch in batches:
-            for at in range(0, batch.num_rows, ROWS):
-                part = batch.slice(at, ROWS)
-                packed = [made.encode(t.as_py()) + last for t in part.column(1)]
+            for low, high in portions(pc.binary_length(batch.column(1)).to_pylist(), BYTES):
+                part = batch.slice(low, high - low)
+                packed = [ids + last for ids in made.encode(part.column(1).to_pylist())]
                 sizes = np.array([len(p) // 4 for p in packed], np.int64)
                 values = pa.array(np.frombuffer(b"".join(packed), np.int32))
                 ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), values)

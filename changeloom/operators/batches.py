@@ -52,18 +52,23 @@ def schema_islands(relations: DataFrame, value: Column, name: str = "schema_vers
     return valued.withColumn("_c", changed).withColumn(name, F.sum("_c").over(by.rowsBetween(Window.unboundedPreceding, 0))).drop("_v", "_c")
 
 
-def manifest(changes: DataFrame) -> DataFrame:
+def manifest(changes: DataFrame, definitions: DataFrame | None = None, sources: bool = False) -> DataFrame:
     """changes (batch_id, schema, table, schema_version, replay_pos, lsn, xid) -> one row per file.
 
-    Files that a newer version of the same table closed come first, by when they were closed; then those open at the end, by their first row.
+    A file is closed when a newer version of its table arrives: with the newer definition (definitions: batch_id, schema, table, schema_version, replay_pos), whether a row follows it or not, or, where none is given,
+    with the first row of another version. Closed files come first, by when they were closed; then those open at the end, by their first row. With ``sources`` tables of one name are apart by source_id.
     """
-    files = changes.groupBy("batch_id", "schema", "table", "schema_version").agg(
-        F.count("*").alias("event_count"), F.max_by(F.struct("lsn", "xid"), "replay_pos").alias("last"), F.min("replay_pos").alias("first_pos"), F.max("replay_pos").alias("last_pos")
+    of = ["batch_id", *(["source_id"] if sources else []), "schema", "table"]
+    files = changes.groupBy(*of, "schema_version").agg(
+        F.count("*").alias("event_count"), F.max_by(F.struct("lsn", "xid"), "replay_pos").alias("last"), F.min("replay_pos").alias("first_pos")
     )
-    of_table = Window.partitionBy("batch_id", "schema", "table").orderBy("first_pos")
-    closed_at = F.lead("first_pos").over(of_table)
-    ordered = files.withColumn("_closed", closed_at)
+    opened = files.withColumn("_opened", F.col("first_pos"))
+    if definitions is not None:
+        made = definitions.groupBy(*of, "schema_version").agg(F.min("replay_pos").alias("_defined"))
+        opened = files.join(made, [*of, "schema_version"], "full").withColumn("_opened", F.least("first_pos", "_defined"))
+    of_table = Window.partitionBy(*of).orderBy("_opened")  # a row per version
+    ordered = opened.withColumn("_closed", F.lead("_opened").over(of_table)).where(F.col("event_count").isNotNull())
     place = Window.partitionBy("batch_id").orderBy(F.col("_closed").isNull(), F.coalesce("_closed", "first_pos"))
     return ordered.select(
-        "batch_id", (F.row_number().over(place) - 1).alias("file_ord"), "schema", "table", "schema_version", "event_count", F.col("event_count").alias("record_count"), F.col("last.lsn").alias("lsn"), F.col("last.xid").alias("xid")
+        "batch_id", (F.row_number().over(place) - 1).alias("file_ord"), *of[1:], "schema_version", "event_count", F.col("event_count").alias("record_count"), F.col("last.lsn").alias("lsn"), F.col("last.xid").alias("xid")
     )

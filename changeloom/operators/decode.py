@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Iterator
-from decimal import Decimal
+from decimal import MAX_EMAX, MIN_EMIN, Context, Decimal
 from itertools import accumulate
 
 import numpy as np
@@ -223,10 +223,13 @@ def decode_rows(changes: DataFrame) -> DataFrame:
             rows = _messages(batch, [False] * batch.num_rows)
             columns = pc.struct_field(batch.column(of), "columns")
             if any(c["kind"] == "b" for r in rows for side in ("old", "new") for c in r.get(side) or ()):
-                for r, oids in zip(rows, _type_oids(columns), strict=True):
+                for i, (r, oids) in enumerate(zip(rows, _type_oids(columns), strict=True)):
                     for side in ("old", "new"):
                         if side in r:
-                            r[side] = [_as_text(cell, oid) for cell, oid in zip(r[side], oids, strict=True)]
+                            try:
+                                r[side] = [_as_text(cell, oid) for cell, oid in zip(r[side], oids, strict=True)]
+                            except ValueError as e:
+                                raise ProtocolError(f"{batch.column(0)[i]}, message {batch.column(1)[i]}: {e}") from e
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(others) + 4) if i != 3), *(_column(rows, f) for f in list(shape)[-3:])], schema=shape)
 
     return source.mapInArrow(run, schema)
@@ -356,15 +359,20 @@ def binary_numeric(raw: bytes) -> Decimal | None:
     """Digits in base 10,000 with weight, sign and display scale; None for NaN and infinities."""
     if len(raw) < 8:
         raise ProtocolError("a numeric is too short")
-    n, weight, sign, scale = struct.unpack(">hhHh", raw[:8])
-    if sign in (0xC000, 0xD000, 0xF000):
+    n, weight, sign, scale = struct.unpack(">HhHH", raw[:8])
+    if len(raw) == 8 + 2 * n and sign in (0xC000, 0xD000, 0xF000):
         return None
     if sign not in (0, 0x4000) or len(raw) != 8 + 2 * n:
         raise ProtocolError("a numeric has an unknown sign or the wrong length")
-    digits = "".join(f"{d:04d}" for d in struct.unpack(f">{n}H", raw[8:])) or "0"
+    groups = struct.unpack(f">{n}H", raw[8:])
+    if any(g > 9999 for g in groups):
+        raise ProtocolError("a numeric has a digit above 9999")
+    digits = "".join(f"{g:04d}" for g in groups) or "0"
     exponent = 4 * (weight - n + 1) if n else 0
-    value = Decimal(("-" if sign else "") + digits).scaleb(exponent)
-    return value.quantize(Decimal(1).scaleb(-scale), rounding="ROUND_HALF_UP")
+    # as many digits as the value has, however many
+    exact = Context(prec=len(digits) + abs(exponent) + scale + 1, Emax=MAX_EMAX, Emin=MIN_EMIN)
+    value = Decimal(("-" if sign else "") + digits).scaleb(exponent, exact)
+    return value.quantize(Decimal(1).scaleb(-scale, exact), "ROUND_HALF_UP", exact)
 
 
 def binary_text(raw: bytes | None, oid: int) -> str | None:
@@ -398,9 +406,9 @@ def binary_text(raw: bytes | None, oid: int) -> str | None:
     if oid == V.JSONB:
         if raw[:1] != b"\x01":
             raise ProtocolError("unknown version of jsonb")
-        return raw[1:].decode()
+        return raw[1:].decode(errors="replace")
     if oid in (V.TEXT, V.VARCHAR, V.BPCHAR, V.NAME, V.JSON):
-        return raw.decode()
+        return raw.decode(errors="replace")
     return "\\x" + raw.hex()
 
 

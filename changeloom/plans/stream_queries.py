@@ -144,6 +144,21 @@ def file_manifest(spark: SparkSession, d: str) -> DataFrame:
     return B.manifest(placed.withColumn("schema_version", F.when(F.col("l_linenumber") > 4, 2).otherwise(1)).withColumn("lsn", L.lsn_format(F.col("lsn_num"))))
 
 
+@query(f"""WITH {SQL_L}, r AS (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY commit_lsn, xid, ord) AS replay_pos FROM chg),
+  b AS (SELECT *, source_id || '-' || ((replay_pos - 1) // 500) AS batch_id, CASE WHEN l_linenumber > 4 THEN 2 ELSE 1 END AS schema_version FROM r),
+  f AS (SELECT batch_id, schema, "table", schema_version, count(*) AS event_count, arg_max(lsn_num, replay_pos) AS lsn_num, arg_max(xid, replay_pos) AS xid, min(replay_pos) * 2 AS first_pos FROM b GROUP BY ALL),
+  d AS (SELECT batch_id, schema, "table", 3 AS schema_version, min(replay_pos) * 2 - 1 AS opened FROM b WHERE l_linenumber = 7 GROUP BY ALL),
+  o AS (SELECT batch_id, schema, "table", schema_version, first_pos AS opened FROM f UNION ALL SELECT * FROM d),
+  c AS (SELECT o.*, lead(opened) OVER (PARTITION BY batch_id, schema, "table" ORDER BY opened) AS closed FROM o)
+  SELECT batch_id, row_number() OVER (PARTITION BY batch_id ORDER BY closed IS NULL, coalesce(closed, first_pos)) - 1 AS file_ord, schema, "table", schema_version, event_count, event_count AS record_count, {LSN} AS lsn, xid
+  FROM c JOIN f USING (batch_id, schema, "table", schema_version)""")
+def file_manifest_by_definition(spark: SparkSession, d: str) -> DataFrame:
+    """Each table is defined anew right before the first seventh line of a batch; no row has that version, but it closes the files that are open."""
+    placed = X.replay_position(changes(spark, d)).withColumn("batch_id", F.concat_ws("-", "source_id", F.floor((F.col("replay_pos") - 1) / 500))).withColumn("replay_pos", F.col("replay_pos") * 2)
+    made = placed.where("l_linenumber = 7").select("batch_id", "schema", "table", F.lit(3).alias("schema_version"), (F.col("replay_pos") - 1).alias("replay_pos"))
+    return B.manifest(placed.withColumn("schema_version", F.when(F.col("l_linenumber") > 4, 2).otherwise(1)).withColumn("lsn", L.lsn_format(F.col("lsn_num"))), made)
+
+
 @query(f"""WITH {SQL_L}, t AS (SELECT xid, base AS lsn_num, [o_custkey % 5, o_custkey % 7 + 5, 12] AS ids FROM txn), x AS (SELECT xid, lsn_num, unnest(ids) AS relation_id, generate_subscripts(ids, 1) - 1 AS ord FROM t)
   SELECT xid, {LSN} AS lsn, ord, relation_id FROM x WHERE regexp_full_match('table' || relation_id, 'table[0-9]')""")
 def truncate_fanout(spark: SparkSession, d: str) -> DataFrame:

@@ -265,6 +265,22 @@ def decode_capture_stream(spark: SparkSession, d: str) -> DataFrame:
     return _rows(D.decode(_log(spark, d, [D.encode_cell(F.col(n).cast("string")) for n, *_ in ORDERS], streamed=True), streaming=True, kinds="I"))
 
 
+GROUPS = 10
+
+
+@query(f"""WITH g AS (SELECT o_orderkey, list_transform(range(1, {GROUPS}), i -> lpad(((o_orderkey * 7919 * i + i) % 10000)::VARCHAR, 4, '0')) AS parts FROM orders)
+  SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN '-' ELSE '' END || (o_orderkey % 90 + 10) || array_to_string(parts[1:6], '') || '.' || array_to_string(parts[7:9], '') AS amount FROM g""")
+def decode_numerics(spark: SparkSession, d: str) -> DataFrame:
+    """Numerics of 38 digits in binary form: ten groups of four digits, of which the first has two, and twelve places after the point."""
+    key = F.col("o_orderkey")
+    groups = [key % 90 + 10, *[(key * 7919 * i + i) % 10000 for i in range(1, GROUPS)]]
+    head = [F.lit(GROUPS), F.lit(GROUPS - 4), F.when(key % 3 == 0, 0x4000).otherwise(0), F.lit(12)]
+    amount = F.concat(*[D.big_endian(x, 2) for x in (*head, *groups)])
+    defined = F.from_json(F.lit('{"relation_id": 1, "namespace": "shop", "name": "sums", "columns": [{"name": "o_orderkey", "key": true, "type_oid": 20, "typmod": -1}, {"name": "amount", "type_oid": 1700, "typmod": -1}]}'), D.RELATION)
+    rows = _orders(spark, d).select(F.lit("slot").alias("source_id"), key.alias("seq"), key.alias("recv_lsn"), D.encode_insert(F.lit(1), [D.encode_binary_cell(D.big_endian(key, 8)), D.encode_binary_cell(amount)]).alias("data"), defined.alias("relation"))
+    return D.decode_rows(rows).select(F.col("new")[0]["text"].cast("long").alias("o_orderkey"), F.col("new")[1]["text"].alias("amount"))
+
+
 @query("""SELECT 'slot' || (o_orderkey % 8) AS source_id, o_orderkey + 1 AS xid, o_orderkey * 16 AS commit_lsn, o_orderkey * 16 + 15 AS end_lsn, epoch_us(o_orderdate) AS commit_micros FROM orders""")
 def decode_commits(spark: SparkSession, d: str) -> DataFrame:
     log = D.decode(_log(spark, d, [D.encode_cell(F.col("o_orderkey").cast("string"))] * 4, streamed=True), kinds="c")

@@ -50,7 +50,7 @@ class Options:
     @classmethod
     def of(cls, options) -> "Options":
         """From text options by the names of the fields, as Spark's sources get them; others are left aside. Raises with all that is wrong."""
-        read = {"bool": lambda x: str(x).lower() == "true", "int": int, "float": float, "int | None": int}
+        read = {"bool": _truth, "int": int, "float": float, "int | None": int}
         given = cls(**{f.name: read.get(f.type, str)(options[f.name]) for f in fields(cls) if options.get(f.name) is not None})
         if problems := given.problems():
             raise ValueError("; ".join(problems))
@@ -108,6 +108,12 @@ class Options:
         return None if self.batch_strategy == "one_transaction" else int(self.max_wait * 1_000_000)
 
 
+def _truth(word) -> bool:
+    if str(word).strip().lower() not in ("true", "false"):
+        raise ValueError(f"true or false, not {word}")
+    return str(word).strip().lower() == "true"
+
+
 def literal(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 

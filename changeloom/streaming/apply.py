@@ -82,27 +82,36 @@ def typed_rows(table_events: DataFrame, columns: list[dict], unconstrained: str
     return table_events.select("operation", "schema", "table", "lsn", "xid", "commit_timestamp", side("before"), side("after"))
 
 
-def warnings_of(table_events: DataFrame, columns: list[dict], unconstrained: str = "string") -> DataFrame:
-    """column, seq, text, reason: of each column of one table's events the first value that has no Spark value, or no binary mapping."""
-    none = F.lit("no value")
-    bad = [F.when(V.unsupported(F.col(side)[c["name"]], c["type_oid"], c["typmod"], unconstrained), F.struct(F.lit(c["name"]).alias("column"), none.alias("reason"), F.col(side)[c["name"]].alias("text"))) for c in columns for side in ("before", "after")]
-    if "binary" in table_events.columns:
-        found = F.concat(F.array_compact(F.array(*bad)), F.col("binary")) if bad else F.col("binary")
-    else:
-        found = F.array_compact(F.array(*bad))
-    rows = table_events.select("schema", "table", "seq", F.explode(found).alias("x")).select("schema", "table", "seq", "x.column", "x.text", "x.reason")
-    reasons = rows.groupBy(F.concat_ws(".", "schema", "table", "column").alias("column")).agg(F.min_by("reason", "seq").alias("reason"))
-    return events.warn_once(rows.drop("reason")).join(reasons, "column")
+def warnings_of(changes: DataFrame, unconstrained: str = "string") -> DataFrame:
+    """column (with schema and table), seq, text, reason: of each column the first value that has no Spark value, or no binary mapping. Events of all tables at once; the driver gets the types that occur."""
+    kinds = changes.select(F.explode("relation.columns").alias("c")).select("c.type_oid", "c.typmod").distinct().collect()
+    bad = F.lit(False)
+    for k in kinds:
+        bad = F.when((F.col("x.type_oid") == k.type_oid) & (F.col("x.typmod") == k.typmod), V.unsupported(F.col("x.text"), k.type_oid, k.typmod, unconstrained)).otherwise(bad)
+    values = lambda side: F.transform("relation.columns", lambda c: F.struct(c["name"].alias("column"), c["type_oid"].alias("type_oid"), c["typmod"].alias("typmod"), F.col(side)[c["name"]].alias("text")))
+    both = F.filter(F.concat(*[F.coalesce(F.when(F.col(side).isNotNull(), values(side)), F.array().cast(_VALUES)) for side in ("before", "after")]), lambda v: v["text"].isNotNull())
+    of = ["schema", "table", "seq"]
+    found = changes.select(*of, F.explode(both).alias("x")).where(bad).select(*of, "x.column", "x.text", F.lit("no value").alias("reason"))
+    if "binary" in changes.columns:
+        found = found.unionByName(changes.select(*of, F.explode("binary").alias("x")).select(*of, "x.column", "x.text", "x.reason"))
+    named = found.withColumn("column", F.concat_ws(".", "schema", "table", "column"))
+    return named.groupBy("column").agg(F.min_by(F.struct("seq", "text", "reason"), "seq").alias("x")).select("column", "x.*")
+
+
+_VALUES = "array<struct<column:string,type_oid:long,typmod:int,text:string>>"
 
 
 class BatchWriter:
-    """foreachBatch function: one folder per table and schema version under path/batch=<id>, then one row per file in path/manifest.
+    """foreachBatch function: one folder per source, table and schema version under path/batch=<id>, then one row per file in path/manifest.
 
-    With ``typed`` before and after have the table's types instead of maps of text. A batch that is run again overwrites its own folders and manifest, so what a reader finds through the manifest is there once.
-    path/relations has the definitions that hold after a batch, one a table, which the next batch starts from; path/warnings the first unsupported value of each column, once for all batches.
+    Events of all tables are in one form, before and after as maps of text, and one job writes them: ranges of (source, table, version, place in the log) are what its tasks get, so small tables share a task and a large
+    one is many, whose files are in the order of the log by name. With ``typed`` before and after have the table's own types instead; then each table and version has a schema, and a job, of its own.
+    Spark's committer shows a job's files only when all of its tasks have ended well, and the manifest comes last: a reader goes by the manifest, so of a batch that fails nothing is there, and one that is run again
+    overwrites its own. path/relations has the definitions that hold after a batch, one a table of a source, which the next batch starts from; path/warnings the first unsupported value of each column, once for all batches.
     """
 
     MIME = {"json": "application/json", "csv": "text/csv", "parquet": "application/vnd.apache.parquet", "orc": "application/vnd.apache.orc", "avro": "application/avro-binary"}
+    FILE = ["source_id", "schema", "table", "schema_version"]
 
     def __init__(self, path: str, fmt: str = "json", typed: bool = False, unconstrained: str = "string", **event_options):
         self.path, self.format, self.options = path.rstrip("/"), fmt, {"unconstrained": unconstrained} | event_options
@@ -115,18 +124,22 @@ class BatchWriter:
         try:
             known = self._known(spark, batch_id)
             found = change_events(resolved_changes(raw, known), **self.options).persist()
-            per_file = found.withColumn("batch_id", F.lit(batch_id)).withColumn("replay_pos", F.struct("source_id", "seq", "ord"))
-            files = batches.manifest(per_file).withColumn("mime_type", F.lit(self.MIME.get(self.format, "application/octet-stream")))
-            of = ["schema", "table", "schema_version"]
-            shapes = found.groupBy(*of).agg(F.first("relation.columns").alias("columns"))  # a table's version has one definition
-            warned = []
-            for f in files.join(shapes, of).collect():  # a row per table and version
-                columns = [c.asDict() for c in f["columns"]]
-                one = found.where((F.col("schema") == f["schema"]) & (F.col("table") == f["table"]) & (F.col("schema_version") == f["schema_version"]))
-                rows = typed_rows(one, columns, self.unconstrained) if self.typed else one.orderBy("source_id", "seq", "ord")
-                self._write(rows, f"{self.path}/batch={batch_id}/{f['schema']}.{f['table']}/v{f['schema_version']}")
-                warned.append(warnings_of(one, columns, self.unconstrained))
-            self._warn(spark, warned, batch_id)
+            placed = found.withColumn("batch_id", F.lit(batch_id)).withColumn("replay_pos", F.struct("source_id", "seq", "ord"))
+            defined = definitions(raw, known).join(raw.select("source_id", "seq"), ["source_id", "seq"], "left_semi")  # those that this batch brings
+            defined = defined.select(F.lit(batch_id).alias("batch_id"), "source_id", F.col("relation.namespace").alias("schema"), F.col("relation.name").alias("table"), "schema_version", F.struct("source_id", "seq", F.lit(-1).alias("ord")).alias("replay_pos"))
+            files = batches.manifest(placed, defined, sources=True).withColumn("mime_type", F.lit(self.MIME.get(self.format, "application/octet-stream")))
+            folder = f"{self.path}/batch={batch_id}"
+            if self.typed:
+                shapes = found.groupBy(*self.FILE).agg(F.first("relation.columns").alias("columns"))  # a table's version has one definition
+                for f in shapes.collect():  # a row per table and version
+                    one = found.where((F.col("source_id") == f.source_id) & (F.col("schema") == f.schema) & (F.col("table") == f.table) & (F.col("schema_version") == f.schema_version))
+                    rows = self._shaped(typed_rows(one, [c.asDict() for c in f["columns"]], self.unconstrained))
+                    self._write(rows, f"{folder}/source={f.source_id}/of={f.schema}.{f.table}/v={f.schema_version}")
+            else:
+                by = [F.col("source_id").alias("source"), F.concat_ws(".", "schema", "table").alias("of"), F.col("schema_version").alias("v")]
+                ranged = found.select("*", *by).repartitionByRange("source", "of", "v", "seq", "ord").sortWithinPartitions("source", "of", "v", "seq", "ord")
+                self._write(self._shaped(ranged, "source", "of", "v"), folder, "source", "of", "v")
+            self._warn(spark, warnings_of(found, self.unconstrained), batch_id)
             latest = definitions(raw, known).groupBy("source_id", "relation_id").agg(F.max_by(F.struct("seq", "relation", "schema_version"), "seq").alias("x")).select("source_id", "relation_id", "x.*")
             latest.write.mode("overwrite").json(f"{self.path}/relations/batch={batch_id}")
             files.write.mode("overwrite").parquet(f"{self.path}/manifest/batch={batch_id}")  # last: what isn't listed isn't there
@@ -135,20 +148,17 @@ class BatchWriter:
             if found is not None:
                 found.unpersist()
 
-    def _write(self, rows: DataFrame, folder: str) -> None:
+    def _shaped(self, rows: DataFrame, *more: str) -> DataFrame:
         if self.format in ("csv",):
             rows = rows.withColumns({c: F.to_json(c, {"ignoreNullFields": "false"}) for c in ("before", "after")})
-        rows = rows.select("operation", "schema", "table", "lsn", "xid", "commit_timestamp", "before", "after")
-        rows.write.mode("overwrite").option("ignoreNullFields", "false").format(self.format).save(folder)
+        return rows.select("operation", "schema", "table", "lsn", "xid", "commit_timestamp", "before", "after", *more)
+
+    def _write(self, rows: DataFrame, folder: str, *by: str) -> None:
+        writer = rows.write.mode("overwrite").option("ignoreNullFields", "false").format(self.format)
+        (writer.partitionBy(*by) if by else writer).save(folder)
 
-    def _warn(self, spark, warned: list[DataFrame], batch_id: int) -> None:
+    def _warn(self, spark, rows: DataFrame, batch_id: int) -> None:
         """Warnings of columns that no earlier batch has warned of."""
-        if not warned:
-            return
-        rows = warned[0]
-        for more in warned[1:]:
-            rows = rows.unionByName(more)
-        rows = rows.groupBy("column").agg(F.min_by(F.struct("seq", "text", "reason"), "seq").alias("x")).select("column", "x.*")
         if self._batches(spark, "warnings"):
             earlier = spark.read.schema("column string, batch int").json(f"{self.path}/warnings").where(F.col("batch") < batch_id)
             rows = rows.join(earlier.select("column").distinct(), "column", "left_anti")

@@ -56,6 +56,26 @@ def test_binary_numeric(raw, value):
     assert binary_numeric(raw) == (None if value is None else Decimal(value))
 
 
+@pytest.mark.parametrize("digits", [28, 29, 38, 40, 1000, 5000])
+def test_numerics_of_many_digits(digits):
+    """Whole, with a point in the middle, and far behind it; digits above 9999 are refused."""
+    groups = [(7919 * i + 1234) % 10000 for i in range(digits // 4)]
+    text = "".join(f"{g:04d}" for g in groups)
+    n = len(groups)
+    assert format(binary_numeric(numeric(n, n - 1, 0, 0, *groups)), "f") == text.lstrip("0")
+    assert format(binary_numeric(numeric(n, n // 2 - 1, 0x4000, 4 * (n - n // 2), *groups)), "f") == "-" + text[: n // 2 * 4].lstrip("0") + "." + text[n // 2 * 4 :]
+    assert format(binary_numeric(numeric(n, -3, 0, 4 * n + 8, *groups)), "f") == "0." + "0" * 8 + text
+    with pytest.raises(ProtocolError, match="above 9999"):
+        binary_numeric(numeric(n, 0, 0, 0, *groups[:-1], 10000))
+
+
+def test_a_bad_digit_names_its_message(spark):
+    defined = decode(spark.createDataFrame([("s", 1, 1, relation(9, columns=(("id", 1, 1700, -1),)))], "source_id string, seq long, recv_lsn long, data binary")).select("relation")
+    rows = spark.createDataFrame([("slot1", 77, 1, insert(9, numeric(1, 0, 0, 0, 10000)))], "source_id string, seq long, recv_lsn long, data binary").crossJoin(defined)
+    with pytest.raises(Exception, match="slot1, message 77: a numeric has a digit"):
+        decode_rows(rows).collect()
+
+
 def test_binary_values():
     assert binary_text(b"\1", V.BOOL) == "t" and binary_text(struct.pack(">h", -32768), V.INT2) == "-32768"
     assert binary_text(struct.pack(">d", float("inf")), V.FLOAT8) is None

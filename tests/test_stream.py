@@ -93,6 +93,8 @@ def test_reader_gives_whole_transactions():
     assert p.confirmed == [112]
     with pytest.raises(ValueError):
         ReplicationReader({"client": "p", "slot": "No!"})
+    with pytest.raises(ValueError, match="true or false"):
+        ReplicationReader({"client": "p", "initial_snapshot": "yes"})
 
 
 class Clock:
@@ -333,7 +335,7 @@ def test_typed_rows_and_warnings(spark):
     columns = [{"name": "id", "type_oid": 23, "typmod": -1}, {"name": "note", "type_oid": 25, "typmod": -1}, {"name": "day", "type_oid": 1082, "typmod": -1}]
     rows = typed_rows(a, columns).collect()
     assert rows[0].after.id == 1 and str(rows[0].after.day) == "2026-01-02" and rows[1].after.day is None
-    assert [(r.column, r.text, r.reason) for r in warnings_of(a, columns).collect()] == [("lab.a.day", "infinity", "no value")]
+    assert [(r.column, r.text, r.reason) for r in warnings_of(a).collect()] == [("lab.a.day", "infinity", "no value")]
 
 
 def test_streaming_to_files(spark, tmp_path):
@@ -346,7 +348,7 @@ def test_streaming_to_files(spark, tmp_path):
     writer(later, 1)  # again: the same files, once
     m = spark.read.parquet(str(tmp_path / "out/manifest")).orderBy("batch_id", "file_ord").collect()
     assert [(r.batch_id, r.table, r.event_count) for r in m] == [(0, "a", 3), (0, "b", 2), (1, "a", 1)] and m[0].mime_type == "application/json"
-    lines = [json.loads(x) for f in sorted((tmp_path / "out/batch=1/lab.a/v1").glob("*.json")) for x in f.read_text().splitlines()]
+    lines = [json.loads(x) for f in sorted((tmp_path / "out/batch=1/source=s/of=lab.a/v=1").glob("*.json")) for x in f.read_text().splitlines()]
     assert len(lines) == 1 and lines[0]["after"] == {"id": "2", "note": "y", "day": None} and lines[0]["before"] is None
 
 
@@ -366,11 +368,72 @@ def test_definitions_and_warnings_go_on_from_batch_to_batch(spark, tmp_path):
     assert len(list((tmp_path / "out/relations").iterdir())) <= 4  # old states go
 
 
+@pytest.mark.parametrize("typed", [False, True])
+def test_two_sources_with_a_table_of_one_name(spark, tmp_path, typed):
+    """Each source's rows have its own columns, in its own folder, and nothing is lost."""
+    a = [begin(1), relation(9, "t", (("x", 1, 23, -1), ("y", 0, 25, -1))), insert(9, "1", "one"), insert(9, "2", None), commit(end=64)]
+    b = [begin(1), relation(9, "t", (("p", 1, 23, -1),)), insert(9, "9"), commit(end=64)]
+    rows = [(source, i, 16 * i, d) for source, log in (("a", a), ("b", b)) for i, d in enumerate(log, 1)]
+    BatchWriter(str(tmp_path / "out"), typed=typed)(spark.createDataFrame(rows, RAW), 0)
+    m = spark.read.parquet(str(tmp_path / "out/manifest")).orderBy("source_id").collect()
+    assert [(r.source_id, r.table, r.event_count, r.schema_version) for r in m] == [("a", "t", 2, 1), ("b", "t", 1, 1)]
+    read = lambda source: [json.loads(x)["after"] for f in sorted((tmp_path / f"out/batch=0/source={source}/of=lab.t/v=1").glob("*.json")) for x in f.read_text().splitlines()]
+    n = (lambda x: x) if typed else str
+    assert read("a") == [{"x": n(1), "y": "one"}, {"x": n(2), "y": None}] and read("b") == [{"p": n(9)}]
+
+
+def test_many_tables_are_one_job(spark, tmp_path):
+    """Files of 60 tables in one job, each in the order of the log; files close when a definition arrives, with no row behind it too."""
+    tables = [relation(100 + i, f"t{i}") for i in range(60)]
+    log = [begin(1), *tables, *[insert(100 + i % 60, str(i), "x") for i in range(300)], relation(101, "t1", (("id", 1, 23, -1), ("z", 0, 25, -1))), relation(100, "t0", (("id", 1, 23, -1), ("z", 0, 25, -1))), commit()]
+    writer, jobs = BatchWriter(str(tmp_path / "out")), []
+    keep = writer._write
+    writer._write = lambda rows, folder, *by: (jobs.append(by), keep(rows, folder, *by))
+    writer(raw(spark, log), 0)
+    m = spark.read.parquet(str(tmp_path / "out/manifest")).orderBy("file_ord").collect()
+    assert [r.table for r in m] == ["t1", "t0", *[f"t{i}" for i in range(2, 60)]] and {r.event_count for r in m} == {5} and jobs == [("source", "of", "v")]
+    for i in (0, 7, 59):
+        ids = [json.loads(x)["after"]["id"] for f in sorted((tmp_path / f"out/batch=0/source=s/of=lab.t{i}/v=1").glob("*.json")) for x in f.read_text().splitlines()]
+        assert ids == [str(i + 60 * k) for k in range(5)]
+
+
+def test_a_failed_batch_leaves_nothing_listed(spark, tmp_path):
+    """A row that can't be decoded fails a task of the job: no file is listed, and the batch run again is there once."""
+    good = [begin(1), relation(9, "t"), *[insert(9, str(i), "x") for i in range(50)], commit()]
+    writer = BatchWriter(str(tmp_path / "out"))
+    with pytest.raises(Exception, match="s, message 20"):
+        writer(raw(spark, [*good[:19], good[19][:-2], *good[20:]]), 0)
+    assert not (tmp_path / "out/manifest").exists()
+    writer(raw(spark, good), 0)
+    writer(raw(spark, good), 0)
+    assert [(r.event_count, r.table) for r in spark.read.parquet(str(tmp_path / "out/manifest")).collect()] == [(50, "t")] and spark.read.json(str(tmp_path / "out/batch=0")).count() == 50
+
+
+def test_a_connection_that_ends_inside_a_transaction():
+    """The server sends it again from its beginning; so does one that ends inside a segment."""
+    class Ending(Player):
+        cut = 5
+
+        def messages(self, after):
+            yield from (x for x in self.log[: self.cut] if x[0] > after)
+
+    client = Ending([*transaction(1, 48), *transaction(2, 96)])
+    r = live(client, max_events=1)
+    rows, at = r.read({"lsn": 0, "seq": 0})
+    assert len(list(rows)) == 3 and at["lsn"] == 48
+    rows, at = r.read(at)
+    assert list(rows) == [] and at["lsn"] == 48
+    client.cut = 6
+    rows, at = r.read(at)
+    assert [x[3][:1] for x in rows] == [b"B", b"I", b"C"] and at["lsn"] == 96
+    assert list(r.read(at)[0]) == []
+
+
 def test_typed_files(spark, tmp_path):
     BatchWriter(str(tmp_path / "out"), "parquet", typed=True)(raw(spark), 0)
-    a = spark.read.parquet(str(tmp_path / "out/batch=0/lab.a/v1"))
+    a = spark.read.parquet(str(tmp_path / "out/batch=0/source=s/of=lab.a/v=1"))
     assert dict(a.select("after.*").dtypes) == {"id": "int", "note": "string", "day": "date"} and a.count() == 3
-    assert spark.read.parquet(str(tmp_path / "out/batch=0/lab.a/v2")).count() == 2
+    assert spark.read.parquet(str(tmp_path / "out/batch=0/source=s/of=lab.a/v=2")).count() == 2
 
 
 def test_capture_files(spark, tmp_path):

@@ -76,3 +76,41 @@ class FileClient:
     def confirm(self, lsn):
         with open(self.path + ".confirmed", "a") as f:
             f.write(f"{lsn}\n")
+
+
+class SlotLogs:
+    """Logs of several slots as files of hex lines, <path>/<slot>; positions are line numbers. Each read and confirmation is noted in <path>/notes."""
+
+    def __init__(self, options):
+        self.path = options["path"]
+
+    def _log(self, slot):
+        try:
+            with open(f"{self.path}/{slot}") as f:
+                return [(i, bytes.fromhex(x)) for i, x in enumerate(f.read().split(), 1)]
+        except FileNotFoundError:
+            return []
+
+    def _safe(self, slot):
+        from changeloom.sources.landing import safe_positions
+
+        return safe_positions(self._log(slot))
+
+    def upto(self, slot, after, most):
+        later = [p for p in self._safe(slot) if p > after]
+        return max([p for p in later if p <= after + most], default=later[0] if later else after)
+
+    def cuts(self, slot, start, end, parts):
+        inside = [p for p in self._safe(slot) if start < p < end]
+        return sorted({inside[len(inside) * k // parts] for k in range(1, parts)}) if inside else []
+
+    def read(self, slot, start, end):
+        self._note(f"read {slot} {start} {end}")
+        return ((p, 16 * p, d) for p, d in self._log(slot) if start < p <= end)
+
+    def confirm(self, slot, position):
+        self._note(f"confirm {slot} {position}")
+
+    def _note(self, text):
+        with open(f"{self.path}/notes", "a") as f:
+            f.write(text + "\n")

@@ -2,39 +2,46 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from changeloom.operators.ordered import at_or_after, placed, running_count, settled
+
 
 def cut_batches(transactions: DataFrame, max_events: int = 1000, max_wait_micros: int | None = None) -> DataFrame:
     """transactions (source_id, commit_lsn, xid, n_events, clock_micros) -> the same with batch_id, from 0 within the source.
 
-    A batch ends at the first commit where it has max_events or more, or where the clock has reached the time of the batch's first events plus the wait.
-    Cutting starts anew after each batch, which no window frame says; it is one pass over one narrow row per transaction, in order, with two numbers of state.
+    A batch ends at the first commit where it has max_events or more, or where the clock has reached the time of the batch's first events plus the wait; a clock that goes back stands still.
+    Where a batch would end that began at a transaction is looked up for each: by count in the running sums, by time in the clock. The beginnings that do occur are those that lead from the first one on; they are found by doubling: in
+    each round all that are known lead on by as many batches as there are known ones, so the rounds are log2 of the batches. No source is one task.
     """
-
-    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        source, number, events, began = None, 0, 0, None
-        for batch in batches:
-            ids = []
-            for s, n, clock in batch[["source_id", "n_events", "clock_micros"]].itertuples(index=False):
-                if s != source:
-                    source, number, events, began = s, 0, 0, None
-                if n and began is None:
-                    began = clock
-                events += n
-                ids.append(number)
-                late = max_wait_micros is not None and began is not None and clock >= began + max_wait_micros
-                if events and (events >= max_events or late):
-                    number, events, began = number + 1, 0, None
-            yield batch.assign(batch_id=ids)[["source_id", "commit_lsn", "xid", "n_events", "batch_id"]]
-
-    rows = transactions.select("source_id", "commit_lsn", "xid", F.col("n_events").cast("long").alias("n_events"), "clock_micros")
-    ordered = rows.repartition("source_id").sortWithinPartitions("source_id", "commit_lsn", "xid")
-    return ordered.mapInPandas(fold, "source_id string, commit_lsn long, xid long, n_events long, batch_id long")
+    by = ["source_id"]
+    rows = transactions.select("source_id", "commit_lsn", "xid", F.col("n_events").cast("long").alias("n_events"), F.col("clock_micros").alias("clock"))
+    log = settled(placed(rows, by, ["commit_lsn", "xid"], total=F.col("n_events"), top_clock=F.col("clock")), "cuts-log")
+    before = F.col("total") - F.col("n_events")
+    ends = at_or_after(log.select("source_id", F.col("place").alias("begin"), (before + max(max_events, 1)).alias("total"), before.alias("held")), log, by, "total", "place", "full")
+    if max_wait_micros is None:
+        ends = ends.select("source_id", "begin", F.col("full").alias("end"))
+    else:
+        # the first transaction with events, whose time counts
+        first = at_or_after(ends.select("source_id", "begin", "full", (F.col("held") + 1).alias("total")), log.withColumn("mark", F.struct("place", F.col("top_clock").alias("clock"))), by, "total", "mark", "first")
+        due = first.where(F.col("first").isNotNull()).select("source_id", "begin", "full", F.col("first.place").alias("first"), (F.col("first.clock") + max_wait_micros).alias("top_clock"))
+        late = at_or_after(due, log, by, "top_clock", "place", "late")
+        ends = late.select("source_id", "begin", F.least("full", F.greatest("late", F.when(F.col("late").isNotNull(), F.col("first")))).alias("end"))
+    leads = settled(ends.where(F.col("end").isNotNull()).select("source_id", F.col("begin").alias("place"), (F.col("end") + 1).alias("next")), "cuts-leads")
+    begins, known = log.where("place = 1").select("source_id", "place"), 0
+    while True:
+        further = begins.join(leads, ["source_id", "place"]).select("source_id", F.col("next").alias("place"))
+        begins = settled(begins.unionByName(further), "cuts-begins")
+        found = begins.count()
+        if found == known:
+            break
+        known = found
+        twice = leads.select("source_id", F.col("place").alias("next"), F.col("next").alias("then"))
+        leads = settled(leads.join(twice, ["source_id", "next"]).select("source_id", "place", F.col("then").alias("next")), "cuts-leads")
+    marked = log.join(begins.withColumn("begins", F.lit(True)), ["source_id", "place"], "left")
+    counted = running_count(marked, by, "place", F.col("begins").isNotNull(), "batch")
+    return counted.select("source_id", "commit_lsn", "xid", "n_events", (F.col("batch") - 1).alias("batch_id"))
 
 
 def batch_totals(cut: DataFrame) -> DataFrame:

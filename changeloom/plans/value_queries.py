@@ -268,7 +268,7 @@ def decode_capture_stream(spark: SparkSession, d: str) -> DataFrame:
 GROUPS = 10
 
 
-@query(f"""WITH g AS (SELECT o_orderkey, list_transform(range(1, {GROUPS}), i -> lpad(((o_orderkey * 7919 * i + i) % 10000)::VARCHAR, 4, '0')) AS parts FROM orders)
+@query(f"""WITH g AS (SELECT o_orderkey, list_transform(range(1, {GROUPS}), lambda i: lpad(((o_orderkey * 7919 * i + i) % 10000)::VARCHAR, 4, '0')) AS parts FROM orders)
   SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN '-' ELSE '' END || (o_orderkey % 90 + 10) || array_to_string(parts[1:6], '') || '.' || array_to_string(parts[7:9], '') AS amount FROM g""")
 def decode_numerics(spark: SparkSession, d: str) -> DataFrame:
     """Numerics of 38 digits in binary form: ten groups of four digits, of which the first has two, and twelve places after the point."""

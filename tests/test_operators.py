@@ -135,3 +135,35 @@ def test_row_image_checks_lengths(spark):
     df = spark.sql("SELECT array(named_struct('name', 'a')) AS c, array(named_struct('kind', 't', 'text', 'x'), named_struct('kind', 'n', 'text', CAST(NULL AS STRING))) AS v")
     with pytest.raises(Exception, match="differ"):
         df.select(E.row_image(F.col("c"), F.col("v"))).collect()
+
+
+def plain_cuts(rows, most, wait):
+    """One pass in order; rows: source, lsn, xid, events, clock."""
+    out, state = [], {}
+    for source, lsn, xid, n, clock in sorted(rows):
+        number, events, began, now = state.get(source, (0, 0, None, None))
+        now = clock if now is None else max(now, clock)
+        began = now if n and began is None else began
+        events += n
+        out.append((source, lsn, xid, n, number))
+        if events and (events >= most or (wait is not None and now >= began + wait)):
+            number, events, began = number + 1, 0, None
+        state[source] = (number, events, began, now)
+    return sorted(out)
+
+
+@pytest.mark.parametrize("seed, most, wait", [(1, 5, None), (2, 1, None), (3, 7, 20), (4, 1000, 3), (5, 4, 0)])
+def test_cuts_against_a_pass_in_order(spark, seed, most, wait):
+    """Empty transactions, equal positions, clocks that stand still or go back; no Python in the plan."""
+    import random
+
+    rng, rows = random.Random(seed), []
+    for source in "abc":
+        clock = 1000
+        for i in range(rng.randrange(1, 120)):
+            clock += rng.choice([0, 0, 1, 2, 9, -1])
+            rows.append((source, i // 2 * 1000, i, rng.choice([0, 0, 1, 2, 3, 12]), clock))
+    df = spark.createDataFrame(rows, "source_id string, commit_lsn long, xid long, n_events long, clock_micros long")
+    got = cut_batches(df, most, wait)
+    assert sorted(map(tuple, got.collect())) == plain_cuts(rows, most, wait)
+    assert "Python" not in got._jdf.queryExecution().executedPlan().toString()

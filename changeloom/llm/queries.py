@@ -25,4 +25,5 @@ ORACLES = {
     "op4_tool_calls": tool_calls.ORACLE,
     "op7_secret_scans": secrets.ORACLE,
     "op8_url_filters": url_filters.ORACLE,
+    "op11_conversation_repair": repair.ORACLE,
 }

@@ -333,3 +333,41 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = every.alias("e").join(found.alias("r"), same("e", "r"), "left").join(holes.alias("g"), same("e", "g"), "left")
     count = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
     return joined.select("e.conv_id", count("gaps"), *[count(c) for c in ("blank", "duplicate", "truncated", "illegal", "cost")], F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
+ORACLE = r"""
+WITH RECURSIVE crc AS (SELECT list_transform(range(256), lambda n: list_reduce([n, 1, 2, 3, 4, 5, 6, 7, 8], lambda a, k: CASE WHEN a & 1 = 1 THEN xor(3988292384, a >> 1) ELSE a >> 1 END)) AS t),
+o AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+h AS (SELECT o.*, xor(list_reduce(list_concat([4294967295], list_transform(string_split(k, ''), lambda c: ascii(c)::BIGINT)), lambda a, b: xor(t[(xor(a, b) & 255) + 1], a >> 8)), 4294967295) % 20 AS kind FROM o, crc),
+m AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+        unnest(CASE kind WHEN 0 THEN [] WHEN 3 THEN [1, 2] ELSE [1] END) AS copy FROM h),
+n AS (SELECT *, row_number() OVER w AS i, count(*) OVER (PARTITION BY conv_id) AS n, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen, lag(role) OVER w AS before FROM m
+      WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role COLLATE "binary", text COLLATE "binary", copy)),
+f AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'b' WHEN seen > 1 THEN 'd' WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 't' ELSE '' END AS fault, left(role, 1) AS r FROM n),
+-- cheapest edits that end at the start, after s, after u, after a, as [cost, audit]: first with inserts before the turn, then with the turn's own edit
+w AS (SELECT conv_id, 0::BIGINT AS i, {'c': 0, 'a': ''} AS z, NULL::STRUCT(c INTEGER, a VARCHAR) AS s, NULL::STRUCT(c INTEGER, a VARCHAR) AS u, NULL::STRUCT(c INTEGER, a VARCHAR) AS e FROM f GROUP BY conv_id
+  UNION ALL
+  SELECT conv_id, i, dz,
+    list_min([ds, CASE WHEN r = 's' AND free THEN {'c': z.c + cut, 'a': z.a || 'K'} END]),
+    list_min([du, CASE WHEN r = 'u' AND free THEN {'c': pu.c + cut, 'a': pu.a || 'K'} END, CASE WHEN free THEN {'c': pu.c + cut + 3, 'a': pu.a || 'R'} END]),
+    list_min([de, CASE WHEN r = 'a' AND free AND iu IS NOT NULL THEN {'c': iu.c + cut, 'a': iu.a || 'K'} END, CASE WHEN free AND iu IS NOT NULL THEN {'c': iu.c + cut + 3, 'a': iu.a || 'R'} END])
+  FROM (SELECT *, list_min([z, s, ie]) AS pu, CASE WHEN z IS NOT NULL THEN {'c': z.c + 4, 'a': z.a || 'D'} END AS dz, CASE WHEN s IS NOT NULL THEN {'c': s.c + 4, 'a': s.a || 'D'} END AS ds,
+          CASE WHEN iu IS NOT NULL THEN {'c': iu.c + 4, 'a': iu.a || 'D'} END AS du, CASE WHEN ie IS NOT NULL THEN {'c': ie.c + 4, 'a': ie.a || 'D'} END AS de
+        FROM (SELECT *, list_min([e, CASE WHEN iu IS NOT NULL THEN {'c': iu.c + 3, 'a': iu.a || 'I'} END]) AS ie
+              FROM (SELECT w.conv_id, f.i, w.z, w.s, w.u, w.e, f.r, f.fault IN ('', 't') AS free, CASE WHEN f.fault = 't' THEN 3 ELSE 0 END AS cut,
+                      list_min([w.u, {'c': w.z.c + 3, 'a': w.z.a || 'I'}, CASE WHEN w.s IS NOT NULL THEN {'c': w.s.c + 3, 'a': w.s.a || 'I'} END, CASE WHEN w.e IS NOT NULL THEN {'c': w.e.c + 3, 'a': w.e.a || 'I'} END]) AS iu
+                    FROM w JOIN f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i + 1)))),
+b AS (SELECT w.conv_id, list_min([w.z, w.e, CASE WHEN w.u IS NOT NULL THEN {'c': w.u.c + 3, 'a': w.u.a || 'I'} END, CASE WHEN w.s IS NOT NULL THEN {'c': w.s.c + 6, 'a': w.s.a || 'II'} END]) AS best
+      FROM w JOIN (SELECT DISTINCT conv_id, n FROM f) l ON l.conv_id IS NOT DISTINCT FROM w.conv_id AND l.n = w.i),
+-- the audit's edits, with the turn that each but an insert takes and the role that the grammar asks for
+x AS (SELECT conv_id, best.a AS audit, unnest(string_split(best.a, '')) AS edit, generate_subscripts(string_split(best.a, ''), 1) AS p FROM b WHERE best.a <> ''),
+y AS (SELECT *, count(*) FILTER (edit <> 'I') OVER (PARTITION BY conv_id ORDER BY p) AS i FROM x),
+g AS (SELECT y.conv_id, y.p, y.edit, f.role, f.text, f.r, count(*) FILTER (y.edit <> 'D' AND NOT (y.edit = 'K' AND f.r = 's')) OVER (PARTITION BY y.conv_id ORDER BY y.p) AS spoken FROM y LEFT JOIN f ON f.conv_id IS NOT DISTINCT FROM y.conv_id AND f.i = y.i),
+t AS (SELECT conv_id, string_agg(CASE edit WHEN 'K' THEN role || ':' || text WHEN 'R' THEN CASE spoken % 2 WHEN 1 THEN 'user' ELSE 'assistant' END || ':' || text ELSE CASE spoken % 2 WHEN 1 THEN 'user' ELSE 'assistant' END || ':' END, chr(10) ORDER BY p) AS told
+      FROM g WHERE edit <> 'D' GROUP BY conv_id),
+k AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+        count(*) FILTER (i > 1 AND left(before, 1) || r NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY conv_id)
+SELECT c.conv_id, coalesce(k.gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.c, 0)::BIGINT AS cost,
+  coalesce(best.a, '') AS audit, sha256(coalesce(told, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN k ON k.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN b ON b.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN t ON t.conv_id IS NOT DISTINCT FROM c.conv_id
+"""

@@ -132,6 +132,19 @@ def test_repair_of_the_table(spark):
     assert {tuple(r) for r in repair.op11_conversation_repair(spark, SF).collect()} == plain_repair(rows)
 
 
+def test_sql_of_repair():
+    """The query's SQL against the plain version, on awkward rows."""
+    import duckdb
+
+    rng = random.Random(3)
+    texts = ["Fine.", "No end", "", " \t", "Why?", "A! ", None, "ü…", "One. Two."]
+    rows = [(c if c else None, rng.choice([None, *range(12)]) if c % 5 == 0 else t, rng.choice(["user", "assistant", "user", "assistant", "system", "tool", "", None]), rng.choice(texts) if rng.random() < 0.4 else f"Turn {c} {t}.") for c in range(60) for t in range(rng.randrange(1, 9))]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE conversations(conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
+    assert set(con.execute(repair.ORACLE).fetchall()) == plain_repair(rows)
+
+
 def test_repair_empty(spark, tmp_path):
     assert repaired(spark, [], tmp_path) == set()
 

@@ -77,6 +77,35 @@ def relation_asof(changes: DataFrame, relations: DataFrame, strict: bool = True)
     return filled.select("source_id", "relation_id", "seq", "_change.*", "relation")
 
 
+def relation_valid(changes: DataFrame, relations: DataFrame, strict: bool = True, bins: int = 1024) -> DataFrame:
+    """As relation_asof, of definitions that mostly repeat one another: changes of any width meet, in an equi-join, the stretch of the log in which a definition holds, and are never sorted.
+
+    An equal definition sent again changes nothing, so definitions become stretches of one value; each is listed in all of up to ``bins`` parts of the log's span that it reaches into. A table with a third of all changes
+    is thus many keys, and few stretches are broadcast by Spark's own measure of their size.
+    """
+    by = ["source_id", "relation_id"]
+    order = Window.partitionBy(*by).orderBy("seq")  # definitions alone
+    again = F.lag("relation").over(order).eqNullSafe(F.col("relation")) & (F.row_number().over(order) > 1)
+    stretches = relations.select(*by, "seq", "relation", again.alias("again")).where("NOT again").withColumn("until", F.lead("seq").over(order))
+    low, high = changes.agg(F.min("seq"), F.max("seq")).first()
+    low, high = low or 0, high or 0
+    width = (high - low) // bins + 1
+    bin_of = lambda seq: F.floor((F.least(F.greatest(seq, F.lit(low)), F.lit(high)) - low) / width)
+    reach = F.sequence(bin_of(F.col("seq")), bin_of(F.coalesce(F.col("until") - 1, F.lit(high))))
+    listed = stretches.select(*[F.col(c).alias(f"of_{c}") for c in by], F.col("seq").alias("since"), "until", "relation", F.explode(reach).alias("bin")).alias("s")
+    others = [c for c in changes.columns if c not in (*by, "seq")]
+    met = changes.alias("c").join(
+        listed,
+        (F.col("c.source_id") == F.col("s.of_source_id")) & (F.col("c.relation_id") == F.col("s.of_relation_id")) & (bin_of(F.col("c.seq")) == F.col("s.bin"))
+        & (F.col("c.seq") >= F.col("s.since")) & (F.col("s.until").isNull() | (F.col("c.seq") < F.col("s.until"))),
+        "left" if strict else "inner",
+    )
+    relation = F.col("s.relation")
+    if strict:
+        relation = F.when(F.col("s.since").isNull(), F.raise_error(F.concat(F.lit("no definition of table "), F.col("c.relation_id").cast("string"))).cast(relations.schema["relation"].dataType)).otherwise(relation)
+    return met.select(*[F.col(f"c.{c}") for c in (*by, "seq", *others)], relation.alias("relation"))
+
+
 def chunked(rows: DataFrame, by: list[str], order: list[str], size: int) -> DataFrame:
     """Snapshot rows with chunk: every ``size`` rows of a table, in order; a chunk never spans tables.
 

@@ -81,13 +81,18 @@ def aborted_ranges(log: DataFrame) -> DataFrame:
     return narrow.repartition(*of).sortWithinPartitions(*of, "seq").mapInPandas(fold, f"{types}, from_seq long, to_seq long")
 
 
-def without_aborted(changes: DataFrame, ranges: DataFrame) -> DataFrame:
-    """changes (source_id, xid, seq, ...) outside all aborted ranges of their xid, in the same source and incarnation."""
-    inside = (changes["seq"] >= ranges["from_seq"]) & (changes["seq"] <= ranges["to_seq"])
-    for c in ranges.columns:
-        if c not in ("from_seq", "to_seq"):
-            inside = inside & (changes[c] == ranges[c])
-    return changes.join(ranges, inside, "left_anti")
+def without_aborted(changes: DataFrame, ranges: DataFrame, width: int = RANGE) -> DataFrame:
+    """changes (source_id, xid, seq, ...) outside all aborted ranges of their xid, in the same source and incarnation.
+
+    Ranges are listed in all stretches of ``width`` of the log that they reach into, so a transaction with a third of all changes is as many keys as it has stretches.
+    """
+    of = [c for c in ranges.columns if c not in ("from_seq", "to_seq")]
+    cell = lambda seq: F.floor(seq / width)
+    listed = ranges.select("*", F.explode(F.sequence(cell(F.col("from_seq")), cell(F.col("to_seq")))).alias("_cell")).alias("r")
+    inside = (F.col("c.seq") >= F.col("r.from_seq")) & (F.col("c.seq") <= F.col("r.to_seq")) & (cell(F.col("c.seq")) == F.col("r._cell"))
+    for c in of:
+        inside = inside & (F.col(f"c.{c}") == F.col(f"r.{c}"))
+    return changes.alias("c").join(listed, inside, "left_anti")
 
 
 def replay_position(changes: DataFrame) -> DataFrame:

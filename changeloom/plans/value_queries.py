@@ -257,7 +257,7 @@ def decode_capture_binary(spark: SparkSession, d: str) -> DataFrame:
     kind = D.message_kind(F.col("data"))
     relation = D.decode(log, kinds="R").select("source_id", "relation_id", "seq", "relation")
     changes = log.where(kind == "I").select("source_id", D.peek_relation(F.col("data")).alias("relation_id"), "seq", "recv_lsn", kind.alias("kind"), "data")
-    return _rows(D.decode_rows(E.relation_asof(changes, relation)))
+    return _rows(D.decode_rows(E.relation_valid(changes, relation)))
 
 
 @query(BACK + " WHERE true")

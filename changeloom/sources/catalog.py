@@ -45,12 +45,3 @@ def snapshot_query(schema: str, table: str, columns: list[str], row_filter: str
     """What the server runs for a table's snapshot; values come as text, the row filter is the publication's own."""
     names = ", ".join(f"{quoted(c)}::text" for c in columns)
     return f"SELECT {names} FROM {quoted(schema)}.{quoted(table)}" + (f" WHERE {row_filter}" if row_filter else "")
-
-
-def jdbc_snapshot(spark, url: str, query: str, fetch_size: int = 10_000, snapshot: str | None = None, properties: dict[str, str] | None = None) -> DataFrame:
-    """A table's snapshot through Spark's JDBC source, in the exported snapshot if one is named."""
-    reader = spark.read.format("jdbc").option("url", url).option("query", query).option("fetchsize", fetch_size)
-    if snapshot:
-        escaped = snapshot.replace("'", "''")
-        reader = reader.option("isolationLevel", "REPEATABLE_READ").option("sessionInitStatement", f"SET TRANSACTION SNAPSHOT '{escaped}'")
-    return reader.options(**(properties or {})).load()

@@ -1,6 +1,9 @@
 """The initial snapshot as batches of raw messages: a table's rows as of the slot's consistent point, kind s, between a begin and a commit of transaction 0.
 
-Rows come as text through the client: tables(publication) lists what is published, rows(query, snapshot, fetch_size) iterates over a query's rows in the exported snapshot.
+Rows come as text through the client: query(sql) answers from the catalog, rows(query, snapshot, fetch_size) iterates over a query's rows in the exported snapshot.
+
+The live source reads tables one after the other (`Snapshot`). SnapshotSource reads them in many tasks: a task is a table's range of pages, on a connection of its own that takes over the same exported
+snapshot, so all tasks see the tables as of one point. Whoever exported the snapshot must keep that connection open until the tasks have begun.
 """
 
 from __future__ import annotations
@@ -9,6 +12,8 @@ import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+
 from changeloom.sources.catalog import snapshot_query
 from changeloom.sources.control import Options, literal
 
@@ -103,3 +108,73 @@ class Snapshot:
         begin = b"B" + struct.pack(">qqI", self.point, self.micros, 0)
         return [begin, _relation(table), *rows, b"C\0" + struct.pack(">qqq", self.point, self.point, self.micros)]
 
+
+#: A table's messages are numbered from its number * TABLE on, a range's from its number * PART on within the table.
+TABLE, PART = 1 << 48, 1 << 32
+RAW = "source_id string, seq long, recv_lsn long, data binary"
+
+
+@dataclass
+class Pages(InputPartition):
+    """Pages from low up to, not including, high (None: to the end) of a table; the first range brings the begin and the definition, the last one the commit."""
+
+    number: int
+    table: Table
+    part: int
+    low: int
+    high: int | None
+
+
+class SnapshotSource(DataSource):
+    """spark.read.format("pg_snapshot").options(client=..., publication=..., slot=..., snapshot=..., point=..., micros=...): RAW messages, a transaction a table, rows of kind s.
+
+    Options: client ("module:factory", importable where Spark's Python runs), those of control.Options by name, snapshot (the exported snapshot's name), point (the position that it shows), micros (the commit time,
+    microseconds since 2000; 0), pages (of a task; 16384, which is 128 MB).
+    """
+
+    @classmethod
+    def name(cls) -> str:
+        return "pg_snapshot"
+
+    def schema(self) -> str:
+        return RAW
+
+    def reader(self, schema) -> "SnapshotReader":
+        return SnapshotReader(self.options)
+
+
+class SnapshotReader(DataSourceReader):
+    def __init__(self, options):
+        from changeloom.sources.capture import client_of
+
+        self.client_of, self.given, self.options = client_of, dict(options), Options.of(options)
+        self.name, self.point, self.micros, self.pages = self.given["snapshot"], int(self.given["point"]), int(self.given.get("micros", 0)), int(self.given.get("pages", 16384))
+        if self.pages < 1:
+            raise ValueError("pages: at least 1")
+
+    def partitions(self) -> list[Pages]:
+        """Ranges by the tables' sizes now; rows that come later than the snapshot aren't seen in it, and a table's last range has no end."""
+        client, out = self.client_of(self.given), []
+        tables = [t for t in published(client, self.options.publication) if self.options.captures(t.schema, t.name)]
+        for number, table in enumerate(tables):
+            size = int(client.query(f"SELECT pg_relation_size({table.relation_id}) / current_setting('block_size')::bigint")[0][0])
+            lows = range(0, max(size, 1), self.pages)
+            if len(lows) >= TABLE // PART:
+                raise ValueError(f"{table.schema}.{table.name} has too many ranges of {self.pages} pages")
+            out += [Pages(number, table, k, low, low + self.pages if k + 1 < len(lows) else None) for k, low in enumerate(lows)]
+        return out
+
+    def read(self, part: Pages) -> Iterator[tuple]:
+        t, first = part.table, part.number * TABLE
+        bounds = [f"ctid >= '({part.low},0)'::tid"] * (part.low > 0) + [f"ctid < '({part.high},0)'::tid"] * (part.high is not None)
+        wanted = " AND ".join([f"({t.row_filter})"] * bool(t.row_filter) + bounds) or None
+        row = lambda at, data: (self.options.slot, first + at, self.point, data)
+        if part.part == 0:
+            yield row(0, b"B" + struct.pack(">qqI", self.point, self.micros, 0))
+            yield row(1, _relation(t))
+        at = part.part * PART + 2
+        for values in self.client_of(self.given).rows(snapshot_query(t.schema, t.name, [c[0] for c in t.columns], wanted), self.name, self.options.snapshot_fetch_size):
+            yield row(at, _row(t, list(values)))
+            at += 1
+        if part.high is None:
+            yield row(TABLE - 1, b"C\0" + struct.pack(">qqq", self.point, self.point, self.micros))

@@ -47,7 +47,7 @@ def resolved_changes(raw: DataFrame, known: DataFrame | None = None) -> DataFram
     of = F.when(F.col("kind") == "T", peek_truncated(F.col("data"))).otherwise(F.array(peek_relation(F.col("data"))))
     wanted = placed.join(transactions_of(raw), ["source_id", "_n"], "left").drop("_n").select("*", F.posexplode(of).alias("ord", "relation_id"))
     versions = definitions(raw, known).select("source_id", "relation_id", "seq", F.struct("relation", "schema_version").alias("relation"))
-    found = events.relation_asof(wanted, versions)
+    found = events.relation_valid(wanted, versions)
     return found.select("source_id", "relation_id", "seq", "ord", "kind", "recv_lsn", "data", F.col("relation.relation").alias("relation"), F.col("relation.schema_version").alias("schema_version"), "xid", "commit_micros")
 
 

@@ -147,3 +147,26 @@ def test_errors_name_their_message(stateful, tmp_path, log, said):
     with pytest.raises(Exception, match=said):
         query.processAllAvailable()
     query.stop()
+
+
+def test_snapshot_by_ranges_of_pages(spark, tmp_path):
+    """A table's rows come from several tasks, each in the one exported snapshot, and are those of one scan; what follows reads them as the snapshot's events."""
+    from pyspark.sql import functions as F
+
+    from changeloom.sources.snapshot import SnapshotReader, SnapshotSource
+    from changeloom.streaming.apply import change_events, resolved_changes
+
+    spark.dataSource.register(SnapshotSource)
+    read = lambda **options: spark.read.format("pg_snapshot").options(client="wire:PagedTables", path=str(tmp_path), publication="p", slot="s", snapshot="snap-1", point="8192", **options).load()
+    rows = read(pages="2")
+    assert rows.rdd.getNumPartitions() == 5
+    found = change_events(resolved_changes(rows)).orderBy("seq").collect()
+    assert [(r.table, r.operation, r.after["id"], r.after["name"], r.xid, r.lsn_num) for r in found] == [("customers", "snapshot", i, n, 0, 8192) for i, n in (("1", "Ada"), ("2", None), ("3", "Cy"), ("4", "Di"), ("5", "Ed"), ("6", "Flo"))] + [("toasts", "snapshot", "9", "x", 0, 8192)]
+    asked = set((tmp_path / "asked").read_text().splitlines())
+    assert {x.split()[0] for x in asked} == {"snap-1"} and sum("customers" in x for x in asked) == 3
+    assert any(x.endswith("""FROM "lab"."customers" WHERE ctid >= '(2,0)'::tid AND ctid < '(4,0)'::tid""") for x in asked) and any(x.endswith('FROM "lab"."toasts" WHERE (id < 10)') for x in asked)
+    whole = lambda df: sorted(bytes(r.data) for r in df.where(F.substring("data", 1, 1) == b"s").collect())
+    assert whole(read(pages="1")) == whole(read(pages="1000")) == whole(rows)
+    assert {r.seq for r in read(table_pattern="toasts").collect()} == {0, 1, 2, (1 << 48) - 1}
+    with pytest.raises(ValueError, match="pages"):
+        SnapshotReader({"client": "x", "snapshot": "s", "point": "1", "pages": "0"})

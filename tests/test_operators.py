@@ -167,3 +167,30 @@ def test_cuts_against_a_pass_in_order(spark, seed, most, wait):
     got = cut_batches(df, most, wait)
     assert sorted(map(tuple, got.collect())) == plain_cuts(rows, most, wait)
     assert "Python" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("bins", [1, 3, 1000])
+def test_definitions_by_stretches(spark, bins):
+    """As the as-of join, for definitions that repeat, change and change back, and tables without one; changes aren't sorted."""
+    import random
+
+    from pyspark.errors import PySparkException
+
+    rng = random.Random(bins)
+    made = spark.createDataFrame([(s, t, i * 3, (rng.choice("AAAB"),)) for s in "ab" for t in (1, 2) for i in range(40)], "source_id string, relation_id long, seq long, relation struct<v:string>")
+    changes = spark.createDataFrame([(s, rng.choice([1, 2, 3]), i + 0, f"p{i}") for s in "abc" for i in range(150)], "source_id string, relation_id long, seq long, payload string")
+    shown = lambda df: sorted((r.source_id, r.relation_id, r.seq, r.payload, r.relation.v) for r in df.collect())
+    got = E.relation_valid(changes, made, strict=False, bins=bins)
+    assert shown(got) == shown(E.relation_asof(changes, made, strict=False)) != []
+    with pytest.raises(PySparkException, match="no definition of table"):
+        E.relation_valid(changes, made, bins=bins).collect()
+    assert E.relation_valid(changes.limit(0), made).count() == 0
+
+
+@pytest.mark.parametrize("width", [1, 7, 1 << 20])
+def test_aborted_stretches_of_one_large_transaction(spark, width):
+    changes = spark.createDataFrame([("s", 1, i) for i in range(100)] + [("s", 2, i) for i in range(100)] + [("t", 1, 5)], "source_id string, xid long, seq long")
+    ranges = spark.createDataFrame([("s", 1, 10, 19), ("s", 1, 15, 40), ("s", 1, 90, 200), ("s", 2, 3, 3)], "source_id string, xid long, from_seq long, to_seq long")
+    got = without_aborted(changes, ranges, width)
+    assert got.columns == ["source_id", "xid", "seq"]
+    assert sorted(map(tuple, got.collect())) == sorted([("s", 1, i) for i in range(100) if not (10 <= i <= 40 or i >= 90)] + [("s", 2, i) for i in range(100) if i != 3] + [("t", 1, 5)])

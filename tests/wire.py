@@ -1,5 +1,6 @@
 """Messages of the protocol, built by hand."""
 
+import re
 import struct
 
 
@@ -114,3 +115,27 @@ class SlotLogs:
     def _note(self, text):
         with open(f"{self.path}/notes", "a") as f:
             f.write(text + "\n")
+
+
+class PagedTables:
+    """Three tables whose rows lie on pages; what is asked for is noted in <path>/asked."""
+
+    tables = {"customers": [[("1", "Ada"), ("2", None)], [], [("3", "Cy")], [("4", "Di"), ("5", "Ed")], [("6", "Flo")]], "none": [], "toasts": [[("9", "x")]]}
+
+    def __init__(self, options):
+        self.path = options["path"]
+
+    def query(self, sql):
+        if "pg_publication_tables" in sql:
+            return [(100 + i, "lab", t, "d", "id < 10" if t == "toasts" else None, c, oid, -1, c == "id") for i, t in enumerate(self.tables) for c, oid in (("id", 23), ("name", 25))]
+        if "pg_relation_size" in sql:
+            return [(len(list(self.tables.values())[int(re.search(r"size\((\d+)", sql)[1]) - 100]),)]
+        return [(160000,)]
+
+    def rows(self, query, snapshot, fetch_size):
+        with open(f"{self.path}/asked", "a") as f:
+            f.write(f"{snapshot} {fetch_size}: {query}\n")
+        low = re.search(r"ctid >= '\((\d+),0", query)
+        high = re.search(r"ctid < '\((\d+),0", query)
+        pages = self.tables[re.search(r'"\."(\w+)"', query)[1]]
+        return iter([r for page in pages[int(low[1]) if low else 0 : int(high[1]) if high else None] for r in page])

@@ -112,18 +112,32 @@ def annotate(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text
     return spread_join(docs.withColumn("blob", blob_of(text_or_empty(text))), found, "blob").withColumns(counts | {"spans": F.coalesce("spans", F.lit(""))})
 
 
-def incremental(states: Iterable[DataFrame], folder: str, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
-    """Findings of all blobs of the states of a corpus, one after the other. After each, its findings and then its ledger rows are appended to the tables in folder; the next scans what the ledger lacks."""
-    ledger = findings = None
-    for docs in states:
+def incremental(states: Iterable[DataFrame], folder: str, rules: tuple[Rule, ...] = RULES, text: str = "text", first: int = 0) -> DataFrame:
+    """Findings of all blobs of the states of a corpus, one after the other, ``first`` being the number of the first one given: each scans what the ledger lacks.
+
+    A state's findings and then its ledger rows, the sign that it is done, are written under its number in folder. A run that stopped in between writes the same numbers again and skips what is done, so
+    nothing is listed twice; a later run goes on with further numbers.
+    """
+    parts = lambda name, upto: [f"{folder}/{name}/state={n}" for n in range(upto)]
+    schemas = {"findings": "blob string, kind int, start long, end long", "ledger": "blob string, kind string, version int"}
+    for number, docs in enumerate(states, first):
         spark = docs.sparkSession
+        ledger = spark.read.schema(schemas["ledger"]).parquet(*parts("ledger", number)) if number else None
+        here = {name: f"{folder}/{name}/state={number}" for name in schemas}
+        if _done(spark, here["ledger"]):
+            continue
         found, rows = scan(docs, rules, ledger, text), ledger_rows(docs, rules, text)
         if ledger is not None:
             rows = rows.join(ledger, ["blob", "kind", "version"], "left_anti")
-        found.write.mode("append").parquet(f"{folder}/findings")
-        rows.write.mode("append").parquet(f"{folder}/ledger")
-        findings, ledger = (spark.read.schema(df.schema).parquet(f"{folder}/{name}") for df, name in ((found, "findings"), (rows, "ledger")))
-    return findings
+        found.select("blob", "kind", F.col("start").cast("long"), F.col("end").cast("long")).write.mode("overwrite").parquet(here["findings"])
+        rows.write.mode("overwrite").parquet(here["ledger"])
+    return spark.read.schema(schemas["findings"]).parquet(*parts("findings", number + 1))
+
+
+def _done(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written to its end."""
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
 
 
 def states_of(docs: DataFrame) -> list[DataFrame]:

@@ -268,6 +268,18 @@ def test_query_scans_by_ledger(spark, awkward, tmp_path, monkeypatch):
     assert findings.count() == findings.distinct().count()
 
 
+def test_a_scan_that_stopped_is_repeated(spark, tmp_path):
+    """Between a state's findings and its ledger, and between two states: the same findings as of a run that went through, each once; a further state goes on from there."""
+    docs = spark.createDataFrame([(i, f"token: abcdef{i:05d}") for i in range(20)], "doc_id long, text string")
+    states = [docs.where("doc_id < 8"), docs.where("doc_id < 15")]
+    folder, plain_rows = str(tmp_path / "ledger"), lambda df: sorted(map(tuple, df.collect()))
+    want = plain_rows(secrets.incremental(states, str(tmp_path / "whole")))
+    secrets.scan(states[0]).write.parquet(f"{folder}/findings/state=0")  # stopped before its ledger
+    assert plain_rows(secrets.incremental(states, folder)) == want == plain_rows(secrets.incremental(states, folder)) and len(want) == 15
+    more = secrets.incremental([docs], folder, first=2)
+    assert plain_rows(more)[:0] == [] and more.count() == 20 and more.distinct().count() == 20
+
+
 # -- URLs ------------------------------------------------------------------------------------------------------------------
 
 

@@ -1,13 +1,14 @@
 """The pipeline's stages on small tables, each against a plain version."""
 
 import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as P
 from changeloom.llm import quality
-from test_corpus_operators import plain_groups, plain_spans, words
+from test_corpus_operators import plain_groups, plain_spans, plain_targets, words
 
 SF = "/root/testdata/sf0.001"
 
@@ -77,7 +78,34 @@ def test_mix(spark, docs):
     for r in out.collect():
         taken[r.source] = taken.get(r.source, 0) + len(words(r.text))
         rows[r.doc_id, r.text] -= 1
-    assert min(rows.values()) >= -2 * 2 and abs(sum(taken.values()) - sum(size.values())) < 0.2 * sum(size.values())
+    assert min(rows.values()) >= -2 * 2
+    # each source is within its largest document of its target
+    target, largest = plain_targets(size), {}
+    for r in docs.collect():
+        largest[r.source] = max(largest.get(r.source, 0), len(words(r.text)))
+    assert all(abs(taken.get(s, 0) - target[s]) <= largest[s] for s in size)
+
+
+def test_encode(spark, docs):
+    """Ids with the end and decoded texts are the library's."""
+    import hashlib
+
+    import public_tokenizers
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    want = []
+    for r in docs.collect():
+        ids = library.encode(r.text or "", add_eos=True)
+        want.append((r.doc_id, len(ids), sha(" ".join(map(str, ids))), sha(library.decode(ids))))
+    got = [(r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in P.encode(spark, docs, SF).collect()]
+    assert Counter(got) == Counter(want)
+
+
+def test_empty_tables(spark, docs):
+    for _, stage in P.STAGES:
+        assert stage(spark, docs.limit(0), SF).count() == 0
 
 
 def test_run(spark):

@@ -170,3 +170,49 @@ def test_snapshot_by_ranges_of_pages(spark, tmp_path):
     assert {r.seq for r in read(table_pattern="toasts").collect()} == {0, 1, 2, (1 << 48) - 1}
     with pytest.raises(ValueError, match="pages"):
         SnapshotReader({"client": "x", "snapshot": "s", "point": "1", "pages": "0"})
+
+
+def test_counters_and_warnings_of_a_running_query(stateful, tmp_path, caplog):
+    """What was read reaches the listener, added up over batches; more retained log than allowed is warned of once a minute, and a failed query is counted."""
+    import time
+
+    from changeloom.sources.control import Options
+    from changeloom.streaming.monitor import Monitor, watched
+
+    class Server:
+        def query(self, sql):
+            return [(50 << 20,)]
+
+    monitor = Monitor(Server(), Options(slot="s", wal_warn_bytes=1 << 20))
+    stateful.streams.addListener(monitor)
+    log = [x for k in range(6) for x in (begin(k + 1), *([relation(9)] if k == 0 else []), insert(9, str(k), "x"), commit())]
+    put(tmp_path, "s", log)
+
+    def play():
+        landed = stateful.readStream.format("pg_landing").options(client="wire:SlotLogs", path=str(tmp_path), slots="s", max_messages="10").load()
+        query = assembled(watched(landed)).writeStream.foreachBatch(lambda df, n: df.count()).option("checkpointLocation", str(tmp_path / "checkpoint")).start()
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+        return query
+
+    def arrives(key, value, query):
+        for _ in range(100):
+            if monitor.counters.get(str(query.id), {}).get(key) == value:
+                return True
+            time.sleep(0.2)
+        return False
+
+    try:
+        query = play()
+        assert arrives("messages", len(log), query), monitor.counters
+        held = monitor.counters[str(query.id)]
+        assert (held["changes"], held["commits"], held["definitions"], held["last_lsn"]) == (6, 6, 1, 16 * len(log)) and held["batches"] >= 2 and held["bytes"] == sum(map(len, log))
+        assert sum("keeps 50 MB" in r.message for r in caplog.records) == 1
+        put(tmp_path, "s", [stream_commit(77)])
+        with pytest.raises(Exception, match="isn't known"):
+            play()
+        assert arrives("failures", 1, query)
+    finally:
+        stateful.streams.removeListener(monitor)

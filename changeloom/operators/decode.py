@@ -24,6 +24,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from changeloom.functions import values as V
+from changeloom.operators import tuples
 from changeloom.operators.transactions import segment_membership
 
 CELL = "struct<kind:string,text:string,bin:binary>"
@@ -209,7 +210,7 @@ def _cell_column(rows: list[list[dict] | None], kind: pa.DataType) -> pa.Array:
 def decode_rows(changes: DataFrame) -> DataFrame:
     """changes (source_id, seq, recv_lsn, data: an I, U, D or T outside a segment, relation, ...) with old_kind, old and new instead of data: cells as text.
 
-    Binary values are turned into text in the same pass. ``bin`` stays with cells that came in binary and have no value here (kind n) or no mapping (their text is hex).
+    A batch's tuples are read all at once (tuples.py), message by message where anything in it is unusual. Binary values are turned into text in the same pass. ``bin`` stays with cells that came in binary and have no value here (kind n) or no mapping (their text is hex).
     """
     others = [c for c in changes.columns if c not in ("source_id", "seq", "recv_lsn", "data")]
     of = others.index("relation") + 4
@@ -220,8 +221,13 @@ def decode_rows(changes: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = _messages(batch, [False] * batch.num_rows)
             columns = pc.struct_field(batch.column(of), "columns")
+            others_of = [batch.column(i) for i in range(len(others) + 4) if i != 3]
+            at_once = tuples.rows_of(batch.column(3), columns, list(shape)[-3:], binary_text, MAPPED)
+            if at_once is not None:
+                yield pa.RecordBatch.from_arrays([*others_of, *at_once], schema=shape)
+                continue
+            rows = _messages(batch, [False] * batch.num_rows)
             if any(c["kind"] == "b" for r in rows for side in ("old", "new") for c in r.get(side) or ()):
                 for i, (r, oids) in enumerate(zip(rows, _type_oids(columns), strict=True)):
                     for side in ("old", "new"):
@@ -230,7 +236,7 @@ def decode_rows(changes: DataFrame) -> DataFrame:
                                 r[side] = [_as_text(cell, oid) for cell, oid in zip(r[side], oids, strict=True)]
                             except ValueError as e:
                                 raise ProtocolError(f"{batch.column(0)[i]}, message {batch.column(1)[i]}: {e}") from e
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(others) + 4) if i != 3), *(_column(rows, f) for f in list(shape)[-3:])], schema=shape)
+            yield pa.RecordBatch.from_arrays([*others_of, *(_column(rows, f) for f in list(shape)[-3:])], schema=shape)
 
     return source.mapInArrow(run, schema)
 

@@ -124,3 +124,44 @@ def test_decode_fails_on_bad_bytes(spark):
     raw = spark.createDataFrame([("s", 1, 16, b"Q")], "source_id string, seq long, recv_lsn long, data binary")
     with pytest.raises(Exception, match="unknown kind"):
         decode(raw).collect()
+
+
+def test_tuples_of_a_batch_at_once(spark, monkeypatch):
+    """The same rows as message by message: all kinds of messages and cells, types with and without a mapping, text that isn't UTF-8, tables of many widths."""
+    import random
+
+    from changeloom.operators import tuples
+
+    rng, kinds = random.Random(9), {23: lambda: struct.pack(">i", rng.randrange(-9, 9)), 20: lambda: struct.pack(">q", rng.randrange(-(2**60), 2**60)), 21: lambda: struct.pack(">h", -7), 25: lambda: "ü€ text".encode(), 16: lambda: b"\1", 701: lambda: struct.pack(">d", rng.choice([0.5, float("nan")])), 1700: lambda: numeric(1, 0, 0, 2, 7), 1186: lambda: b"\1\2", 17: lambda: b"\xff\0", 1082: lambda: struct.pack(">i", 2**31 - 1)}
+    rows, made, whole = [], [], 0
+    for table in range(6):
+        oids = [rng.choice(list(kinds)) for _ in range(rng.randrange(0, 7))]
+        made.append(relation(table, columns=tuple((f"c{i}", 0, o, -1) for i, o in enumerate(oids))))
+        value = lambda o: rng.choice([None, ..., "text", "", "é", kinds[o]()])  # noqa: B023, E731
+        row_ = lambda: [value(o) for o in oids]  # noqa: B023, E731
+        for _ in range(25):
+            rows.append((table, rng.choice([lambda: insert(table, *row_()), lambda: update(table, *row_()), lambda: update(table, *row_(), old=row_()), lambda: delete(table, *row_()), lambda: truncate(table, table), lambda: b"s" + insert(table, *row_())[1:]])()))  # noqa: B023
+    rows.append((0, rows[0][1]))
+    known = {i: r.relation for i, r in enumerate(decode(spark.createDataFrame([("s", i, i, d) for i, d in enumerate(made)], "source_id string, seq long, recv_lsn long, data binary")).orderBy("seq").collect())}
+    from changeloom.operators.decode import RELATION
+
+    df = spark.createDataFrame([("s", i, i, d, known[t]) for i, (t, d) in enumerate(rows)], f"source_id string, seq long, recv_lsn long, data binary, relation {RELATION}").coalesce(1)
+    shown = lambda: [tuple(r) for r in decode_rows(df).orderBy("seq").collect()]
+    fast = shown()
+    monkeypatch.setattr(tuples, "rows_of", lambda *_: None)
+    assert fast == shown() and len(fast) == len(rows)
+
+
+def test_unusual_batches_are_left_to_single_messages(spark):
+    import pyarrow as pa
+
+    from changeloom.operators import tuples
+    from changeloom.operators.decode import MAPPED, arrow_schema
+
+    shape = list(arrow_schema("old_kind string, old array<struct<kind:string,text:string,bin:binary>>, new array<struct<kind:string,text:string,bin:binary>>"))
+    columns = pa.array([[{"type_oid": 23}, {"type_oid": 25}]], pa.list_(pa.struct([("type_oid", pa.int64())])))
+    run = lambda d: tuples.rows_of(pa.array([d], pa.binary()), columns, shape, binary_text, MAPPED)
+    good = insert(9, struct.pack(">i", 5), "x")
+    assert [x.to_pylist() for x in run(good)] == [[None], [None], [[{"kind": "t", "text": "5", "bin": None}, {"kind": "t", "text": "x", "bin": None}]]]
+    bad = [good[:-1], good + b"\0", b"Q" + good[1:], good[:5] + b"K" + good[6:], insert(9, b"\0", "x"), insert(9, struct.pack(">i", 5)), insert(9, "1", "x")[:-1] + b"\xff", good[:8] + b"q" + good[9:], b"I", update(9, "1", "2", old=["1", "2"])[:-14], b"T" + struct.pack(">IB", 2, 0) + b"\0" * 4, good[:9] + b"\xff" + good[10:]]
+    assert [run(d) for d in bad] == [None] * len(bad)

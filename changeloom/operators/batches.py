@@ -12,8 +12,8 @@ def cut_batches(transactions: DataFrame, max_events: int = 1000, max_wait_micros
     """transactions (source_id, commit_lsn, xid, n_events, clock_micros) -> the same with batch_id, from 0 within the source.
 
     A batch ends at the first commit where it has max_events or more, or where the clock has reached the time of the batch's first events plus the wait; a clock that goes back stands still.
-    Where a batch would end that began at a transaction is looked up for each: by count in the running sums, by time in the clock. The beginnings that do occur are those that lead from the first one on; they are found by doubling: in
-    each round all that are known lead on by as many batches as there are known ones, so the rounds are log2 of the batches. No source is one task.
+    Where a batch would end that began at a transaction is looked up for each: by count in the running sums, by time in the clock. The beginnings that do occur are those that lead from the first one on; they are found by pointer
+    doubling, twice a round: each round's steps are four times as long as the last one's, so the rounds are log4 of the batches, and from the first beginning all others are reached by up to three steps of each length. No source is one task.
     """
     by = ["source_id"]
     rows = transactions.select("source_id", "commit_lsn", "xid", F.col("n_events").cast("long").alias("n_events"), F.col("clock_micros").alias("clock"))
@@ -29,16 +29,18 @@ def cut_batches(transactions: DataFrame, max_events: int = 1000, max_wait_micros
         late = at_or_after(due, log, by, "top_clock", "place", "late")
         ends = late.select("source_id", "begin", F.least("full", F.greatest("late", F.when(F.col("late").isNotNull(), F.col("first")))).alias("end"))
     leads = settled(ends.where(F.col("end").isNotNull()).select("source_id", F.col("begin").alias("place"), (F.col("end") + 1).alias("next")), "cuts-leads")
-    begins, known = log.where("place = 1").select("source_id", "place"), 0
-    while True:
-        further = begins.join(leads, ["source_id", "place"]).select("source_id", F.col("next").alias("place"))
-        begins = settled(begins.unionByName(further), "cuts-begins")
-        found = begins.count()
-        if found == known:
-            break
-        known = found
-        twice = leads.select("source_id", F.col("place").alias("next"), F.col("next").alias("then"))
-        leads = settled(leads.join(twice, ["source_id", "next"]).select("source_id", "place", F.col("then").alias("next")), "cuts-leads")
+    rounds = []
+    while not leads.isEmpty():
+        # one, two, three and four batches on; where there is none, a key that meets nothing, and not all the same one
+        hops = leads.withColumnRenamed("next", "n1")
+        for k in (1, 2, 3):
+            step = leads.select("source_id", F.col("place").alias("_at"), F.col("next").alias(f"n{k + 1}"))
+            hops = hops.withColumn("_at", F.coalesce(f"n{k}", -F.col("place"))).join(step, ["source_id", "_at"], "left").drop("_at")
+        rounds.append(settled(hops, "cuts-hops"))
+        leads = rounds[-1].where("n4 IS NOT NULL").select("source_id", "place", F.col("n4").alias("next"))
+    begins = log.where("place = 1").select("source_id", "place")
+    for hops in reversed(rounds):  # the longest steps first, while there are few to take them
+        begins = begins.join(hops, ["source_id", "place"], "left").select("source_id", F.explode(F.array_compact(F.array("place", "n1", "n2", "n3"))).alias("place"))
     marked = log.join(begins.withColumn("begins", F.lit(True)), ["source_id", "place"], "left")
     counted = running_count(marked, by, "place", F.col("begins").isNotNull(), "batch")
     return counted.select("source_id", "commit_lsn", "xid", "n_events", (F.col("batch") - 1).alias("batch_id"))

@@ -34,8 +34,8 @@ DIVIDER = "\x01"
 CHUNK = re.compile(r"[^ \t\n\r\x0b\x0c]+")
 #: Letters that stay letters in lower case.
 LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f]+")
-#: What str.split takes for white space, and the tokenizer doesn't.
-ODD = re.compile("[\x1c-\x1f]")
+#: What lower() or split() of a text may treat otherwise than the tokenizer does: characters beyond the first letters, and controls that split() takes for white space.
+UNPLAIN = re.compile("[\x1c-\x1f\u0130-\U0010ffff]")
 #: Entries of each half of the memo, and the longest chunk that it keeps.
 MEMO, KEPT = 400_000, 40
 #: Bytes of text that Python holds at once; one longer text is taken alone.
@@ -78,15 +78,24 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The texts' ids; what the memo lacks is learnt for all of them at once."""
-        chunks = [CHUNK.findall(t) if ODD.search(t) else t.split() for t in texts]
+        chunks = [self._chunks(t) for t in texts]
         memo = self.memo.get
         found = [list(map(memo, words)) for words in chunks]
-        lacking = {w for words, ids in zip(chunks, found) if None in ids for w, i in zip(words, ids) if i is None}
+        lacking = [(words, ids, [k for k, i in enumerate(ids) if i is None]) for words, ids in zip(chunks, found) if None in ids]
         if lacking:
-            met = self._met(lacking)
-            found = [[met[w] if i is None else i for w, i in zip(words, ids)] if None in ids else ids for words, ids in zip(chunks, found)]
+            met = self._met({words[k] for words, _, places in lacking for k in places})
+            for words, ids, places in lacking:
+                for k in places:
+                    ids[k] = met[words[k]]
         return [b"".join(ids) for ids in found]
 
+    @staticmethod
+    def _chunks(text: str) -> list[str]:
+        """What white space divides; plain text in lower case, which the tokenizer makes of it too, so that the memo has each word once."""
+        if UNPLAIN.search(text) is None and "<|" not in text:
+            return text.lower().split()
+        return CHUNK.findall(text)
+
     def _met(self, lacking: set[str]) -> dict[str, bytes]:
         """Ids of chunks that the younger half of the memo lacks, which then has them: from the older half, or through the library."""
         met = {w: i for w in lacking if (i := self.older.get(w)) is not None}
@@ -138,7 +147,7 @@ def write(docs: DataFrame, folder: str, vocabulary: str | None = None, end: int
     encoded = ranged.select("doc_id", "text").mapInArrow(run, schema)
     options = {
         "parquet.writer.version": "PARQUET_2_0", "parquet.block.size": group_bytes, "parquet.page.size": page_bytes, "parquet.dictionary.page.size": dictionary_bytes,
-        "parquet.enable.dictionary": "true", "parquet.enable.dictionary#doc_id": "false", "parquet.page.write-checksum.enabled": "true", "compression": "zstd",
+        "parquet.enable.dictionary": "true", "parquet.enable.dictionary#doc_id": "false", "parquet.page.write-checksum.enabled": "true", "compression": "snappy",
     }
     encoded.write.options(**options).parquet(folder)
 

@@ -9,7 +9,7 @@ from changeloom.functions import lsn as L
 from changeloom.operators import batches as B
 from changeloom.operators import events as E
 from changeloom.operators import transactions as X
-from changeloom.plans.feeds import SQL_E, SQL_L, changes, messages, seconds_of, transactions
+from changeloom.plans.feeds import SQL_E, SQL_L, changes, messages, read, seconds_of, transactions
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -96,8 +96,9 @@ def replay_order(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _per_transaction(spark: SparkSession, d: str) -> DataFrame:
-    counts = changes(spark, d).groupBy("xid").agg(F.count("*").alias("n_events"))
-    return transactions(spark, d).join(counts, "xid", "left").select("source_id", (F.col("base") + 63).alias("commit_lsn"), "xid", F.coalesce("n_events", F.lit(0)).alias("n_events"), (seconds_of(F.col("commit_ts")) * 1000000).alias("clock_micros"))
+    """A change has its order's key, so changes are counted by it before they meet their transactions."""
+    counts = read(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("*").alias("n_events"))
+    return transactions(spark, d).join(counts, "o_orderkey", "left").select("source_id", (F.col("base") + 63).alias("commit_lsn"), "xid", F.coalesce("n_events", F.lit(0)).alias("n_events"), (seconds_of(F.col("commit_ts")) * 1000000).alias("clock_micros"))
 
 
 CUT = """WITH RECURSIVE {feed}, n AS (SELECT t.source_id, t.base + 63 AS commit_lsn, t.xid, count(c.xid) AS n_events, epoch_us(any_value(t.commit_ts)) AS clock, row_number() OVER (PARTITION BY t.source_id ORDER BY t.base, t.xid) AS i

@@ -169,6 +169,37 @@ def test_cuts_against_a_pass_in_order(spark, seed, most, wait):
     assert "Python" not in got._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.mark.parametrize("seed, most, wait", [(1, 5, None), (2, 1, None), (3, 7, 20), (4, 1000, 3), (5, 4, 0), (6, 30, 400)])
+@pytest.mark.parametrize("cell", [1, 8])
+def test_cuts_over_many_cells(spark, seed, most, wait, cell):
+    """Batches longer than cells, cells without events or beginnings."""
+    import random
+
+    rng, rows = random.Random(seed), []
+    for source in "abc":
+        clock, quiet = 1000, False
+        for i in range(rng.randrange(1, 120)):
+            clock += rng.choice([0, 0, 1, 2, 9, -1])
+            quiet = quiet != (rng.random() < 0.1)
+            rows.append((source, i // 2 * 1000, i, 0 if quiet else rng.choice([0, 0, 1, 2, 3, 12]), clock))
+    df = spark.createDataFrame(rows, "source_id string, commit_lsn long, xid long, n_events long, clock_micros long")
+    got = cut_batches(df, most, wait, cell)
+    assert sorted(map(tuple, got.collect())) == plain_cuts(rows, most, wait)
+
+
+def test_cuts_write_few_rows(spark):
+    """Pointer doubling goes over the cells' open batches, not over transactions: what is written grows with the log, not with the log times its rounds."""
+    import pathlib
+
+    folder = pathlib.Path(spark.conf.get("spark.checkpoint.dir")) / "changeloom"
+    there = set(folder.glob("*"))
+    n = 20000
+    df = spark.range(n).selectExpr("'s' AS source_id", "id * 64 AS commit_lsn", "id AS xid", "1L AS n_events", "id AS clock_micros")
+    assert cut_batches(df, 10).agg(F.max("batch_id")).first()[0] == n // 10 - 1
+    assert sum(spark.read.parquet(str(p)).count() for p in set(folder.glob("*")) - there) < 3 * n
+
+
+
 @pytest.mark.parametrize("bins", [1, 3, 1000])
 def test_definitions_by_stretches(spark, bins):
     """As the as-of join, for definitions that repeat, change and change back, and tables without one; changes aren't sorted."""

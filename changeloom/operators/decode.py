@@ -1,6 +1,6 @@
 """pgoutput messages: bytes to columns and back.
 
-decode() runs the codec over Arrow batches of (source_id, seq, recv_lsn, data) and makes their columns one by one. Kinds that nobody asked for are dropped by their first byte, before anything
+decode() runs the codec over Arrow batches of (source_id, seq, recv_lsn, data) and makes their columns one by one: those of changes for all messages at once (tuples.py), others message by message, repeated ones once. Kinds that nobody asked for are dropped by their first byte, before anything
 else. Whether a message lies in a streamed segment (and so carries a transaction id in front) is found from the markers S and E, with a forward fill that leaves no source in one task.
 What a join or filter needs of a message is read off its bytes by built-in functions (message_kind, peek_*), so changes meet their definitions as bytes, and decode_rows() decodes each once.
 A malformed message fails the query.
@@ -172,13 +172,28 @@ def decode(raw: DataFrame, streaming: bool = False, kinds: str | None = None) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = _messages(batch, batch.column(4).to_pylist())
-            held = {name: batch.column(i) for i, name in enumerate(("source_id", "seq", "recv_lsn"))}
-            yield pa.RecordBatch.from_arrays([held[f.name] if f.name in held else _column(rows, f) for f in shape], schema=shape)
+            made = tuples.messages_of(batch.column(3), batch.column(4), shape)
+            if made is None:
+                made = _once_each(batch, shape)
+            made |= {name: batch.column(i) for i, name in enumerate(("source_id", "seq", "recv_lsn"))}
+            yield pa.RecordBatch.from_arrays([made[f.name] if f.name in made else pa.nulls(batch.num_rows, f.type) for f in shape], schema=shape)
 
     return marked.select("source_id", "seq", "recv_lsn", "data", "in_stream").mapInArrow(run, MESSAGE)
 
 
+def _once_each(batch: pa.RecordBatch, shape: pa.Schema) -> dict[str, pa.Array]:
+    """Columns of a batch's messages, message by message; where most repeat others, as definitions do, each of them once."""
+    which = None
+    if batch.column(3).null_count == 0 and len(pc.unique(batch.column(4))) == 1:
+        found = pc.dictionary_encode(batch.column(3))
+        if 2 * len(found.dictionary) <= len(found):
+            which = found.indices
+            batch = batch.take(pa.array(np.unique(which.to_numpy(), return_index=True)[1]))
+    rows = _messages(batch, batch.column(4).to_pylist())
+    made = {f.name: _column(rows, f) for f in shape if f.name not in ("source_id", "seq", "recv_lsn")}
+    return made if which is None else {n: c.take(which) for n, c in made.items()}
+
+
 def _messages(batch: pa.RecordBatch, in_stream: list[bool]) -> list[dict]:
     """The messages of a batch (source_id, seq, recv_lsn, data, ...)."""
     rows = []

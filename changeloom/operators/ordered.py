@@ -78,9 +78,9 @@ def forward_fill(df: DataFrame, by: list[str], order: str, value: Column, name:
     """
     ranged = _ranged(df.withColumn("_v", value), order, width)
     carried = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    marks = ranged.where(F.col("_v").isNotNull()).groupBy(*by, "_range").agg(F.max_by("_v", order).alias("_last"))
     # every range, so that those without a marker hand on what they got
-    ends = ranged.select(*by, "_range").distinct().join(marks, [*by, "_range"], "left").withColumn("_before", F.last("_last", True).over(carried)).drop("_last")
+    marks = ranged.groupBy(*by, "_range").agg(F.max_by("_v", F.when(F.col("_v").isNotNull(), F.col(order))).alias("_last"))
+    ends = marks.withColumn("_before", F.last("_last", True).over(carried)).drop("_last")
     inside = Window.partitionBy(*by, "_range").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     return ranged.join(ends, [*by, "_range"]).withColumn(name, F.coalesce(F.last("_v", True).over(inside), F.col("_before"))).drop("_v", "_range", "_before")
 

@@ -114,6 +114,17 @@ def _texts(buf: np.ndarray, cells: Cells, oids: np.ndarray | None, text_of: Call
     return kinds, texts, pa.array(list(kept.values()), pa.binary()).take(pa.array(which, mask=which < 0))
 
 
+def _raw(buf: np.ndarray, cells: Cells) -> tuple[pa.Array, pa.Array, pa.Array]:
+    """kind, text and bin of the cells as they came."""
+    out = [pa.array(list("bntu")).take(pa.array(cells.kind))]
+    for code, kind in ((T, pa.string()), (B, pa.binary())):
+        which = np.flatnonzero(cells.kind == code)
+        place = np.full(len(cells.kind), -1, np.int64)
+        place[which] = np.arange(len(which))
+        out.append(_strings(*_cut(buf, cells.start[which], cells.size[which]), kind).take(pa.array(place, mask=place < 0)))
+    return tuple(out)
+
+
 def rows_of(data: pa.Array, columns: pa.ListArray, shape: list[pa.Field], text_of: Callable, mapped: set[int]) -> list[pa.Array] | None:
     """Messages of kinds I, U, D, T and s outside segments -> the columns old_kind, old and new (shape: their fields), or None."""
     try:
@@ -122,14 +133,58 @@ def rows_of(data: pa.Array, columns: pa.ListArray, shape: list[pa.Field], text_o
         return None
 
 
-def _rows_of(data: pa.Array, columns: pa.ListArray, shape: list[pa.Field], text_of: Callable, mapped: set[int]) -> list[pa.Array]:
+def messages_of(data: pa.Array, in_stream: pa.Array, shape: pa.Schema) -> dict[str, pa.Array] | None:
+    """Messages of kinds I, U, D, T and s, in segments or not -> the columns (of shape) that they have, cells as they came, or None."""
+    try:
+        buf, start, end = _bytes(data)
+        inside = in_stream.to_numpy(zero_copy_only=False).astype(bool) & (buf[start] != ord("s"))
+        body = start + 4 * inside  # a transaction's id lies before it
+        _need(end - body >= 6)
+        kind = buf[start]
+        old_kind, old, new = _rows_of(data, None, [shape.field(n) for n in ("old_kind", "old", "new")], None, set(), 4 * inside)
+        truncates = kind == ord("T")
+        made = {
+            "kind": pa.array([chr(i) for i in range(128)]).take(pa.array(kind)), "in_stream": in_stream, "stream_xid": pa.array(_number(buf, start + 1), mask=~inside),
+            "relation_id": pa.array(_number(buf, body + 1), mask=truncates), "old_kind": old_kind, "old": old, "new": new,
+        }
+        if truncates.any():
+            made["truncate"] = _truncates(buf, body, truncates, shape.field("truncate").type)
+        return made
+    except Unusual:
+        return None
+
+
+def _truncates(buf: np.ndarray, body: np.ndarray, truncates: np.ndarray, kind: pa.StructType) -> pa.Array:
+    at = body[truncates]
+    n, flags = _number(buf, at + 1), buf[at + 5]
+    to = np.concatenate(([0], np.cumsum(n)))
+    ids = pa.ListArray.from_arrays(pa.array(to, pa.int32()), pa.array(_number(buf, np.repeat(at + 6 - 4 * to[:-1], n) + 4 * np.arange(to[-1]))))
+    parts = [pa.array((flags & 1) != 0), pa.array((flags & 2) != 0), ids]
+    whole = pa.StructArray.from_arrays([p.cast(f.type) for p, f in zip(parts, kind)], fields=list(kind))
+    place = np.cumsum(truncates) - 1
+    return whole.take(pa.array(place, mask=~truncates))
+
+
+def _number(buf: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The four-byte numbers at these places."""
+    return sum((buf[at + i].astype(np.int64) << (24 - 8 * i) for i in range(4)), np.zeros(len(at), np.int64))
+
+
+def _bytes(data: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The batch's buffer, and where each message begins and ends."""
     n = len(data)
     _need(n > 0 and data.null_count == 0)
     offsets = np.frombuffer(data.buffers()[1], np.int32)[data.offset : data.offset + n + 1].astype(np.int64)
-    buf = np.frombuffer(data.buffers()[2], np.uint8)
-    start, end = offsets[:-1], offsets[1:]
-    _need(end - start >= 6)
-    kind, second = buf[start], buf[start + 5]
+    _need(np.diff(offsets) >= 6)
+    return np.frombuffer(data.buffers()[2], np.uint8), offsets[:-1], offsets[1:]
+
+
+def _rows_of(data: pa.Array, columns: pa.ListArray | None, shape: list[pa.Field], text_of: Callable | None, mapped: set[int], skipped: np.ndarray | int = 0) -> list[pa.Array]:
+    """skipped: bytes between a message's kind and what follows it; without columns, cells stay as they came."""
+    n = len(data)
+    buf, start, end = _bytes(data)
+    kind, start = buf[start], start + skipped
+    second = buf[start + 5]
     is_a = lambda codes, letters: np.isin(codes, [ord(c) for c in letters])
     truncates = kind == ord("T")
     _need(is_a(kind, "IUDTs") & (truncates | np.where(is_a(kind, "Is"), second == ord("N"), np.where(kind == ord("D"), is_a(second, "KO"), is_a(second, "KON")))))
@@ -153,18 +208,19 @@ def _rows_of(data: pa.Array, columns: pa.ListArray, shape: list[pa.Field], text_
         at[rows] = cells.after
     _need(truncates | (at == end))
 
-    first, held = columns.offsets.to_numpy().astype(np.int64), np.diff(columns.offsets.to_numpy())
-    types = columns.values.field("type_oid").to_numpy(zero_copy_only=False)
+    if columns is not None:
+        first, held = columns.offsets.to_numpy().astype(np.int64), np.diff(columns.offsets.to_numpy())
+        types = columns.values.field("type_oid").to_numpy(zero_copy_only=False)
 
     def column(field: pa.Field) -> pa.Array:
         if field.name not in sides:
             return pa.nulls(n, field.type)
         rows, cells = sides[field.name]
         oids, sizes = None, np.diff(cells.ends)
-        if (cells.kind == B).any():
+        if columns is not None and (cells.kind == B).any():
             _need(sizes == held[rows])
             oids = types[np.repeat(first[rows] - cells.ends[:-1], sizes) + np.arange(cells.ends[-1])].astype(np.int64)
-        parts = _texts(buf, cells, oids, text_of, mapped)
+        parts = _texts(buf, cells, oids, text_of, mapped) if columns is not None else _raw(buf, cells)
         whole = pa.StructArray.from_arrays([p.cast(f.type) for p, f in zip(parts, field.type.value_type)], fields=list(field.type.value_type))
         per_row = np.zeros(n, np.int64)
         per_row[rows] = sizes

@@ -165,3 +165,34 @@ def test_unusual_batches_are_left_to_single_messages(spark):
     assert [x.to_pylist() for x in run(good)] == [[None], [None], [[{"kind": "t", "text": "5", "bin": None}, {"kind": "t", "text": "x", "bin": None}]]]
     bad = [good[:-1], good + b"\0", b"Q" + good[1:], good[:5] + b"K" + good[6:], insert(9, b"\0", "x"), insert(9, struct.pack(">i", 5)), insert(9, "1", "x")[:-1] + b"\xff", good[:8] + b"q" + good[9:], b"I", update(9, "1", "2", old=["1", "2"])[:-14], b"T" + struct.pack(">IB", 2, 0) + b"\0" * 4, good[:9] + b"\xff" + good[10:]]
     assert [run(d) for d in bad] == [None] * len(bad)
+
+
+def test_batches_at_once_as_message_by_message():
+    """Changes in segments and outside, with each kind of cell, and truncates; definitions that repeat are read once."""
+    import random
+    from unittest import mock
+
+    import pyarrow as pa
+
+    from changeloom.operators import decode as D
+    from changeloom.operators import tuples
+
+    rng, four = random.Random(3), lambda n: n.to_bytes(4, "big")
+    cell = lambda: rng.choice([b"n", b"u", b"t" + four(3) + "aé".encode(), b"t" + four(0), b"b" + four(2) + b"\x00\xff"])
+    row = lambda: b"\x00\x03" + cell() + cell() + cell()
+    bodies = [lambda: b"I" + four(70000) + b"N" + row(), lambda: b"U" + four(7) + b"K" + row() + b"N" + row(), lambda: b"U" + four(7) + b"N" + row(), lambda: b"D" + four(2**31) + b"O" + row(), lambda: b"T" + four(2) + b"\x03" + four(5) + four(2**32 - 1), lambda: b"T" + four(0) + b"\x01"]
+    inside = [rng.random() < 0.5 for _ in range(300)]
+    data = [(m[:1] + four(99) + m[1:] if i else m) for i in inside for m in [rng.choice(bodies)()]]
+    shape = D.arrow_schema(D.MESSAGE)
+    got = tuples.messages_of(pa.array(data), pa.array(inside), shape)
+    for field in shape:
+        expected = D._column([D.decode_message(m, i) for m, i in zip(data, inside)], field)
+        assert field.name in ("source_id", "seq", "recv_lsn") or (got[field.name].to_pylist() if field.name in got else [None] * 300) == expected.to_pylist(), field.name
+    assert tuples.messages_of(pa.array([data[0][:-1]]), pa.array(inside[:1]), shape) is None or data[0][:1] == b"T"
+    assert tuples.messages_of(pa.array([b"C" + b"\x00" * 25]), pa.array([False]), shape) is None
+
+    made = b"R" + four(5) + b"s\0t\0d\x00\x01\x01c\0" + four(20) + four(2**32 - 1)
+    batch = pa.record_batch([pa.array(["s"] * 9), pa.array(range(9)), pa.array(range(9)), pa.array([made] * 9), pa.array([False] * 9)], names=["source_id", "seq", "recv_lsn", "data", "in_stream"])
+    with mock.patch.object(D, "decode_message", wraps=D.decode_message) as once:
+        assert [r["name"] for r in D._once_each(batch, shape)["relation"].to_pylist()] == ["t"] * 9
+    assert once.call_count == 1

@@ -84,13 +84,17 @@ def relation_valid(changes: DataFrame, relations: DataFrame, strict: bool = True
     is thus many keys, and few stretches are broadcast by Spark's own measure of their size.
     """
     by = ["source_id", "relation_id"]
-    order = Window.partitionBy(*by).orderBy("seq")  # definitions alone
-    again = F.lag("relation").over(order).eqNullSafe(F.col("relation")) & (F.row_number().over(order) > 1)
-    stretches = relations.select(*by, "seq", "relation", again.alias("again")).where("NOT again").withColumn("until", F.lead("seq").over(order))
     low, high = changes.agg(F.min("seq"), F.max("seq")).first()
     low, high = low or 0, high or 0
     width = (high - low) // bins + 1
     bin_of = lambda seq: F.floor((F.least(F.greatest(seq, F.lit(low)), F.lit(high)) - low) / width)
+    order = Window.partitionBy(*by).orderBy("seq")
+    again = lambda order: F.lag("relation").over(order).eqNullSafe(F.col("relation")) & (F.row_number().over(order) > 1)
+    # within each part of the log first, so that of a table's definitions one a part is left, and those that differ
+    stretches = relations.select(*by, "seq", "relation")
+    for within in (Window.partitionBy(*by, bin_of(F.col("seq"))).orderBy("seq"), order):
+        stretches = stretches.withColumn("again", again(within)).where("NOT again").drop("again")
+    stretches = stretches.withColumn("until", F.lead("seq").over(order))
     reach = F.sequence(bin_of(F.col("seq")), bin_of(F.coalesce(F.col("until") - 1, F.lit(high))))
     listed = stretches.select(*[F.col(c).alias(f"of_{c}") for c in by], F.col("seq").alias("since"), "until", "relation", F.explode(reach).alias("bin")).alias("s")
     others = [c for c in changes.columns if c not in (*by, "seq")]

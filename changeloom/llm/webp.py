@@ -14,10 +14,12 @@ behind the first; equal texts give equal bytes; repeated rows and null ids are k
 from __future__ import annotations
 
 import hashlib
+import math
 import struct
 import zlib
 from collections.abc import Iterator
 from functools import cached_property, lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -30,11 +32,14 @@ BLOCK = 576  # bytes of payload, one row of pixels
 MOST_ROWS = 1 << 14
 #: Pixels that are compared at two places, the fewest and most that one copy takes, and how far back it may lie.
 LEAST, SHORTEST, LONGEST, FARTHEST = 4, 8, 4096, (1 << 20) - 120
-BITS = np.arange(8, dtype=np.uint32)
 #: Further bits of a length or distance by its prefix.
 MORE = np.maximum((np.arange(40) - 2) >> 1, 0)
-#: Bytes that are looked up together when reading.
-STRETCH = 1 << 16
+LOWEST = np.where(np.arange(40) < 4, np.arange(40), (2 + (np.arange(40) & 1)) << MORE) + 1
+MORE_MASK = (1 << MORE) - 1
+#: Bytes that are looked up together when reading: few enough for the arrays to stay in the processor's cache. Their bits, and each one's place in its byte.
+STRETCH = 1 << 13
+PLACES = np.arange(8 * STRETCH + 1)
+IN_BYTE = PLACES & 7
 PREDICTOR, CROSS_COLOUR, SUBTRACT_GREEN, PALETTE = range(4)
 #: Order in which the lengths of the code for code lengths are written; fixed values.
 LENGTH_ORDER = (17, 18, 0, 1, 2, 3, 4, 5, 16, 6, 7, 8, 9, 10, 11, 12, 13, 14, 15)
@@ -57,16 +62,6 @@ class Bits:
         self.at += n
         return value & ((1 << n) - 1)
 
-    def peek(self, n: int) -> int:
-        """The next n bits, zeros behind the end."""
-        first = self.at >> 3
-        return int.from_bytes(self.data[first : (self.at + n + 7) >> 3], "little") >> (self.at & 7) & ((1 << n) - 1)
-
-    def skip(self, n: int) -> None:
-        self.at += n
-        if self.at > 8 * len(self.data):
-            raise ValueError("the image ends too early")
-
 
 class PrefixCode:
     """A canonical prefix code from code lengths by symbol. ``array`` has, for the next ``width`` bits, the symbol * 16 + how many of them it takes."""
@@ -77,26 +72,20 @@ class PrefixCode:
         if self.only is not None:
             self.width, self.array = 0, np.array([self.only * 16])
             return
-        n = lengths[used]
-        if (1 << (15 - n)).sum() != 1 << 15:
+        n = lengths[used].astype(np.int64)
+        order = n.argsort(kind="stable")
+        n = n[order]
+        self.width = int(n[-1])
+        spans = 1 << (self.width - n)
+        if spans.sum() != 1 << self.width:
             raise ValueError("a prefix code isn't complete")
-        self.width = int(n.max())
-        order = np.lexsort((used, n))
-        spans = 1 << (self.width - n[order])
         # codes in order fill the table from the first bit down; the stream has the first bit lowest
-        self.array = np.repeat(used[order] * 16 + n[order], spans)[_reversed(self.width)]
+        self.array = np.repeat(used[order] * 16 + n, spans).take(_reversed(self.width))
 
     @cached_property
     def table(self) -> list[int]:
         return self.array.tolist()
 
-    def read(self, bits: Bits) -> int:
-        if not self.width:
-            return self.only
-        entry = int(self.array[bits.peek(self.width)])
-        bits.skip(entry & 15)
-        return entry >> 4
-
 
 @lru_cache(maxsize=16)
 def _reversed(width: int) -> np.ndarray:
@@ -107,42 +96,83 @@ def _reversed(width: int) -> np.ndarray:
     return out
 
 
-def _read_code(bits: Bits, size: int) -> PrefixCode:
+#: Numbers of 7 bits, turned around.
+TURNED = _reversed(7).tolist()
+
+
+def _small_code(lengths: list[int]) -> list[tuple[int, int, int]]:
+    """A code of few symbols and at most 7 bits: symbol, bits and code (first bit lowest), shortest first; a symbol alone takes none."""
+    used = sorted((n, s) for s, n in enumerate(lengths) if n)
+    if len(used) < 2:
+        return [(used[0][1] if used else 0, 0, 0)]
+    out, code = [], 0
+    for n, s in used:
+        out.append((s, n, TURNED[code & 127]))
+        code += 128 >> n
+    if code != 128:
+        raise ValueError("a prefix code isn't complete")
+    return out
+
+
+@lru_cache(maxsize=1024)
+def _short_code(size: int, *symbols: int) -> PrefixCode:
     lengths = np.zeros(size, np.int64)
+    lengths[list(symbols)] = 1
+    return PrefixCode(lengths)
+
+
+def _read_code(bits: Bits, size: int) -> PrefixCode:
     if bits.read(1):
         two = bits.read(1)
         first = bits.read(8 if bits.read(1) else 1)
-        lengths[first] = 1
-        if two:
-            lengths[bits.read(8)] = 1
-        return PrefixCode(lengths)
-    own = np.zeros(19, np.int64)
-    for i in range(4 + bits.read(4)):
-        own[LENGTH_ORDER[i]] = bits.read(3)
-    code = PrefixCode(own)
-    left = 2 + bits.read(2 + 2 * bits.read(3)) if bits.read(1) else size
+        return _short_code(size, first, bits.read(8)) if two else _short_code(size, first)
+    data, place = bits.data, (bits.at >> 3) + 32
+    buffer, held = int.from_bytes(data[place - 32 : place], "little") >> (bits.at & 7), 256 - (bits.at & 7)
+    own, n = [0] * 19, 4 + (buffer & 15)
+    buffer >>= 4
+    for symbol in LENGTH_ORDER[:n]:
+        own[symbol] = buffer & 7
+        buffer >>= 3
+    held -= 4 + 3 * n
+    code = _small_code(own)
+    width = code[-1][1]
+    mask, table_ = (1 << width) - 1, [0] * (1 << width)
+    for s, n, first in code:
+        table_[first :: 1 << n] = [16 * s + n] * (1 << (width - n))
+    left, n = size, 1
+    if buffer & 1:
+        more = 2 + 2 * (buffer >> 1 & 7)
+        left, n = 2 + (buffer >> 4 & ((1 << more) - 1)), 4 + more
+    buffer >>= n
+    held -= n
+    lengths = bytearray(size)
     at, before = 0, 8
     while at < size and left:
         left -= 1
-        s = code.read(bits)
+        if held < 32:
+            buffer |= int.from_bytes(data[place : place + 32], "little") << held
+            held, place = held + 256, place + 32
+        entry = table_[buffer & mask]
+        s, n = entry >> 4, entry & 15
+        buffer >>= n
+        held -= n
         if s < 16:
             lengths[at] = s
             at, before = at + 1, s or before
             continue
-        value, more = (before, 3 + bits.read(2)) if s == 16 else (0, 3 + bits.read(3)) if s == 17 else (0, 11 + bits.read(7))
+        value, least, n = (before, 3, 2) if s == 16 else (0, 3, 3) if s == 17 else (0, 11, 7)
+        more = least + (buffer & ((1 << n) - 1))
+        buffer >>= n
+        held -= n
         if at + more > size:
             raise ValueError("too many code lengths")
-        lengths[at : at + more] = value
+        if value:
+            lengths[at : at + more] = bytes([value]) * more
         at += more
-    return PrefixCode(lengths)
-
-
-def _run(symbol: int, bits: Bits) -> int:
-    """A length or distance from its prefix."""
-    if symbol < 4:
-        return symbol + 1
-    more = (symbol - 2) >> 1
-    return ((2 + (symbol & 1)) << more) + bits.read(more) + 1
+    bits.at = 8 * place - held
+    if bits.at > 8 * len(data):
+        raise ValueError("the image ends too early")
+    return PrefixCode(np.frombuffer(lengths, np.uint8))
 
 
 def _read_pixels(bits: Bits, width: int, height: int, main: bool) -> np.ndarray:
@@ -168,67 +198,70 @@ def _green(bits: Bits, width: int, n: int, green: PrefixCode, red: PrefixCode, b
 
     Stretches of STRETCH bytes are looked up at a time, so that the arrays stay small.
     """
-    out = np.zeros((n, 4), np.uint8)
-    out[:, 0], out[:, 2], out[:, 3] = red.only, blue.only, alpha.only
-    samples, at, place = bytearray(n), 0, bits.at
-    near = np.array([max(1, dx + dy * width) for dx, dy in NEAR])
-    greens = green.array.astype(np.int32)
-    while at < n:
+    samples, place = bytearray(), bits.at
+    near = _near_distances(width)
+    greens, mask = green.array, (1 << green.width) - 1
+    while len(samples) < n:
         first = place >> 3
         raw = bits.data[first : first + STRETCH + 16]
         m = min(len(raw), STRETCH)
-        wide = np.frombuffer(raw + bytes(24), np.uint8)
-        words = np.zeros(m + 16, np.int64)  # from each byte on, eight bytes
-        for k in range(8):
-            words |= wide[k : k + m + 16].astype(np.int64) << (8 * k)
+        words = np.ndarray(m + 16, "<i8", raw + bytes(24), 0, (1,)).copy()  # from each byte on, eight bytes
         ends = 8 * m
-        window = (words[:m, None].astype(np.uint32) >> BITS).ravel()
-        entry = greens[window & np.uint32((1 << green.width) - 1)]
-        after = np.arange(ends + 1, dtype=np.int32)
-        after[:ends] += entry & 15
-        copy = np.flatnonzero(entry >= 256 << 4)
-        after[copy] += _copy_bits(words, copy, entry[copy], far).astype(np.int32)
-        # steps of 1, 2, 4 and 8 symbols
-        one = np.minimum(after, ends)
-        two = one[one]
-        four = two[two]
-        step, p, walk = four[four].item, place - 8 * first, []
+        entry = greens.take(np.repeat(words[:m], 8) >> IN_BYTE[:ends] & mask, mode="clip")
+        one = PLACES[: ends + 1].copy()
+        one[:ends] += entry & 15
+        copy = (entry >= 256 << 4).nonzero()[0]
+        one[copy] += _copy_bits(words, copy, entry[copy], far)
+        p, walk = place - 8 * first, []
         if not green.width and green.only < 256:
-            walk = np.full(n - at, p)
+            walk = np.full(n - len(samples), p)
         else:
+            # steps of 1, 2, 4 and 8 symbols; what leads behind the stretch stays at its end
+            two = one.take(one, mode="clip")
+            four = two.take(two, mode="clip")
+            step = four.take(four, mode="clip").item
             while p < ends:
                 walk.append(p)
                 p = step(p)
             walk = np.array(walk, np.int64)
             for jump in (four, two, one):
-                walk = np.stack((walk, jump[walk]), 1).ravel()
+                both = np.empty((len(walk), 2), np.int64)
+                both[:, 0], both[:, 1] = walk, jump.take(walk, mode="clip")
+                walk = both.reshape(-1)
             walk = walk[walk < ends]
         if not len(walk):
             raise ValueError("the image ends too early")
-        symbol = entry[walk] >> 4
-        copied = np.flatnonzero(symbol >= 256)
-        length = np.ones(len(walk), np.int64)
-        length[copied], back = _copy(words, walk[copied], entry[walk[copied]], far)
-        starts = at + np.cumsum(length) - length
-        used = int(np.searchsorted(starts, n))
-        plain = np.flatnonzero(symbol[:used] < 256)
-        np.frombuffer(samples, np.uint8)[starts[plain]] = symbol[plain]
-        copied = copied[copied < used]
+        entry = entry[walk]
+        copied = (entry >= 256 << 4).nonzero()[0]
+        length, back = _copy(words, walk[copied], entry[copied], far)
         back = np.where(back > 120, back - 120, near[np.minimum(back, 120) - 1])
-        for a, k, d in zip(starts[copied].tolist(), length[copied].tolist(), back[: len(copied)].tolist(), strict=True):
+        # literals lie one behind the other, between copies
+        literals, used = (entry >> 4).astype(np.uint8).tobytes(), 0
+        for place, k, d in zip(copied.tolist(), length.tolist(), back.tolist(), strict=True):
+            a = len(samples) + place - used
+            if a >= n:
+                break
             if d > a or a + k > n:
                 raise ValueError("a back-reference leaves the image")
+            samples += literals[used:place]
             if k <= d:
-                samples[a : a + k] = samples[a - d : a - d + k]
+                samples += samples[a - d : a - d + k]
             else:
-                samples[a : a + k] = (samples[a - d : a] * (k // d + 1))[:k]
-        at = int(starts[used - 1] + length[used - 1])
-        place = 8 * first + int(after[walk[used - 1]])
+                samples += (samples[a - d : a] * (k // d + 1))[:k]
+            used = place + 1
+        rest = min(len(literals) - used, n - len(samples))
+        samples += literals[used : used + rest]
+        place = 8 * first + int(one[walk[used + rest - 1]])
         if place > 8 * len(bits.data):
             raise ValueError("the image ends too early")
     bits.at = place
-    out[:, 1] = np.frombuffer(samples, np.uint8)
-    return out
+    others = red.only | blue.only << 16 | alpha.only << 24
+    return (np.frombuffer(samples, np.uint8).astype("<u4") << 8 | np.uint32(others)).view(np.uint8).reshape(n, 4)
+
+
+@lru_cache(maxsize=8)
+def _near_distances(width: int) -> np.ndarray:
+    return np.array([max(1, dx + dy * width) for dx, dy in NEAR])
 
 
 def _copy_bits(words: np.ndarray, at: np.ndarray, entry: np.ndarray, far: PrefixCode) -> np.ndarray:
@@ -243,7 +276,7 @@ def _copy(words: np.ndarray, at: np.ndarray, entry: np.ndarray, far: PrefixCode)
     """Lengths, and codes of distances, of such copies."""
 
     def number(s: np.ndarray, at: np.ndarray) -> np.ndarray:
-        return np.where(s < 4, s, ((2 + (s & 1)) << MORE[s]) + (words[at >> 3] >> (at & 7) & ((1 << MORE[s]) - 1))) + 1
+        return LOWEST[s] + (words[at >> 3] >> (at & 7) & MORE_MASK[s])
 
     at = at + (entry & 15)
     s = (entry >> 4) - 256
@@ -451,63 +484,74 @@ class Writer:
 
     def __init__(self):
         self.value, self.size = 0, 0
-        self.parts: list[np.ndarray] = []
 
     def put(self, *pairs: tuple[int, int]) -> None:
         """Few numbers, one by one."""
+        value, size = self.value, self.size
         for v, n in pairs:
-            self.value |= v << self.size
-            self.size += n
-
-    def many(self, values: np.ndarray, sizes: np.ndarray) -> None:
-        self._flush()
-        held = sizes > 0
-        values, sizes = values[held], sizes[held]
-        at = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        self.parts.append((np.repeat(values, sizes) >> at & 1).astype(np.uint8))
-
-    def _flush(self) -> None:
-        raw = np.frombuffer(self.value.to_bytes((self.size + 7) // 8, "little"), np.uint8)
-        self.parts.append(np.unpackbits(raw, bitorder="little")[: self.size])
-        self.value = self.size = 0
+            value |= v << size
+            size += n
+        self.value, self.size = value, size
+
+    def many(self, values: np.ndarray, starts: np.ndarray, size: int) -> None:
+        """Numbers of up to 33 bits at these places within the next size bits, none over another."""
+        word, shifted = starts >> 5, values.view(np.uint64) << (starts & 31).view(np.uint64)
+        words = (size >> 5) + 2
+        # no two have a bit in common, so the sums of a word's parts stay below 2^32
+        low = np.bincount(word, shifted & np.uint64(0xFFFFFFFF), words) + np.bincount(word + 1, shifted >> np.uint64(32), words)
+        self.value |= int.from_bytes(low.astype("<u4").tobytes(), "little") << self.size
+        self.size += size
 
     def bytes(self) -> bytes:
-        self._flush()
-        return np.packbits(np.concatenate(self.parts), bitorder="little").tobytes()
+        return self.value.to_bytes((self.size + 7) // 8, "little")
 
 
 def code_lengths(counts: np.ndarray, most: int) -> np.ndarray:
     """Lengths of a best prefix code for these counts, at most ``most`` bits; a symbol alone has 1."""
     used = np.flatnonzero(counts)
     out = np.zeros(len(counts), np.int64)
-    if len(used) < 2:
-        out[used] = 1
-        return out
-    weights = counts[used].tolist()
+    out[used] = _depths(counts[used].tolist(), most)
+    return out
+
+
+def _depths(weights: list[int], most: int) -> list[int]:
+    """The same for counts above 0."""
+    n = len(weights)
+    if n < 2:
+        return [1] * n
     while True:
         # two queues: symbols by weight, and sums, which come out in order by themselves
-        order = sorted(range(len(weights)), key=weights.__getitem__)
-        n = len(order)
-        weight, up = [weights[i] for i in order], [0] * (2 * n - 1)
-        leaf, inner = 0, n
-        for new in range(n, 2 * n - 1):
-            total = 0
-            for _ in range(2):
-                if leaf < n and (inner >= new or weight[leaf] <= weight[inner]):
-                    pick, leaf = leaf, leaf + 1
-                else:
-                    pick, inner = inner, inner + 1
-                total += weight[pick]
-                up[pick] = new
-            weight.append(total)
-        depth = [0] * (2 * n - 1)
-        for i in range(2 * n - 3, -1, -1):
-            depth[i] = depth[up[i]] + 1
-        if max(depth[:n]) <= most:
-            break
+        order = sorted(range(n), key=weights.__getitem__)
+        leaves, sums = [*map(weights.__getitem__, order), math.inf], [math.inf] * n
+        up, leaf, inner = [0] * (2 * n - 1), 0, 0
+        for new in range(n - 1):
+            a, b = leaves[leaf], sums[inner]
+            if a <= b:
+                up[leaf] = new
+                leaf += 1
+                total, a = a, leaves[leaf]
+            else:
+                up[n + inner] = new
+                inner += 1
+                total, b = b, sums[inner]
+            if a <= b:
+                up[leaf] = new
+                leaf += 1
+                total += a
+            else:
+                up[n + inner] = new
+                inner += 1
+                total += b
+            sums[new] = total
+        deep = [0] * (n - 1)  # of the sums
+        for i in range(n - 3, -1, -1):
+            deep[i] = deep[up[n + i]] + 1
+        out = [0] * n
+        for i, k in zip(order, up):
+            out[i] = deep[k] + 1
+        if max(out) <= most:
+            return out
         weights = [w // 2 + 1 for w in weights]  # flatter, until it is short enough
-    out[used[order]] = depth[:n]
-    return out
 
 
 def _codes(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -516,10 +560,11 @@ def _codes(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if len(used) < 2:
         return codes, np.zeros(len(lengths), np.int64)
     n = lengths[used]
-    order = np.lexsort((used, n))
-    width = int(n.max())
-    starts = np.concatenate(([0], np.cumsum(1 << (width - n[order]))[:-1]))
-    codes[used[order]] = _reversed(width)[starts]  # a code's bits in the highest of width: turned around they are the lowest
+    order = n.argsort(kind="stable")
+    n = n[order]
+    width = int(n[-1])
+    spans = 1 << (width - n)
+    codes[used[order]] = _reversed(width)[spans.cumsum() - spans]  # a code's bits in the highest of width: turned around they are the lowest
     return codes, lengths
 
 
@@ -536,10 +581,10 @@ def _write_code(to: Writer, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     if len(used) == 1:  # a symbol that the short form can't name: a code of two, one of which never comes
         lengths[0] = 1
     # lengths as runs: of zeros by 17 and 18, of the one before by 16
-    edges = np.flatnonzero(np.diff(lengths)) + 1
+    edges = [0, *((lengths[1:] != lengths[:-1]).nonzero()[0] + 1).tolist(), len(lengths)]
     tokens: list[tuple[int, int, int]] = []
     before = 8
-    for value, run in zip(lengths[np.concatenate(([0], edges))].tolist(), np.diff(np.concatenate(([0], edges, [len(lengths)]))).tolist(), strict=True):
+    for value, run in zip(lengths[edges[:-1]].tolist(), [b - a for a, b in pairwise(edges)], strict=True):
         if value and value != before:
             tokens.append((value, 0, 0))
             run, before = run - 1, value
@@ -557,13 +602,16 @@ def _write_code(to: Writer, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]
                 k = 1
                 tokens.append((value, 0, 0))
             run -= k
-    symbols = np.array([t[0] for t in tokens])
-    of_lengths = code_lengths(np.bincount(symbols, minlength=19), 7)
+    times = [0] * 19
+    for t in tokens:
+        times[t[0]] += 1
+    of_lengths, met = [0] * 19, [s for s in range(19) if times[s]]
+    for s, n in zip(met, _depths([times[s] for s in met], 7), strict=True):
+        of_lengths[s] = n
     last = max(i for i, s in enumerate(LENGTH_ORDER) if of_lengths[s] or i < 4)
-    to.put((0, 1), (last - 3, 4), *((int(of_lengths[s]), 3) for s in LENGTH_ORDER[: last + 1]), (0, 1))
-    codes, sizes = (x.tolist() for x in _codes(of_lengths))
-    for s, more, n in tokens:
-        to.put((codes[s] | more << sizes[s], sizes[s] + n))
+    to.put((0, 1), (last - 3, 4), *((of_lengths[s], 3) for s in LENGTH_ORDER[: last + 1]), (0, 1))
+    codes = {s: (code, n) for s, n, code in _small_code(of_lengths)}
+    to.put(*[pair for s, more, n in tokens for pair in (codes[s], (more, n))])
     return _codes(lengths)
 
 
@@ -585,28 +633,32 @@ def copies_of(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     none = np.zeros(0, np.int64)
     if n < 2:
         return none, none, none
-    grams = x[:n].astype(np.uint32)
-    for k in range(1, LEAST):
-        grams |= x[k : k + n].astype(np.uint32) << np.uint32(8 * k)
+    grams = np.ndarray(n, "<u4", np.ascontiguousarray(x).tobytes(), 0, (1,)).copy()  # LEAST samples from each place on
     order = np.argsort((grams * np.uint32(0x9E3779B1) >> np.uint32(16)).astype(np.uint16), kind="stable")
-    same = grams[order[1:]] == grams[order[:-1]]
+    sorted_ = grams.take(order)
+    same = (sorted_[1:] == sorted_[:-1]).nonzero()[0]
+    later = order[same + 1]
     back = np.zeros(n + 1, np.int64)
-    back[order[1:][same]] = (order[1:] - order[:-1])[same]
-    back[back > FARTHEST] = 0
+    back[later] = later - order[same]
+    if n > FARTHEST:
+        back[back > FARTHEST] = 0
     # a copy lasts until the distance changes
-    turns = np.append(np.flatnonzero(back[1:] != back[:-1]) + 1, n + 1)
-    length = np.minimum(np.repeat(turns, np.diff(turns, prepend=0)) - np.arange(n + 1) + LEAST - 1, LONGEST)
-    starts = np.append(np.flatnonzero((back > 0) & (length >= SHORTEST)), n)
-    following = np.repeat(starts, np.diff(starts, prepend=-1)).item
-    last, p, taken = length.item, int(starts[0]), []
-    while p < n:
-        taken.append(p)
-        p += last(p)
-        p = following(p) if p < n else n
+    ends = (back[1:] != back[:-1]).nonzero()[0] + 1
+    if not len(ends):
+        return none, none, none
+    begins = np.concatenate(([0], ends[:-1]))
+    far = back[begins]
+    long = ((far > 0) & (ends - begins > SHORTEST - LEAST)).nonzero()[0]
+    p, taken = 0, []
+    for begin, end, d in zip(begins[long].tolist(), ends[long].tolist(), far[long].tolist(), strict=True):
+        p = max(p, begin)
+        while end - p > SHORTEST - LEAST:
+            k = min(end - p + LEAST - 1, LONGEST)
+            taken.append((p, k, d))
+            p += k
     if not taken:
         return none, none, none
-    taken = np.array(taken)
-    return taken, length[taken], back[taken]
+    return tuple(np.array(taken).T)
 
 
 @lru_cache(maxsize=8)
@@ -622,28 +674,31 @@ def _near_codes(width: int) -> np.ndarray:
 def _write_samples(to: Writer, x: np.ndarray, width: int) -> None:
     """The main image: green x, red and blue 0, alpha 255, with copies."""
     places, lengths, backs = copies_of(x)
-    edge = np.zeros(len(x) + 1, np.int8)
-    edge[places] += 1
-    edge[places + lengths] -= 1
-    literal = np.flatnonzero(np.cumsum(edge[:-1], dtype=np.int8) == 0)
+    free = np.ones(len(x), bool)
+    for begin, end in zip(places.tolist(), (places + lengths).tolist(), strict=True):
+        free[begin:end] = False
+    literal = free.nonzero()[0]
     symbol = x[literal].astype(np.int64)
-    length_symbol, length_more, length_bits = _prefixes(lengths)
     near = _near_codes(width)
-    back_symbol, back_more, back_bits = _prefixes(np.where(backs < len(near), near[np.minimum(backs, len(near) - 1)], backs + 120))
+    distances = np.where(backs < len(near), near[np.minimum(backs, len(near) - 1)], backs + 120)
+    (length_symbol, back_symbol), (length_more, back_more), (length_bits, back_bits) = (v.reshape(2, -1) for v in _prefixes(np.concatenate((lengths, distances))))
     counts = np.bincount(symbol, minlength=280) + np.bincount(length_symbol + 256, minlength=280)
     to.put((0, 1), (0, 1))  # neither a cache nor groups
     codes, sizes = _write_code(to, counts)
     for only in (0, 0, 255):
         to.put((1, 1), (0, 1), (1, 1), (only, 8))
     back_codes, back_sizes = _write_code(to, np.bincount(back_symbol, minlength=40))
-    # literals have one number, copies four, in the order of their places
-    at_literal = np.arange(len(literal)) + 4 * np.searchsorted(places, literal)
-    at_copy = np.searchsorted(literal, places) + 4 * np.arange(len(places))
-    values, bits = np.zeros((2, len(literal) + 4 * len(places)), np.int64)
-    values[at_literal], bits[at_literal] = codes[symbol], sizes[symbol]
-    for k, (v, n) in enumerate(((codes[length_symbol + 256], sizes[length_symbol + 256]), (length_more, length_bits), (back_codes[back_symbol], back_sizes[back_symbol]), (back_more, back_bits))):
-        values[at_copy + k], bits[at_copy + k] = v, n
-    to.many(values, bits)
+    # a literal is one number; a copy two, its length and its distance with their further bits
+    sizes_of = sizes[length_symbol + 256]
+    long, long_bits = codes[length_symbol + 256] | length_more << sizes_of, sizes_of + length_bits
+    sizes_of = back_sizes[back_symbol]
+    far, far_bits = back_codes[back_symbol] | back_more << sizes_of, sizes_of + back_bits
+    bits = np.zeros(len(x), np.int64)
+    bits[literal], bits[places] = sizes[symbol], long_bits + far_bits
+    ends = bits.cumsum()
+    starts = ends - bits
+    at = starts[places]
+    to.many(np.concatenate((codes[symbol], long, far)), np.concatenate((starts[literal], at, at + long_bits)), int(ends[-1]))
 
 
 def _write_palette(to: Writer, colours: np.ndarray) -> None:
@@ -701,8 +756,9 @@ def padded(text: str) -> tuple[bytes, int]:
 def describe(payload: bytes) -> str:
     """Means of the three channels, and which of 64 equal stretches are above the mean, as hex."""
     x = np.frombuffer(payload, np.uint8)
-    means = x.reshape(-1, 3).mean(0)
-    cells = x[: len(x) // 64 * 64].reshape(64, -1).mean(1)
+    means = [x[k::3].sum() / (len(x) // 3) for k in range(3)]
+    per = len(x) // 64
+    cells = x.reshape(64, per).sum(1) / per  # BLOCK is a multiple of 64
     return "rgb=" + ",".join(f"{m:.3f}" for m in means) + ";ahash=" + np.packbits(cells > cells.mean()).tobytes().hex()
 
 

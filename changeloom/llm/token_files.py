@@ -5,8 +5,9 @@ text). Each row has doc_id, n_tokens and ids. Spark's own writer makes the files
 outgrow ``dictionary_bytes``; row groups and pages are small enough (``group_bytes``, ``page_bytes``) for their statistics and page indexes to pay: since doc_id is sorted, a read of some documents
 opens a few pages, and a read of counts never touches the ids. A place in the whole stream of ids is a file's offset (`offsets`: one row a file) plus the counts before it in its file.
 
-Ids are the tokenizers library's for each whole text, special strings as its default, without added tokens, and an end id after each document. White space separates what it encodes, so chunks between ASCII
-white space are encoded once each as long as they stay in a bounded memo; those of some texts that are new go through the library together, divided by a control character that has an id of its own.
+Ids are the tokenizers library's for each whole text, special strings as its default, without added tokens, and an end id after each document. White space separates what it encodes, so texts are divided into chunks
+at ASCII white space and each distinct chunk of some texts is looked up once, in a bounded memo that has chunks without the symbols at their ends; those that are new go through the library together, divided by a
+control character that has an id of its own.
 
 Cases: a null text is empty and gives the end id alone; null doc_ids and repeated rows are rows like any others; texts are encoded whole, however long; an empty table gives files without rows;
 other columns, whatever their names, don't take part.
@@ -19,6 +20,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -31,15 +33,16 @@ from changeloom.llm.shingles import portions
 
 END = 2
 DIVIDER = "\x01"
-CHUNK = re.compile(r"[^ \t\n\r\x0b\x0c]+")
 #: Letters that stay letters in lower case.
 LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f]+")
-#: What lower() or split() of a text may treat otherwise than the tokenizer does: characters beyond the first letters, and controls that split() takes for white space.
-UNPLAIN = re.compile("[\x1c-\x1f\u0130-\U0010ffff]")
+#: What lower() of a text may treat otherwise than the tokenizer does: characters beyond the first letters.
+UNPLAIN = re.compile("[\u0130-\U0010ffff]")
+#: Symbols that are a piece of their own at a chunk's end, if a letter is before them.
+STOPS = ".,;:!?#$%&*"
 #: Entries of each half of the memo, and the longest chunk that it keeps.
 MEMO, KEPT = 400_000, 40
-#: Bytes of text that Python holds at once; one longer text is taken alone.
-BYTES = 64 << 10
+#: Bytes of text that Python holds at once, whose distinct chunks are looked up; one longer text is taken alone.
+BYTES = 2 << 20
 
 
 class Encoder:
@@ -77,40 +80,66 @@ class Encoder:
         return {c: packed[a:b] for c, a, b in zip(chunks, starts, ends, strict=True)}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """The texts' ids; what the memo lacks is learnt for all of them at once."""
-        chunks = [self._chunks(t) for t in texts]
-        memo = self.memo.get
-        found = [list(map(memo, words)) for words in chunks]
-        lacking = [(words, ids, [k for k, i in enumerate(ids) if i is None]) for words, ids in zip(chunks, found) if None in ids]
-        if lacking:
-            met = self._met({words[k] for words, _, places in lacking for k in places})
-            for words, ids, places in lacking:
-                for k in places:
-                    ids[k] = met[words[k]]
-        return [b"".join(ids) for ids in found]
+        lists = self.lists(texts)
+        ids, ends = lists.values.to_numpy(), lists.offsets.to_pylist()
+        return [ids[a:b].tobytes() for a, b in pairwise(ends)]
+
+    def lists(self, texts: list[str], end: int | None = None) -> pa.ListArray:
+        """The texts' ids, with the end id behind each, if there is one."""
+        chunks = pc.ascii_split_whitespace(pa.array([self._lowered(t) for t in texts], pa.string()))
+        words = chunks.flatten().dictionary_encode()
+        # after a letter, symbols at a chunk's end are a piece of their own (not so after the one letter that ends in a mark in lower case): each word is a core and what follows it, mostly nothing
+        whole = words.dictionary
+        core = pc.ascii_rtrim(whole, STOPS)
+        core = pc.if_else(pc.match_substring_regex(core, "[^\\P{L}\u0130]$"), core, whole)
+        follows = (pc.binary_length(whole).to_numpy() - pc.binary_length(core).to_numpy()).tolist()
+        stops = pa.array([w[-n:] if n else "" for w, n in zip(_strings(whole), follows, strict=True)], pa.string()).dictionary_encode()
+        core = core.dictionary_encode()
+        last = b"" if end is None else np.array([end], np.int32).tobytes()
+        packed = [*self._met(_strings(core.dictionary)), *self._met(_strings(stops.dictionary)), last]
+        # of each chunk the core and what follows, and the end behind each text
+        of, ends = words.indices.to_numpy(), chunks.offsets.to_numpy()[1:].astype(np.int64)
+        order = np.empty((len(of), 2), np.int32)
+        order[:, 0], order[:, 1] = core.indices.to_numpy()[of], stops.indices.to_numpy()[of] + np.int32(len(core.dictionary))
+        order = np.insert(order.reshape(-1), 2 * ends, len(packed) - 1)
+        sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
+        each = pa.ListArray.from_arrays(_offsets(sizes), pa.array(np.frombuffer(b"".join(packed), np.int32)))
+        offsets = _offsets(sizes[order]).take(pa.array(np.append(0, 2 * ends + np.arange(1, len(texts) + 1))))
+        return pa.ListArray.from_arrays(offsets, each.take(pa.array(order)).flatten())
 
     @staticmethod
-    def _chunks(text: str) -> list[str]:
-        """What white space divides; plain text in lower case, which the tokenizer makes of it too, so that the memo has each word once."""
-        if UNPLAIN.search(text) is None and "<|" not in text:
-            return text.lower().split()
-        return CHUNK.findall(text)
-
-    def _met(self, lacking: set[str]) -> dict[str, bytes]:
-        """Ids of chunks that the younger half of the memo lacks, which then has them: from the older half, or through the library."""
-        met = {w: i for w in lacking if (i := self.older.get(w)) is not None}
-        # after a letter, stops at a chunk's end are a piece of their own
-        cores = {w: core for w in lacking if w not in met and (core := w.rstrip(".,")) != w and core[-1:].isalpha()}
-        pieces = {p: self.memo.get(p) or self.older.get(p) for w, core in cores.items() for p in (core, w[len(core) :])}
-        learnt = self._learn([*(w for w in lacking if w not in met and w not in cores and w not in pieces), *(p for p, i in pieces.items() if i is None)])
-        pieces = {p: i if i is not None else learnt[p] for p, i in pieces.items()}
-        met.update(learnt)
-        met.update((p, i) for p, i in pieces.items() if p not in met)
-        met.update((w, pieces[core] + pieces[w[len(core) :]]) for w, core in cores.items())
-        self.memo.update((w, i) for w, i in met.items() if len(w) <= KEPT)
+    def _lowered(text: str) -> str:
+        """Plain text in lower case, which the tokenizer makes of it too, so that the memo has each word once."""
+        try:
+            text.encode("latin-1")  # takes less time than a search
+        except UnicodeEncodeError:
+            if UNPLAIN.search(text):
+                return text
+        return text if "<|" in text else text.lower()
+
+    def _met(self, words: list[str]) -> list[bytes]:
+        """Ids of different chunks: from the memo, whose younger half then has them, or through the library."""
+        found = list(map(self.memo.get, words))
+        lacking = [k for k, i in enumerate(found) if i is None]
+        older = {w: i for k in lacking if (i := self.older.get(w := words[k])) is not None}
+        learnt = self._learn([w for k in lacking if (w := words[k]) not in older])
+        for k in lacking:
+            w = words[k]
+            i = older.get(w)
+            found[k] = i = learnt[w] if i is None else i
+            if len(w) <= KEPT:
+                self.memo[w] = i
         if len(self.memo) > MEMO:
             self.memo, self.older = {}, self.memo
-        return met
+        return found
+
+
+def _strings(x: pa.StringArray) -> list[str]:
+    return x.to_numpy(zero_copy_only=False).tolist()
+
+
+def _offsets(sizes: np.ndarray) -> pa.Array:
+    return pa.array(np.append(0, sizes.cumsum()).astype(np.int32))
 
 
 @lru_cache(maxsize=2)
@@ -134,15 +163,12 @@ def write(docs: DataFrame, folder: str, vocabulary: str | None = None, end: int
         import public_tokenizers
 
         made = encoder(vocabulary or public_tokenizers.path("word_bpe_49k.json"))
-        last = np.array([end], np.int32).tobytes()
         for batch in batches:
             for low, high in portions(pc.binary_length(batch.column(1)).to_pylist(), BYTES):
                 part = batch.slice(low, high - low)
-                packed = [ids + last for ids in made.encode(part.column(1).to_pylist())]
-                sizes = np.array([len(p) // 4 for p in packed], np.int64)
-                values = pa.array(np.frombuffer(b"".join(packed), np.int32))
-                ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), values)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes), ids.cast(shape.field("ids").type)], schema=shape)
+                ids = made.lists(part.column(1).to_pylist(), end)
+                sizes = pc.list_value_length(ids).cast(pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column(0), sizes, ids.cast(shape.field("ids").type)], schema=shape)
 
     encoded = ranged.select("doc_id", "text").mapInArrow(run, schema)
     options = {

@@ -233,6 +233,25 @@ def test_memo_is_bounded(monkeypatch):
         assert [np.frombuffer(x, np.int32).tolist() for x in made.encode([text, "", text[:30]])] == [ids(text)[:-1], [], ids(text[:30])[:-1]] and len(made.memo) <= 50 + 240
 
 
+def test_chunks_are_looked_up_once():
+    """The memo is asked for each distinct chunk of some texts, without the symbols at its end, and not for every place where one stands."""
+    import public_tokenizers
+
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *a):
+            Counted.asked += 1
+            return super().get(*a)
+
+    ids, made = library(), token_files.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    made.memo = Counted()
+    texts = ["Word, word. été### 1,2. " * 500, "", " \t", "word!? ...", "\x1c Word.\x1d word\x85word.\xa0 it's, <|endoftext|>. Word,", "word\x00. e\u0301. \u01c4. ŁÓDŹ, \u0130. 中文. x_, a'. "]
+    assert [np.frombuffer(x, np.int32).tolist() for x in made.encode(texts)] == [ids(t)[:-1] for t in texts]
+    assert made.lists(texts, token_files.END).to_pylist() == [ids(t) for t in texts]
+    assert Counted.asked < 100
+
+
 # -- whitening ---------------------------------------------------------------------------------------------------------------
 
 
